@@ -61,7 +61,7 @@ def route_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     control = load_control(spark, control_file(spark, rows))
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return route(pages, control, "url").drop("ordem")
+    return route(pages, control, "url").drop("prefixo")
 
 
 def _daily_arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -92,13 +92,13 @@ def _daily_arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 def route_arrivals_many_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals, control = _daily_arrivals(spark, sf_dir)
-    return route(arrivals, control).drop("ordem")
+    return route(arrivals, control).drop("prefixo")
 
 
 def route_arrivals_large_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As before, with a control table beyond the broadcast bound."""
     arrivals, control = _daily_arrivals(spark, sf_dir)
-    return route(arrivals, control, broadcast_bytes=0).drop("ordem")
+    return route(arrivals, control, broadcast_bytes=0).drop("prefixo")
 
 
 ROUTED_BY_DAY = """

@@ -62,6 +62,12 @@ class Files:
     def exists(self, location: str) -> bool:
         return self._fs.exists(self._path(location))
 
+    def has_entries(self, location: str) -> bool:
+        return self.exists(location) and self._fs.listStatusIterator(self._path(location)).hasNext()
+
+    def make_folder(self, location: str) -> None:
+        self._fs.mkdirs(self._path(location))
+
     def rename(self, old: str, new: str) -> bool:
         return self._fs.rename(self._path(old), self._path(new))
 
@@ -69,6 +75,11 @@ class Files:
         self._fs.delete(self._path(location), True)
 
 
+def owned_by_stream(spark: SparkSession, location: str) -> bool:
+    """True if a streaming file sink wrote the dataset: readers then see only its own files."""
+    return Files(spark, location).exists(f"{location}/_spark_metadata")
+
+
 def segments(location: str) -> list[str]:
     """Path parts of a qualified location."""
     return [part for part in urlparse(location).path.split("/") if part]

@@ -18,7 +18,7 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 # Bytes that a broadcast row needs beyond its text.
 ROW_OVERHEAD = 128
 
-_ROUTE = "struct<ordem: struct<arquivo: string, linha: bigint>, dataset_id: string>"
+_ROUTE = "struct<ordem: struct<arquivo: string, linha: bigint>, dataset_id: string, prefixo: string>"
 
 
 def route(
@@ -28,12 +28,12 @@ def route(
     inline: int = INLINE_PREFIXES,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``arrivals`` with ``dataset_id`` and ``ordem`` of the control row each key goes to.
+    """``arrivals`` with ``dataset_id`` and ``prefixo`` of the control row each key goes to.
 
     Both are NULL if no prefix occurs in the key. A blank prefix occurs in every key.
     """
     prefixes = control.groupBy("prefixo").agg(
-        F.min(F.struct("ordem", "dataset_id")).alias("destino")
+        F.min(F.struct("ordem", "dataset_id", "prefixo")).alias("destino")
     )
     few = prefixes.orderBy("destino.ordem").limit(inline + 1).collect()
     if len(few) <= inline:
@@ -43,7 +43,7 @@ def route(
     return routed.select(
         *[named(c) for c in arrivals.columns],
         F.col("_destino.dataset_id").alias("dataset_id"),
-        F.col("_destino.ordem").alias("ordem"),
+        F.col("_destino.prefixo").alias("prefixo"),
     )
 
 
@@ -59,6 +59,7 @@ def _inline_search(key: Column, rows: list) -> Column:
                 F.lit(r["destino"]["ordem"]["linha"]).cast("bigint").alias("linha"),
             ).alias("ordem"),
             F.lit(r["destino"]["dataset_id"]).alias("dataset_id"),
+            F.lit(r["prefixo"]).alias("prefixo"),
         )
         for r in rows
     ]
@@ -78,7 +79,7 @@ def _substring_join(
     facts = prefixes.agg(
         F.collect_set(F.length("prefixo")).alias("lengths"),
         F.sum(
-            F.octet_length("prefixo")
+            2 * F.octet_length("prefixo")
             + F.octet_length("destino.dataset_id")
             + F.octet_length("destino.ordem.arquivo")
             + ROW_OVERHEAD

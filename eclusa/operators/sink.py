@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, DataFrameWriter
 
 from eclusa.errors import SinkError
 from eclusa.functions.columns import find_column
-from eclusa.functions.locations import Files, overlaps
+from eclusa.functions.locations import overlaps, owned_by_stream
 
 MODES = ("overwrite", "append", "upsert")
 
@@ -42,9 +42,11 @@ def clustered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partitions) if partitions else df
 
 
-def writer(df: DataFrame, fmt: str, partitions: Sequence[str] = ()) -> DataFrameWriter:
+def writer(
+    df: DataFrame, fmt: str, partitions: Sequence[str] = (), cluster: bool = True
+) -> DataFrameWriter:
     check_partitions(df, partitions)
-    return clustered(df, partitions).write.partitionBy(*partitions).format(fmt)
+    return (clustered(df, partitions) if cluster else df).write.partitionBy(*partitions).format(fmt)
 
 
 def write(
@@ -55,15 +57,17 @@ def write(
     partitions: Sequence[str] = (),
     compression: str = "",
     table: str = "",
+    cluster: bool = True,
 ) -> None:
     """Overwrite replaces the whole target, also by an empty result; append adds rows.
 
+    A source that already lies in the order of its partitions needs no ``cluster``.
     ``compression`` and ``table`` go beyond the plain write and are off by default:
     a codec for the files, and a catalog name for the target.
     """
-    if mode == "append" and Files(df.sparkSession, target).exists(f"{target}/_spark_metadata"):
+    if mode == "append" and owned_by_stream(df.sparkSession, target):
         raise SinkError(f"{target} belongs to a stream; files added to it would not be seen")
-    out = writer(df, fmt, partitions).mode(mode)
+    out = writer(df, fmt, partitions, cluster).mode(mode)
     if mode == "overwrite":
         out = out.option("partitionOverwriteMode", "static")
     if compression:

@@ -14,22 +14,23 @@ from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from eclusa import journal
 from eclusa.errors import MergeError
 from eclusa.functions.columns import all_of, any_of, find_column, has_null, named
-from eclusa.functions.locations import Files, fresh_path, segments
+from eclusa.functions.locations import Files, fresh_path, owned_by_stream, segments
 from eclusa.operators.sink import writer
 
 # Formats that run MERGE themselves, given their package on the classpath.
 MERGING_FORMATS = ("delta",)
 # Formats whose files may differ in schema while the reader can unite them.
 UNITING_FORMATS = ("parquet", "orc")
-# Up to this many bytes the source's keys are broadcast.
-BROADCAST_BYTES = 32 * 1024 * 1024
+# Up to this many rows and bytes the source is broadcast.
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 # Bytes that a broadcast row needs beyond its text.
 ROW_OVERHEAD = 128
 # Up to this many touched partitions are named in the scan's partition filter.
@@ -70,14 +71,17 @@ def upsert(
         if staged.isEmpty():
             return
         reject_ambiguous(current, staged, keys)
-        small = _fits_broadcast(staged, keys)
+        small = fits_broadcast(staged)
         if layout and set(layout) <= set(keys):
             touched = _touched_partitions(current, staged, layout, pruned_partitions)
-            out = writer(merge_frames(touched, staged, keys, small), fmt, layout)
+            out = writer(merge_frames(touched, staged, keys, small), fmt, layout, not small)
             # Old files go when the job commits, after everything has been read.
             out.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(target)
         else:
-            _replace(merge_frames(current, staged, keys, small), target, fmt, layout)
+            # Joined by broadcast, the target's rows are still together by partition.
+            scattered = not small or _moves_rows(current, staged, keys, layout)
+            merged = merge_frames(current, staged, keys, small)
+            _replace(spark, writer(merged, fmt, layout, scattered), target)
     finally:
         Files(spark, staging).remove(staging)
 
@@ -90,7 +94,8 @@ def merge_frames(
     Two joins instead of one full outer join: each has a side that Spark may
     broadcast when it is small, and that AQE may split when a key is hot. Rows with
     a NULL key match nothing and pass by the joins, however many they are.
-    ``small_source`` says that the source's keys were measured and fit a broadcast.
+    ``small_source`` says that the source was measured and fits a broadcast; then the
+    target is not shuffled at all.
     """
     columns = target.columns
     null_key = has_null([named(k) for k in keys])
@@ -100,7 +105,10 @@ def merge_frames(
     s_keys = [f"s{columns.index(k)}" for k in keys]
     on_keys = all_of([F.col(a) == F.col(b) for a, b in zip(t_keys, s_keys)])
 
-    stayed = t.join(s.withColumn("s_found", F.lit(True)), on_keys, "left").select(
+    updates = s.withColumn("s_found", F.lit(True))
+    if small_source:
+        updates = F.broadcast(updates)
+    stayed = t.join(updates, on_keys, "left").select(
         *[
             F.when(F.col("s_found"), F.col(f"s{i}")).otherwise(F.col(f"t{i}")).alias(c)
             for i, c in enumerate(columns)
@@ -166,10 +174,33 @@ def _aligned(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def _fits_broadcast(source: DataFrame, keys: Sequence[str]) -> bool:
-    row_bytes = sum((F.octet_length(named(k).cast("string")) for k in keys), F.lit(ROW_OVERHEAD))
-    total = source.select(F.sum(F.coalesce(row_bytes, F.lit(ROW_OVERHEAD)))).head()[0]
-    return (total or 0) <= BROADCAST_BYTES
+def fits_broadcast(
+    source: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether the rows are few and short enough to be sent to every executor.
+
+    Counting a written table reads no rows; only a table of few rows is measured.
+    """
+    rows = source.count()
+    if rows > max_rows:
+        return False
+    text = F.octet_length(F.struct(*[named(c) for c in source.columns]).cast("string"))
+    return rows * ROW_OVERHEAD + (source.agg(F.sum(text)).head()[0] or 0) <= max_bytes
+
+
+def _moves_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], layout: Sequence[str]
+) -> bool:
+    """Whether some update takes a row to another partition. The source must be small."""
+    names = list(dict.fromkeys([*keys, *layout]))
+    t, s = target.select(*map(named, names)), source.select(*map(named, names))
+    pairs = {n: (F.col(f"t{i}"), F.col(f"s{i}")) for i, n in enumerate(names)}
+    if not layout:
+        return False
+    same_key = all_of([pairs[k][0] == pairs[k][1] for k in keys])
+    other = any_of([~pairs[c][0].eqNullSafe(pairs[c][1]) for c in layout])
+    moved = _numbered(t, "t").join(F.broadcast(_numbered(s, "s")), same_key & other, "left_semi")
+    return not moved.isEmpty()
 
 
 def _open_target(
@@ -188,14 +219,13 @@ def _open_target(
         file = found.select("_metadata.file_path").head()
     except (AnalysisException, Py4JJavaError) as e:
         raise MergeError(f"an upsert needs an existing {fmt} target at {target}: {e}") from e
-    files = Files(spark, target)
-    if files.exists(f"{target}/_spark_metadata"):
+    if owned_by_stream(spark, target):
         raise MergeError(f"{target} belongs to a stream and cannot be rewritten")
 
     if file is None:
         known = [find_column(spark, found.columns, p) for p in partitions]
         return found, [p for p in known if p]
-    depth = len(segments(files.qualified(target)))
+    depth = len(segments(Files(spark, target).qualified(target)))
     folders = segments(unquote(file[0]))[depth:-1]
     layout = _resolve(found, [f.split("=", 1)[0] for f in folders if "=" in f], "target")
     in_source = _resolve(source, layout, "source")
@@ -236,17 +266,17 @@ def _siblings(target: str) -> tuple[str, str]:
     return f"{parent}/.{name}.{uuid.uuid4().hex}", f"{parent}/.{name}.antes"
 
 
-def _replace(merged: DataFrame, target: str, fmt: str, layout: Sequence[str]) -> None:
+def _replace(spark: SparkSession, merged: DataFrameWriter, target: str) -> None:
     """Write next to the target, then swap by rename.
 
     Two renames are not one: readers may find no target in between, and a crash
     there is mended by the next upsert. Where rename copies (object stores) use a
     table format instead.
     """
-    files = Files(merged.sparkSession, target)
+    files = Files(spark, target)
     fresh, old = _siblings(target)
     try:
-        writer(merged, fmt, layout).save(fresh)
+        merged.save(fresh)
         if not files.rename(target, old):
             raise MergeError(f"cannot move {target} aside")
         if not files.rename(fresh, target):

@@ -18,7 +18,7 @@ from eclusa.operators.routing import route
 from eclusa.operators.sink import check_apart, check_partitions, write, write_mode
 from eclusa.operators.transform import apply_sql
 from eclusa.operators.upsert import upsert
-from eclusa.sources.control import lookup
+from eclusa.sources.control import first_rows, lookup
 from eclusa.sources.scan import check_contract, require_rows, scan
 
 
@@ -26,6 +26,7 @@ from eclusa.sources.scan import check_contract, require_rows, scan
 class Options:
     """Choices a control row has no column for.
 
+    ``cluster`` brings the rows of a partition together before they are written.
     ``compress`` and ``catalog`` make use of the control columns ``compressao`` and
     ``glue_database``/``glue_tabela``; both go beyond the plain ingestion.
     """
@@ -33,6 +34,7 @@ class Options:
     scheme: str = "s3"
     compress: bool = False
     catalog: bool = False
+    cluster: bool = True
     refuse_empty_result: bool = False
     schema: StructType | None = None
 
@@ -88,7 +90,7 @@ def _ingest(spark: SparkSession, row: dict[str, str], options: Options) -> Outco
         check_partitions(df, partitions)
         table = f"{row['glue_database']}.{row['glue_tabela']}" if options.catalog else ""
         codec = row["compressao"].strip() if options.compress else ""
-        write(df, target, fmt, mode, partitions, codec, table)
+        write(df, target, fmt, mode, partitions, codec, table, options.cluster)
     return Outcome(row.get("dataset_id", ""), target, fmt, mode, partitions, df.schema)
 
 
@@ -122,13 +124,13 @@ def run_arrivals(
     one after the other, in file order; the rest share the cluster. An arrival
     without a route is an error, raised after the routable ones are done.
     """
-    routed = route(arrivals, control, key).select(key, "ordem")
-    hit = routed.select("ordem").distinct()
-    rows = [r.asDict() for r in control.join(hit, "ordem", "left_semi").orderBy("ordem").collect()]
-    report = ArrivalReport(routed.filter("ordem is null").select(key))
+    routed = route(arrivals, control, key).select(key, "prefixo")
+    hit = routed.select("prefixo").distinct()
+    rows = first_rows(control, "prefixo").join(hit, "prefixo", "left_semi").orderBy("ordem")
+    report = ArrivalReport(routed.filter("prefixo is null").select(key))
 
     by_target: dict[str, list[dict]] = {}
-    for row in rows:
+    for row in (r.asDict() for r in rows.collect()):
         target = uri(row["bucket_destino"], row["caminho_destino"], options.scheme)
         by_target.setdefault(target.rstrip("/"), []).append(row)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eclusa.errors import ControlError
+from eclusa.functions.locations import fresh_path
 
 # The control file's column names. Existing files must load as they are.
 SETTINGS = [
@@ -34,7 +35,9 @@ def load_control(spark: SparkSession, path: str, fields: list[str] | None = None
     ``path`` is a CSV file with header, or a folder of them (read in name order).
     Cells may be quoted and then hold commas, quotes and line breaks; blank cells
     are ``''``. A file with line breaks inside cells cannot be split, so numbers
-    given in reading order follow the lines within each file.
+    given in reading order follow the lines within each file. The rows are kept as a
+    written table: every later use sees the same rows and numbers, even if the file
+    changes or the cluster's size does.
     """
     fields = fields or CONTROL_FIELDS
     raw = spark.read.csv(
@@ -43,13 +46,16 @@ def load_control(spark: SparkSession, path: str, fields: list[str] | None = None
     missing = [f for f in fields if f not in raw.columns]
     if missing:
         raise ControlError(f"control table {path} lacks the columns {missing}")
-    return raw.select(
+    rows = raw.select(
         *[F.coalesce(F.col(f"`{f}`"), F.lit("")).alias(f) for f in fields],
         F.struct(
             F.col("_metadata.file_path").alias("arquivo"),
             F.monotonically_increasing_id().alias("linha"),
         ).alias("ordem"),
     )
+    path = fresh_path(spark, "controle")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def first_rows(control: DataFrame, key: str = "dataset_id") -> DataFrame:

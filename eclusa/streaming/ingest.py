@@ -7,16 +7,15 @@ add earlier files again.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from eclusa import journal
-from eclusa.errors import SinkError
+from eclusa.errors import IngestionError, SinkError
 from eclusa.functions.columns import split_names
-from eclusa.functions.locations import uri
+from eclusa.functions.locations import Files, fresh_path, owned_by_stream, uri
 from eclusa.operators.partitioning import with_partitions
 from eclusa.operators.sink import check_apart, check_partitions, clustered, write, write_mode
 from eclusa.operators.transform import apply_sql, skips
@@ -63,7 +62,6 @@ def ingest_new_files(
     arrived, partitions = with_partitions(
         reader.load(source), row["coluna_particao"], row["tipo_particao"]
     )
-    outcome = Outcome(row["dataset_id"], target, fmt, mode, partitions, arrived.schema)
 
     if mode == "upsert":
         keys = split_names(row["chaves"])
@@ -72,41 +70,70 @@ def ingest_new_files(
             if not batch.isEmpty():
                 upsert(apply_sql(batch, row["query"]), target, keys, fmt, partitions)
 
-        query = _start(arrived.writeStream.foreachBatch(merge), checkpoint)
+        sink, schema = arrived.writeStream.foreachBatch(merge), arrived.schema
+    elif skips(row["query"]) or _works_by_row(arrived, row["query"]):
+        sink, schema = _file_sink(apply_sql(arrived, row["query"]), target, fmt, partitions)
     else:
-        try:
-            rows = apply_sql(arrived, row["query"])
-            check_partitions(rows, partitions)
-            sink = clustered(rows, partitions).writeStream.format(fmt).partitionBy(*partitions)
-            # Spark refuses here, before anything is written, what a stream cannot do.
-            query = _start(sink.option("path", target), checkpoint)
-            outcome = replace(outcome, schema=rows.schema)
-        except AnalysisException:
-            if skips(row["query"]):
-                raise
-            query, outcome = _append_batches(arrived, row["query"], outcome, checkpoint)
-    query.awaitTermination()
+        sink, schema = _batch_sink(arrived, row["query"], target, fmt, partitions)
+    try:
+        _run(sink, checkpoint)
+    except StreamingQueryException as e:
+        journal.error("stream run failed", dataset_id=row["dataset_id"], error=str(e))
+        raise IngestionError(f"stream into {target} failed: {e}") from e
     journal.info("stream run done", dataset_id=row["dataset_id"], target=target, mode=mode)
-    return outcome
+    return Outcome(row["dataset_id"], target, fmt, mode, partitions, schema)
+
 
+def _run(sink: DataStreamWriter, checkpoint: str) -> None:
+    sink = sink.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    sink.start().awaitTermination()
 
-def _start(sink: DataStreamWriter, checkpoint: str) -> StreamingQuery:
-    return sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
+def _works_by_row(arrived: DataFrame, query: str) -> bool:
+    """Whether Spark takes the statement as an appending stream.
 
-def _append_batches(
-    arrived: DataFrame, query: str, outcome: Outcome, checkpoint: str
-) -> tuple[StreamingQuery, Outcome]:
+    Asked with an empty source and no target, because a refused file sink leaves
+    its log folder behind.
+    """
+    spark = arrived.sparkSession
+    probe = fresh_path(spark, "prova")
+    files = Files(spark, probe)
+    files.make_folder(f"{probe}/vazio")
+    try:
+        empty = spark.readStream.schema(arrived.schema).parquet(f"{probe}/vazio")
+        sink = apply_sql(empty, query).writeStream.format("noop")
+        _run(sink, f"{probe}/andamento")
+        return True
+    except AnalysisException:
+        return False
+    finally:
+        files.remove(probe)
+
+
+def _file_sink(
+    rows: DataFrame, target: str, fmt: str, partitions: list[str]
+) -> tuple[DataStreamWriter, StructType]:
+    spark = rows.sparkSession
+    check_partitions(rows, partitions)
+    if Files(spark, target).has_entries(target) and not owned_by_stream(spark, target):
+        raise SinkError(f"{target} was not written by a stream; its files would no longer be seen")
+    sink = clustered(rows, partitions).writeStream.format(fmt).partitionBy(*partitions)
+    return sink.option("path", target), rows.schema
+
+
+def _batch_sink(
+    arrived: DataFrame, query: str, target: str, fmt: str, partitions: list[str]
+) -> tuple[DataStreamWriter, StructType]:
     spark = arrived.sparkSession
+    if owned_by_stream(spark, target):
+        raise SinkError(f"{target} has a stream's file log; further folders would not be seen")
     # The statement's result columns, from a frame of the same schema without rows.
     shape = apply_sql(spark.createDataFrame([], arrived.schema), query)
-    check_partitions(shape, outcome.partitions)
+    check_partitions(shape, partitions)
 
     def append(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
-            return
-        folder = f"{outcome.target}/{BATCH_COLUMN}={number}"
-        write(apply_sql(batch, query), folder, outcome.fmt, "overwrite", outcome.partitions)
+        if not batch.isEmpty():
+            folder = f"{target}/{BATCH_COLUMN}={number}"
+            write(apply_sql(batch, query), folder, fmt, "overwrite", partitions)
 
-    sink = arrived.writeStream.foreachBatch(append)
-    return _start(sink, checkpoint), replace(outcome, schema=shape.schema)
+    return arrived.writeStream.foreachBatch(append), shape.schema
