@@ -85,8 +85,8 @@ def _substring_join(
             + ROW_OVERHEAD
         ).alias("bytes"),
     ).head()
-    lengths = F.array(*[F.lit(n) for n in sorted(facts["lengths"])])
-    if facts["bytes"] <= broadcast_bytes:
+    lengths = F.array(*[F.lit(n) for n in sorted(facts["lengths"])]).cast("array<int>")
+    if (facts["bytes"] or 0) <= broadcast_bytes:
         prefixes = F.broadcast(prefixes)
 
     text = F.col("_key")

@@ -34,10 +34,12 @@ def load_control(spark: SparkSession, path: str, fields: list[str] | None = None
 
     ``path`` is a CSV file with header, or a folder of them (read in name order).
     Cells may be quoted and then hold commas, quotes and line breaks; blank cells
-    are ``''``. A file with line breaks inside cells cannot be split, so numbers
-    given in reading order follow the lines within each file. The rows are kept as a
-    written table: every later use sees the same rows and numbers, even if the file
-    changes or the cluster's size does.
+    are ``''``; where lines end in CRLF, line breaks inside cells are read as LF.
+
+    A file with line breaks inside cells cannot be split, so numbers given in reading
+    order follow the lines within each file. The rows are kept as a written table:
+    every later use sees the same rows and numbers, even if the file changes or the
+    cluster's size does.
     """
     fields = fields or CONTROL_FIELDS
     raw = spark.read.csv(

@@ -1,0 +1,234 @@
+import random
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from eclusa.errors import MergeError
+from eclusa.operators.upsert import fits_broadcast, merge_frames, reject_ambiguous, upsert
+from tests.helpers import data_files, sorted_rows
+
+TARGET = [(1, "a"), (None, "b")]
+SOURCE = [(1, None), (None, "B"), (7, "x"), (7, "y")]
+
+
+def kv(spark, rows):
+    return spark.createDataFrame(rows, "k int, v string")
+
+
+def saved(df, path, *partitions):
+    df.write.partitionBy(*partitions).parquet(str(path))
+    return str(path)
+
+
+def test_null_and_repeated_keys(spark, tmp_path):
+    path = saved(kv(spark, TARGET), tmp_path / "t")
+    upsert(kv(spark, SOURCE), path, ["k"])
+    expected = [(1, None), (None, "b"), (None, "B"), (7, "x"), (7, "y")]
+    assert sorted_rows(spark.read.parquet(path)) == sorted(expected, key=repr)
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_ambiguous_source_changes_nothing(spark, tmp_path):
+    path = saved(kv(spark, TARGET), tmp_path / "t")
+    files = data_files(path)
+    with pytest.raises(MergeError, match="several source rows"):
+        upsert(kv(spark, [(1, "x"), (1, "y")]), path, ["k"])
+    assert data_files(path) == files and len(list(tmp_path.iterdir())) == 1
+
+
+def test_refusals(spark, tmp_path):
+    path = saved(kv(spark, TARGET), tmp_path / "t")
+    source = kv(spark, SOURCE)
+    with pytest.raises(MergeError, match="at least one key"):
+        upsert(source, path, [])
+    with pytest.raises(MergeError, match="existing"):
+        upsert(source, str(tmp_path / "missing"), ["k"])
+    with pytest.raises(MergeError, match="target lacks.*nope"):
+        upsert(source, path, ["k", "nope"])
+    with pytest.raises(MergeError, match="source lacks.*'v'"):
+        upsert(source.drop("v"), path, ["k"])
+    with pytest.raises(Exception):
+        upsert(source, path, ["k"], "delta")
+
+
+def test_columns_by_name_with_target_types(spark, tmp_path):
+    path = saved(kv(spark, TARGET), tmp_path / "t")
+    source = spark.sql("select 'new' as extra, 9 as V, 1L as K")
+    upsert(source, path, ["K"])
+    back = spark.read.parquet(path)
+    assert back.columns == ["k", "v"] and back.schema == kv(spark, []).schema
+    assert sorted_rows(back) == [(1, "9"), (None, "b")]
+
+
+def test_empty_source_changes_nothing(spark, tmp_path):
+    path = saved(kv(spark, TARGET), tmp_path / "t")
+    files = data_files(path)
+    upsert(kv(spark, []), path, ["k"])
+    assert data_files(path) == files
+
+
+def test_target_without_rows(spark, tmp_path):
+    path = saved(kv(spark, []), tmp_path / "t")
+    upsert(kv(spark, SOURCE), path, ["k"])
+    assert sorted_rows(spark.read.parquet(path)) == sorted(SOURCE, key=repr)
+
+
+def test_files_of_different_schema_lose_no_column(spark, tmp_path):
+    path = saved(kv(spark, [(1, "a")]), tmp_path / "t")
+    spark.sql("select 2 as k, 'b' as v, 5 as w").write.mode("append").parquet(path)
+    upsert(spark.sql("select 1 as k, 'A' as v, 6 as w"), path, ["k"])
+    assert sorted_rows(spark.read.parquet(path).select("k", "v", "w")) == [(1, "A", 6), (2, "b", 5)]
+
+
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("keys", [["a"], ["a", "b"]])
+def test_equals_merge_into(spark, keys, small):
+    rng = random.Random(11)
+    value = lambda: rng.choice([None, *range(50)])
+    key = lambda: rng.choice([None, *range(12)])
+    target = [(key(), key(), value()) for _ in range(300)]
+    in_target = {tuple(r[: len(keys)]) for r in target}
+    source, seen = [], set()
+    for _ in range(300):
+        row = (key() if rng.random() < 0.5 else rng.randint(20, 40), key(), value())
+        k = tuple(row[: len(keys)])
+        if k in seen and k in in_target and None not in k:
+            continue
+        seen.add(k)
+        source.append(row)
+
+    con = duckdb.connect()
+    for name, rows in (("t", target), ("s", source)):
+        con.execute(f"create table {name} (a int, b int, v int)")
+        con.executemany(f"insert into {name} values (?, ?, ?)", rows)
+    on = " and ".join(f"t.{k} = s.{k}" for k in keys)
+    con.execute(
+        f"merge into t using s on {on} "
+        "when matched then update set a = s.a, b = s.b, v = s.v "
+        "when not matched then insert values (s.a, s.b, s.v)"
+    )
+    expected = sorted(con.execute("select * from t").fetchall(), key=repr)
+
+    schema = "a int, b int, v int"
+    t, s = spark.createDataFrame(target, schema), spark.createDataFrame(source, schema)
+    reject_ambiguous(t, s, keys)
+    assert sorted_rows(merge_frames(t, s, keys, small)) == expected
+
+
+def test_only_touched_partitions_are_rewritten(spark, tmp_path):
+    df = spark.range(100).selectExpr("cast(id as int) as k", "lpad(id % 10, 2, '0') as p", "'old' as v")
+    path = saved(df, tmp_path / "t", "p")
+    before = set(data_files(path))
+    upsert(spark.sql("select 3 as k, '03' as p, 'new' as v union all select 500, '77', 'new'"), path, ["k", "p"])
+    back = spark.read.schema("k int, v string, p string").parquet(path)
+    assert back.count() == 101
+    assert sorted_rows(back.filter("v = 'new'")) == [(3, "new", "03"), (500, "new", "77")]
+    gone = before - set(data_files(path))
+    assert gone and all("p=03" in str(f) for f in gone)
+
+
+@pytest.mark.parametrize("limit", [0, 200])
+def test_blank_and_null_partitions_are_kept(spark, tmp_path, limit):
+    schema = "k int, v string, p string"
+    df = spark.createDataFrame([(1, "a", None), (2, "b", ""), (3, "c", "x"), (4, "d", "y")], schema)
+    path = saved(df, tmp_path / "t", "p")
+    source = spark.createDataFrame([(1, "A", None), (2, "B", ""), (3, "C", "x"), (5, "E", "z")], schema)
+    upsert(source, path, ["p", "k"], pruned_partitions=limit)
+    expected = [
+        (1, "a", None), (2, "b", None), (1, "A", None), (2, "B", None),
+        (3, "C", "x"), (4, "d", "y"), (5, "E", "z"),
+    ]
+    back = spark.read.schema(schema).parquet(path)
+    assert sorted_rows(back) == sorted(expected, key=repr)
+
+
+def test_partition_layout_and_text_values_stay(spark, tmp_path):
+    schema = "k int, v string, ano string, mes string"
+    df = spark.createDataFrame([(1, "a", "2024", "01"), (2, "b", "2024", "02")], schema)
+    path = saved(df, tmp_path / "dt=x y" / "t", "ano", "mes")
+    upsert(spark.createDataFrame([(1, "A", "2025", "09"), (3, "c", "2024", "02")], schema), path, ["k"])
+    back = spark.read.schema(schema).parquet(path)
+    assert sorted_rows(back) == [(1, "A", "2025", "09"), (2, "b", "2024", "02"), (3, "c", "2024", "02")]
+    folders = {str(f.parent.relative_to(path)) for f in data_files(path)}
+    assert folders == {"ano=2025/mes=09", "ano=2024/mes=02"}
+
+
+@pytest.mark.parametrize("fmt", ["orc", "json"])
+def test_other_formats(spark, tmp_path, fmt):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, v string")
+    df.write.format(fmt).save(path)
+    upsert(spark.createDataFrame([(2, "B"), (3, "c")], "k bigint, v string"), path, ["k"], fmt)
+    assert sorted_rows(spark.read.format(fmt).load(path)) == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_interrupted_swap_is_mended(spark, tmp_path):
+    path = saved(kv(spark, TARGET), tmp_path / "t")
+    (tmp_path / "t").rename(tmp_path / ".t.antes")
+    upsert(kv(spark, [(1, "z")]), path, ["k"])
+    assert sorted_rows(spark.read.parquet(path)) == [(1, "z"), (None, "b")]
+
+
+def test_leftover_of_a_swap_needs_a_decision(spark, tmp_path):
+    path = saved(kv(spark, TARGET), tmp_path / "t")
+    saved(kv(spark, TARGET), tmp_path / ".t.antes")
+    with pytest.raises(MergeError, match="interrupted"):
+        upsert(kv(spark, SOURCE), path, ["k"])
+
+
+def test_source_is_read_once(spark, tmp_path):
+    """A statement with random values must give every step of the merge the same rows."""
+    path = saved(spark.range(0, 500).selectExpr("id as k", "'old' as v"), tmp_path / "t")
+    source = spark.range(0, 2000, 1, 4).selectExpr("id as k", "'new' as v").filter("rand() < 0.5")
+    upsert(source, path, ["k"])
+    back = spark.read.parquet(path)
+    assert back.count() == back.select("k").distinct().count()
+    assert back.filter("k < 500").count() == 500
+
+
+def test_broadcast_bound(spark, tmp_path):
+    rows = spark.read.parquet(saved(spark.range(1000).selectExpr("id", "repeat('x', 100) t"), tmp_path / "t"))
+    assert fits_broadcast(rows)
+    assert not fits_broadcast(rows, max_rows=999)
+    assert not fits_broadcast(rows, max_bytes=200_000)
+
+
+def test_small_source_leaves_the_target_unshuffled(spark, tmp_path, capsys):
+    target = spark.read.parquet(saved(spark.range(1000).selectExpr("id as k", "id as v"), tmp_path / "t"))
+    source = spark.read.parquet(saved(spark.range(10).selectExpr("id as k", "0L as v"), tmp_path / "s"))
+    merge_frames(target, source, ["k"], small_source=True).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" not in plan and "LeftOuter, BuildRight" in plan
+    left = plan[plan.index("LeftOuter") : plan.index("LeftAnti")]
+    assert "hashpartitioning" not in left
+
+
+def test_hot_key_is_split(spark, tmp_path):
+    """A third of a large target shares one key; the join's plan must split it."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.files.openCostInBytes": "64MB",
+    }
+    target = spark.range(0, 60000, 1, 12).selectExpr("if(id % 3 = 0, -1, id) as k", "rand(1) as v")
+    target = spark.read.parquet(saved(target, tmp_path / "t"))
+    source = spark.range(-1, 40000).selectExpr("id as k", "cast(null as double) as v")
+    source = spark.read.parquet(saved(source, tmp_path / "s"))
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        merged = merge_frames(target, source, ["k"])
+        rows = merged.collect()
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert "SortMergeJoin(skew=true)" in plan
+    expected = [-1 if i % 3 == 0 else i for i in range(60000)]
+    expected += sorted(set(range(-1, 40000)) - set(expected))
+    assert sorted(r["k"] for r in rows) == sorted(expected)
+    assert all((r["v"] is None) == (r["k"] < 40000) for r in rows)
