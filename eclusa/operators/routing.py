@@ -1,24 +1,34 @@
 """Routing of arrived files: the first control row whose ``prefixo`` occurs in the key.
 
-Three ways, chosen by the measured size of the control table. All give one output
+The way is chosen by the measured size of the control table. All ways give one output
 row per arrival and never pair an arrival with a control row it does not match.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eclusa.functions.columns import named
 
-# Up to this many distinct prefixes the search is written into the projection.
-INLINE_PREFIXES = 200
-# Up to this many bytes of prefixes and ids the lookup table is broadcast.
+try:
+    import ahocorasick
+except ImportError:
+    ahocorasick = None
+
+# Up to this many distinct prefixes are tried one by one, inside the JVM.
+INLINE_PREFIXES = 32
+# Up to this many bytes of prefixes and ids make an automaton, which searches all at once.
+AUTOMATON_BYTES = 2 * 1024 * 1024
+# Up to this many bytes the prefixes are broadcast to a join.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Bytes that a broadcast row needs beyond its text.
 ROW_OVERHEAD = 128
 
-_ROUTE = "struct<ordem: struct<arquivo: string, linha: bigint>, dataset_id: string, prefixo: string>"
+_ROUTE = "dataset_id: string, prefixo: string"
 
 
 def route(
@@ -26,6 +36,7 @@ def route(
     control: DataFrame,
     key: str = "key",
     inline: int = INLINE_PREFIXES,
+    automaton_bytes: int = AUTOMATON_BYTES,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``arrivals`` with ``dataset_id`` and ``prefixo`` of the control row each key goes to.
@@ -35,11 +46,16 @@ def route(
     prefixes = control.groupBy("prefixo").agg(
         F.min(F.struct("ordem", "dataset_id", "prefixo")).alias("destino")
     )
-    few = prefixes.orderBy("destino.ordem").limit(inline + 1).collect()
-    if len(few) <= inline:
-        routed = arrivals.withColumn("_destino", _inline_search(named(key), few))
+    rows, text = _size(prefixes)
+    automaton = ahocorasick is not None and text + rows * ROW_OVERHEAD <= automaton_bytes
+    if rows <= inline or automaton:
+        ordered = prefixes.orderBy("destino.ordem").select("prefixo", "destino.dataset_id")
+        routes = [tuple(r) for r in ordered.collect()]
+        search = _one_by_one if rows <= inline else _all_at_once
+        routed = arrivals.withColumn("_destino", search(arrivals, named(key), routes))
     else:
-        routed = _substring_join(arrivals, prefixes, key, broadcast_bytes)
+        small = text + rows * ROW_OVERHEAD <= broadcast_bytes
+        routed = _substring_join(arrivals, prefixes, key, small)
     return routed.select(
         *[named(c) for c in arrivals.columns],
         F.col("_destino.dataset_id").alias("dataset_id"),
@@ -47,28 +63,56 @@ def route(
     )
 
 
-def _inline_search(key: Column, rows: list) -> Column:
-    """First hit in file order: no join, no shuffle, and the search ends at the hit."""
-    if not rows:
-        return F.lit(None).cast(_ROUTE)
-    hits = [F.when(F.contains(key, F.lit(r["prefixo"])), F.lit(i)) for i, r in enumerate(rows, 1)]
-    routes = [
-        F.struct(
-            F.struct(
-                F.lit(r["destino"]["ordem"]["arquivo"]).alias("arquivo"),
-                F.lit(r["destino"]["ordem"]["linha"]).cast("bigint").alias("linha"),
-            ).alias("ordem"),
-            F.lit(r["destino"]["dataset_id"]).alias("dataset_id"),
-            F.lit(r["prefixo"]).alias("prefixo"),
-        )
-        for r in rows
-    ]
-    return F.get(F.array(*routes), F.coalesce(*hits) - 1)
-
-
-def _substring_join(
-    arrivals: DataFrame, prefixes: DataFrame, key: str, broadcast_bytes: int
-) -> DataFrame:
+def _size(prefixes: DataFrame) -> tuple[int, int]:
+    text = F.octet_length("prefixo") + F.octet_length("destino.dataset_id")
+    rows, total = prefixes.agg(F.count("*"), F.sum(text)).head()
+    return rows, total or 0
+
+
+def _one_by_one(arrivals: DataFrame, key: Column, routes: list[tuple[str, str]]) -> Column:
+    if not routes:
+        return F.lit(None).cast(f"struct<{_ROUTE}>")
+    table = F.array(
+        *[F.struct(F.lit(d).alias("dataset_id"), F.lit(p).alias("prefixo")) for p, d in routes]
+    )
+    return F.get(F.filter(table, lambda r: F.contains(key, r["prefixo"])), 0)
+
+
+def _all_at_once(arrivals: DataFrame, key: Column, routes: list[tuple[str, str]]) -> Column:
+    """The time per key does not depend on the number of prefixes."""
+    shared = arrivals.sparkSession.sparkContext.broadcast(routes)
+
+    @F.pandas_udf(_ROUTE)
+    def first_hits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        automaton = ahocorasick.Automaton()
+        # A blank prefix matches anything; what stands behind it is never the first.
+        last = len(shared.value)
+        for place, (prefix, _) in enumerate(shared.value):
+            if prefix == "":
+                last = place
+                break
+            automaton.add_word(prefix, place)
+        automaton.make_automaton()
+        routes = [*shared.value, (None, None)]
+        search = automaton.iter if len(automaton) else lambda text: ()
+        for keys in batches:
+            hits = [
+                len(shared.value)
+                if text is None
+                else min((place for _, place in search(text)), default=last)
+                for text in keys
+            ]
+            yield pd.DataFrame(
+                {
+                    "dataset_id": [routes[hit][1] for hit in hits],
+                    "prefixo": [routes[hit][0] for hit in hits],
+                }
+            )
+
+    return first_hits(key)
+
+
+def _substring_join(arrivals: DataFrame, prefixes: DataFrame, key: str, small: bool) -> DataFrame:
     """Equi-join of the keys' substrings with the prefixes.
 
     Only substrings as long as some prefix are cut. Each distinct key is searched
@@ -76,31 +120,19 @@ def _substring_join(
     """
     blank = prefixes.filter(F.col("prefixo") == "").select("destino").head()
     prefixes = prefixes.filter(F.col("prefixo") != "")
-    facts = prefixes.agg(
-        F.collect_set(F.length("prefixo")).alias("lengths"),
-        F.sum(
-            2 * F.octet_length("prefixo")
-            + F.octet_length("destino.dataset_id")
-            + F.octet_length("destino.ordem.arquivo")
-            + ROW_OVERHEAD
-        ).alias("bytes"),
-    ).head()
-    lengths = F.array(*[F.lit(n) for n in sorted(facts["lengths"])]).cast("array<int>")
-    if (facts["bytes"] or 0) <= broadcast_bytes:
-        prefixes = F.broadcast(prefixes)
-
-    text = F.col("_key")
-    fitting = F.filter(lengths, lambda n: n <= F.length(text))
-    pieces = F.transform(
-        fitting,
-        lambda n: F.transform(
-            F.sequence(F.lit(1), F.length(text) - n + 1), lambda at: F.substring(text, at, n)
-        ),
-    )
+    lengths = prefixes.agg(F.sort_array(F.collect_set(F.length("prefixo")))).head()[0]
+    lengths = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
+    # Spark takes the cut substrings for as few as the keys, and might broadcast those.
+    prefixes = F.broadcast(prefixes) if small else prefixes.hint("merge")
+
+    text, n, at = F.col("_key"), F.col("_length"), F.col("_at")
+    fitting = F.filter(lengths, lambda length: length <= F.length(text))
     found = (
         arrivals.select(named(key).alias("_key"))
         .distinct()
-        .select("_key", F.explode(F.array_distinct(F.flatten(pieces))).alias("prefixo"))
+        .select("_key", F.explode(fitting).alias("_length"))
+        .select("*", F.explode(F.sequence(F.lit(1), F.length(text) - n + 1)).alias("_at"))
+        .select("_key", F.substring(text, at, n).alias("prefixo"))
         .join(prefixes, "prefixo")
         .groupBy("_key")
         .agg(F.min("destino").alias("_destino"))
@@ -108,6 +140,15 @@ def _substring_join(
     routed = arrivals.join(found, named(key) == F.col("_key"), "left")
     if blank is None:
         return routed
-    first_blank = _inline_search(F.lit(""), [{"prefixo": "", "destino": blank["destino"]}])
-    catch_all = F.when(named(key).isNotNull(), first_blank)
-    return routed.withColumn("_destino", F.least("_destino", catch_all))
+    ordem = blank["destino"]["ordem"]
+    catch_all = F.struct(
+        F.struct(
+            F.lit(ordem["arquivo"]).alias("arquivo"),
+            F.lit(ordem["linha"]).cast("bigint").alias("linha"),
+        ).alias("ordem"),
+        F.lit(blank["destino"]["dataset_id"]).alias("dataset_id"),
+        F.lit("").alias("prefixo"),
+    )
+    return routed.withColumn(
+        "_destino", F.least("_destino", F.when(named(key).isNotNull(), catch_all))
+    )

@@ -5,7 +5,12 @@ import pytest
 from eclusa.operators.routing import route
 
 SCHEMA = "prefixo string, dataset_id string, ordem struct<arquivo: string, linha: bigint>"
-WAYS = [{}, {"inline": 0}, {"inline": 0, "broadcast_bytes": 0}]
+WAYS = [
+    {"inline": 1000},
+    {"inline": -1},
+    {"inline": -1, "automaton_bytes": -1},
+    {"inline": -1, "automaton_bytes": -1, "broadcast_bytes": -1},
+]
 
 
 def control_of(spark, prefixes):
@@ -62,13 +67,26 @@ def test_only_a_blank_prefix(spark, way):
     assert {r["key"]: r["dataset_id"] for r in found.collect()} == {"a": "d0", None: None}
 
 
+def plan_of(capsys, df):
+    df.explain()
+    return capsys.readouterr().out
+
+
 def test_plans(spark, capsys):
     arrivals = spark.range(10).selectExpr("cast(id as string) as key")
     control = control_of(spark, ["1", "2"])
-    route(arrivals, control).explain()
-    plan = capsys.readouterr().out
-    assert "Join" not in plan and "Exchange" not in plan
-    for way in WAYS[1:]:
-        route(arrivals, control, **way).explain()
-        plan = capsys.readouterr().out
-        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    inline, automaton, broadcast, shuffled = (
+        plan_of(capsys, route(arrivals, control, **way)) for way in WAYS
+    )
+    assert "Join" not in inline + automaton and "Exchange" not in inline + automaton
+    assert "Python" not in inline and "ArrowEvalPython" in automaton
+    assert "BroadcastHashJoin [prefixo" in broadcast
+    assert "SortMergeJoin [prefixo" in shuffled
+    assert "NestedLoop" not in broadcast + shuffled
+
+
+def test_without_the_automaton_package(spark, capsys, monkeypatch):
+    monkeypatch.setattr("eclusa.operators.routing.ahocorasick", None)
+    arrivals = spark.createDataFrame([("a/x",), ("b",)], "key string")
+    found = route(arrivals, control_of(spark, ["a/", "zz"]), inline=0)
+    assert {r["key"]: r["dataset_id"] for r in found.collect()} == {"a/x": "d0", "b": None}
