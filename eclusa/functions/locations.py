@@ -50,7 +50,7 @@ class Files:
 
     def __init__(self, spark: SparkSession, location: str):
         self._jvm = spark.sparkContext._jvm
-        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(location).getFileSystem(conf)
 

@@ -63,15 +63,15 @@ def upsert(
     current, layout = _open_target(source, target, fmt, partitions)
     keys = _resolve(current, keys, "target")
     staging = fresh_path(spark, "upsert")
-    rows = _aligned(source, current)
+    wanted = _aligned(source, current)
     try:
         # Written once, so that the checks and both joins see the same rows.
-        rows.write.parquet(staging)
-        staged = spark.read.schema(rows.schema).parquet(staging)
-        if staged.isEmpty():
+        wanted.write.parquet(staging)
+        staged = spark.read.schema(wanted.schema).parquet(staging)
+        rows = reject_ambiguous(current, staged, keys)
+        if rows == 0:
             return
-        reject_ambiguous(current, staged, keys)
-        small = fits_broadcast(staged)
+        small = rows <= BROADCAST_ROWS and text_bytes(staged) <= BROADCAST_BYTES
         if layout and set(layout) <= set(keys):
             touched = _touched_partitions(current, staged, layout, pruned_partitions)
             out = writer(merge_frames(touched, staged, keys, small), fmt, layout, not small)
@@ -115,6 +115,8 @@ def merge_frames(
         ]
     )
 
+    # Target keys meet the source's before or after they are made distinct: a broadcast
+    # spares the shuffle, and without one a hot key shrinks before it is shuffled.
     known, wanted = t.select(*t_keys), s.select(*s_keys)
     if small_source:
         known = known.join(F.broadcast(wanted), on_keys, "left_semi").distinct()
@@ -128,24 +130,24 @@ def merge_frames(
     )
 
 
-def reject_ambiguous(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
+def reject_ambiguous(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> int:
     """Raise if some target row would be updated by several source rows.
 
-    The target is only looked at when the source repeats a key at all.
+    The target is only looked at when the source repeats a key at all. Returns the
+    number of source rows.
     """
-    repeated = (
-        source.select(*[named(k).alias(f"s{i}") for i, k in enumerate(keys)])
-        .na.drop()
-        .groupBy(*[f"s{i}" for i in range(len(keys))])
-        .count()
-        .filter("count > 1")
-    )
-    if repeated.isEmpty():
-        return
-    on_keys = all_of([named(k) == F.col(f"s{i}") for i, k in enumerate(keys)])
-    clash = target.select(*[named(k) for k in keys]).join(repeated, on_keys, "left_semi").head()
-    if clash is not None:
-        raise MergeError(f"several source rows match the target row with {clash.asDict()}")
+    numbered = [f"s{i}" for i in range(len(keys))]
+    counts = source.select(*[named(k).alias(n) for k, n in zip(keys, numbered)])
+    counts = counts.groupBy(*numbered).count()
+    usable = ~has_null([F.col(n) for n in numbered])
+    rows, most = counts.agg(F.sum("count"), F.max(F.when(usable, F.col("count")))).head()
+    if most is not None and most > 1:
+        repeated = counts.filter(usable & (F.col("count") > 1))
+        on_keys = all_of([named(k) == F.col(n) for k, n in zip(keys, numbered)])
+        clash = target.select(*map(named, keys)).join(repeated, on_keys, "left_semi").head()
+        if clash is not None:
+            raise MergeError(f"several source rows match the target row with {clash.asDict()}")
+    return rows or 0
 
 
 def _merge_natively(source: DataFrame, table: str, keys: Sequence[str]) -> None:
@@ -174,18 +176,10 @@ def _aligned(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def fits_broadcast(
-    source: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Whether the rows are few and short enough to be sent to every executor.
-
-    Counting a written table reads no rows; only a table of few rows is measured.
-    """
-    rows = source.count()
-    if rows > max_rows:
-        return False
-    text = F.octet_length(F.struct(*[named(c) for c in source.columns]).cast("string"))
-    return rows * ROW_OVERHEAD + (source.agg(F.sum(text)).head()[0] or 0) <= max_bytes
+def text_bytes(df: DataFrame) -> int:
+    """Size of the rows, by their values as text and a fixed overhead."""
+    row = F.struct(*map(named, df.columns)).cast("string")
+    return df.agg(F.sum(F.octet_length(row) + ROW_OVERHEAD)).head()[0] or 0
 
 
 def _moves_rows(

@@ -103,9 +103,15 @@ def run_dataset(
 
 @dataclass
 class ArrivalReport:
-    """What became of a set of arrivals. ``unroutable`` has the arrivals without a dataset."""
+    """What became of a set of arrivals.
+
+    ``arrived`` counts them by dataset, under None those without a route; these are
+    the rows of ``unroutable``, and ``lost`` is one of them.
+    """
 
     unroutable: DataFrame
+    arrived: dict[str | None, int]
+    lost: str | None = None
     done: list[Outcome] = field(default_factory=list)
     failed: dict[str, Exception] = field(default_factory=dict)
 
@@ -121,20 +127,27 @@ def run_arrivals(
     """Route the arrived files and ingest each dataset that got some, once.
 
     One dataset's failure leaves the others alone. Datasets with the same target run
-    one after the other, in file order; the rest share the cluster. An arrival
-    without a route is an error, raised after the routable ones are done.
+    one after the other, in file order; the rest share the cluster. What the driver
+    sees of the arrivals is one row per control row that took some.
     """
-    routed = route(arrivals, control, key).select(key, "prefixo")
-    hit = routed.select("prefixo").distinct()
-    rows = first_rows(control, "prefixo").join(hit, "prefixo", "left_semi").orderBy("ordem")
-    report = ArrivalReport(routed.filter("prefixo is null").select(key))
-
-    by_target: dict[str, list[dict]] = {}
-    for row in (r.asDict() for r in rows.collect()):
+    routed = route(arrivals, control, key)
+    taken = routed.groupBy("prefixo").agg(
+        F.count("*").alias("_arrivals"), F.min(key).alias("_example")
+    )
+    rows = taken.join(first_rows(control, "prefixo"), "prefixo", "left").orderBy("ordem").collect()
+    report = ArrivalReport(routed.filter("prefixo is null").select(*arrivals.columns), {})
+
+    by_target: dict[str, list[dict[str, str]]] = {}
+    for row in rows:
+        dataset_id = row["dataset_id"]
+        report.arrived[dataset_id] = report.arrived.get(dataset_id, 0) + row["_arrivals"]
+        if row["prefixo"] is None:
+            report.lost = str(row["_example"])
+            continue
         target = uri(row["bucket_destino"], row["caminho_destino"], options.scheme)
-        by_target.setdefault(target.rstrip("/"), []).append(row)
+        by_target.setdefault(target.rstrip("/"), []).append(row.asDict())
 
-    def run(group: list[dict]) -> None:
+    def run(group: list[dict[str, str]]) -> None:
         for row in group:
             try:
                 report.done.append(ingest(spark, row, options))
@@ -148,9 +161,8 @@ def run_arrivals(
 
 def raise_failures(report: ArrivalReport) -> ArrivalReport:
     """The report itself, unless an arrival had no route or a dataset failed."""
-    lost = report.unroutable.head()
-    if lost is not None:
-        raise IngestionError(f"no dataset takes the arrival {lost[0]!r}")
+    if report.lost is not None:
+        raise IngestionError(f"no dataset takes the arrival {report.lost!r}")
     if report.failed:
         names = ", ".join(sorted(report.failed))
         raise IngestionError(f"ingestion failed for {names}") from next(iter(report.failed.values()))

@@ -149,6 +149,7 @@ def test_arrivals(spark, tmp_path, source):
     assert sorted(o.dataset_id for o in report.done) == ["a", "c", "c2"]
     assert list(report.failed) == ["b"]
     assert [r["key"] for r in report.unroutable.collect()] == ["out/1"]
+    assert report.arrived == {"a": 50, "b": 50, "c": 50, "c2": 50, None: 1}
     assert spark.read.parquet(str(tmp_path / "c")).count() == 40
     assert not (tmp_path / "d").exists()
     with pytest.raises(IngestionError, match="out/1"):

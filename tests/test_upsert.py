@@ -1,3 +1,4 @@
+import importlib
 import random
 
 import duckdb
@@ -5,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from eclusa.errors import MergeError
-from eclusa.operators.upsert import fits_broadcast, merge_frames, reject_ambiguous, upsert
+from eclusa.operators.upsert import merge_frames, reject_ambiguous, text_bytes, upsert
 from tests.helpers import data_files, sorted_rows
 
+upsert_module = importlib.import_module("eclusa.operators.upsert")
+
 TARGET = [(1, "a"), (None, "b")]
 SOURCE = [(1, None), (None, "B"), (7, "x"), (7, "y")]
 
@@ -187,11 +190,27 @@ def test_source_is_read_once(spark, tmp_path):
     assert back.filter("k < 500").count() == 500
 
 
-def test_broadcast_bound(spark, tmp_path):
-    rows = spark.read.parquet(saved(spark.range(1000).selectExpr("id", "repeat('x', 100) t"), tmp_path / "t"))
-    assert fits_broadcast(rows)
-    assert not fits_broadcast(rows, max_rows=999)
-    assert not fits_broadcast(rows, max_bytes=200_000)
+@pytest.mark.parametrize("bound", ["BROADCAST_ROWS", "BROADCAST_BYTES"])
+def test_source_beyond_the_broadcast_bound(spark, tmp_path, monkeypatch, bound):
+    seen = []
+    merge = upsert_module.merge_frames
+    monkeypatch.setattr(upsert_module, "merge_frames", lambda *a: seen.append(a[3]) or merge(*a))
+    path = saved(spark.range(100).selectExpr("id as k", "id % 3 as p", "'old' as v"), tmp_path / "t", "p")
+    source = spark.range(50, 150).selectExpr("id as k", "id % 3 as p", "'new' as v")
+    upsert(source, path, ["k"])
+    monkeypatch.setattr(upsert_module, bound, 99)
+    upsert(source, path, ["k"])
+    upsert(source, path, ["p", "k"])
+    assert seen == [True, False, False]
+    back = spark.read.parquet(path)
+    assert back.count() == 150 and back.filter("v = 'new'").count() == 100
+    assert len(data_files(path)) == 3
+
+
+def test_size_of_rows(spark):
+    df = spark.range(1000).selectExpr("id", "repeat('x', 100) as t", "array(1, 2) as a", "map('k', 1) as m")
+    assert 100_000 < text_bytes(df) < 300_000
+    assert text_bytes(df.limit(0)) == 0
 
 
 def test_small_source_leaves_the_target_unshuffled(spark, tmp_path, capsys):
