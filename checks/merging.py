@@ -171,7 +171,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.write.parquet(target)
     orders = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
     urgent = F.col("o_orderpriority") == "1-URGENT"
-    _stream(
+    return _stream(
         spark,
         [orders.filter(urgent), orders.filter(~urgent)],
         target,
@@ -180,7 +180,6 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         query="select o_orderkey as pedido, 0 as linhas, o_orderstatus as estado, "
         "o_totalprice as total from tabela_temp",
     )
-    return spark.read.schema(ledger.schema).parquet(target)
 
 
 QUERIES = {

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
@@ -33,6 +34,8 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 # Bytes that a broadcast row needs beyond its text.
 ROW_OVERHEAD = 128
+# A repeated source key is hot with more than one in so many of the rows.
+HOT_KEYS = 10_000
 # Up to this many touched partitions are named in the scan's partition filter.
 PRUNED_PARTITIONS = 200
 
@@ -44,8 +47,8 @@ def upsert(
     fmt: str = "parquet",
     partitions: Sequence[str] = (),
     pruned_partitions: int = PRUNED_PARTITIONS,
-) -> None:
-    """Merge ``source`` into the existing dataset at ``target``.
+) -> StructType:
+    """Merge ``source`` into the existing dataset at ``target``; returns the target's schema.
 
     The target keeps its own partition layout; ``partitions`` only serves a target
     that has no files to show one. If the keys contain all partition columns, just
@@ -57,10 +60,10 @@ def upsert(
     spark = source.sparkSession
     if fmt in MERGING_FORMATS:
         _merge_natively(source, f"{fmt}.`{target}`", keys)
-        return
+        return spark.read.format(fmt).load(target).schema
 
     _restore_interrupted(spark, target)
-    current, layout = _open_target(source, target, fmt, partitions)
+    current, layout = open_target(source, target, fmt, partitions)
     keys = _resolve(current, keys, "target")
     staging = fresh_path(spark, "upsert")
     wanted = _aligned(source, current)
@@ -68,26 +71,32 @@ def upsert(
         # Written once, so that the checks and both joins see the same rows.
         wanted.write.parquet(staging)
         staged = spark.read.schema(wanted.schema).parquet(staging)
-        rows = reject_ambiguous(current, staged, keys)
+        rows, hot = reject_ambiguous(current, staged, keys)
         if rows == 0:
-            return
+            return current.schema
         small = rows <= BROADCAST_ROWS and text_bytes(staged) <= BROADCAST_BYTES
         if layout and set(layout) <= set(keys):
             touched = _touched_partitions(current, staged, layout, pruned_partitions)
-            out = writer(merge_frames(touched, staged, keys, small), fmt, layout, not small)
+            merged = merge_frames(touched, staged, keys, small, hot)
+            out = writer(merged, fmt, layout, not small)
             # Old files go when the job commits, after everything has been read.
             out.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(target)
         else:
             # Joined by broadcast, the target's rows are still together by partition.
             scattered = not small or _moves_rows(current, staged, keys, layout)
-            merged = merge_frames(current, staged, keys, small)
+            merged = merge_frames(current, staged, keys, small, hot)
             _replace(spark, writer(merged, fmt, layout, scattered), target)
+        return current.schema
     finally:
         Files(spark, staging).remove(staging)
 
 
 def merge_frames(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    small_source: bool = False,
+    unmatched: DataFrame | None = None,
 ) -> DataFrame:
     """Merged rows, for a source that is unambiguous and has the target's columns.
 
@@ -95,9 +104,15 @@ def merge_frames(
     broadcast when it is small, and that AQE may split when a key is hot. Rows with
     a NULL key match nothing and pass by the joins, however many they are.
     ``small_source`` says that the source was measured and fits a broadcast; then the
-    target is not shuffled at all.
+    target is not shuffled at all. ``unmatched`` are source keys, few but with many rows
+    each, that are known to have no partner; their rows pass by the joins, too.
     """
     columns = target.columns
+    passing = []
+    if unmatched is not None:
+        unmatched = F.broadcast(unmatched)
+        passing = [source.join(unmatched, list(keys), "left_semi")]
+        source = source.join(unmatched, list(keys), "left_anti").select(*map(named, columns))
     null_key = has_null([named(k) for k in keys])
     t = _numbered(target.filter(~null_key), "t")
     s = _numbered(source.filter(~null_key), "s")
@@ -123,31 +138,36 @@ def merge_frames(
     else:
         known = known.distinct().join(wanted, on_keys, "left_semi")
     added = s.join(known, on_keys, "left_anti").toDF(*columns)
-    return (
-        stayed.union(added)
-        .union(target.filter(null_key))
-        .union(source.filter(null_key).select(*[named(c) for c in columns]))
-    )
+    passing += [target.filter(null_key), source.filter(null_key)]
+    passing = [df.select(*map(named, columns)) for df in passing]
+    return reduce(DataFrame.union, [stayed, added, *passing])
 
 
-def reject_ambiguous(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> int:
+def reject_ambiguous(
+    target: DataFrame, source: DataFrame, keys: Sequence[str]
+) -> tuple[int, DataFrame | None]:
     """Raise if some target row would be updated by several source rows.
 
     The target is only looked at when the source repeats a key at all. Returns the
-    number of source rows.
+    number of source rows, and the hot keys among the repeated ones, if any: by the
+    check they match nothing, and by their share there are at most ``HOT_KEYS``.
     """
     numbered = [f"s{i}" for i in range(len(keys))]
     counts = source.select(*[named(k).alias(n) for k, n in zip(keys, numbered)])
     counts = counts.groupBy(*numbered).count()
     usable = ~has_null([F.col(n) for n in numbered])
     rows, most = counts.agg(F.sum("count"), F.max(F.when(usable, F.col("count")))).head()
-    if most is not None and most > 1:
-        repeated = counts.filter(usable & (F.col("count") > 1))
-        on_keys = all_of([named(k) == F.col(n) for k, n in zip(keys, numbered)])
-        clash = target.select(*map(named, keys)).join(repeated, on_keys, "left_semi").head()
-        if clash is not None:
-            raise MergeError(f"several source rows match the target row with {clash.asDict()}")
-    return rows or 0
+    if (most or 0) <= 1:
+        return rows or 0, None
+    repeated = counts.filter(usable & (F.col("count") > 1))
+    on_keys = all_of([named(k) == F.col(n) for k, n in zip(keys, numbered)])
+    clash = target.select(*map(named, keys)).join(repeated, on_keys, "left_semi").head()
+    if clash is not None:
+        raise MergeError(f"several source rows match the target row with {clash.asDict()}")
+    if most * HOT_KEYS <= rows:
+        return rows, None
+    hot = repeated.filter(F.col("count") * HOT_KEYS > rows)
+    return rows, hot.select(*[F.col(n).alias(k) for k, n in zip(keys, numbered)])
 
 
 def _merge_natively(source: DataFrame, table: str, keys: Sequence[str]) -> None:
@@ -197,12 +217,13 @@ def _moves_rows(
     return not moved.isEmpty()
 
 
-def _open_target(
+def open_target(
     source: DataFrame, target: str, fmt: str, partitions: Sequence[str]
 ) -> tuple[DataFrame, list[str]]:
     """The target as it is, and the partition columns its folders show.
 
-    Folder names carry no types, so partition columns take the source's.
+    Folder names carry no types, so partition columns take the source's. Only the
+    schema of ``source`` is used.
     """
     spark = source.sparkSession
     reader = spark.read.format(fmt)

@@ -85,13 +85,14 @@ def _ingest(spark: SparkSession, row: dict[str, str], options: Options) -> Outco
 
     fmt = row["formato_destino"]
     if mode == "upsert":
-        upsert(df, target, split_names(row["chaves"]), fmt, partitions)
+        schema = upsert(df, target, split_names(row["chaves"]), fmt, partitions)
     else:
+        schema = df.schema
         check_partitions(df, partitions)
         table = f"{row['glue_database']}.{row['glue_tabela']}" if options.catalog else ""
         codec = row["compressao"].strip() if options.compress else ""
         write(df, target, fmt, mode, partitions, codec, table, options.cluster)
-    return Outcome(row.get("dataset_id", ""), target, fmt, mode, partitions, df.schema)
+    return Outcome(row.get("dataset_id", ""), target, fmt, mode, partitions, schema)
 
 
 def run_dataset(

@@ -19,7 +19,7 @@ from eclusa.functions.locations import Files, fresh_path, owned_by_stream, uri
 from eclusa.operators.partitioning import with_partitions
 from eclusa.operators.sink import check_apart, check_partitions, clustered, write, write_mode
 from eclusa.operators.transform import apply_sql, skips
-from eclusa.operators.upsert import upsert
+from eclusa.operators.upsert import open_target, upsert
 from eclusa.plans.ingest import Options, Outcome
 from eclusa.sources.scan import check_contract, scan
 
@@ -65,12 +65,7 @@ def ingest_new_files(
 
     if mode == "upsert":
         keys = split_names(row["chaves"])
-
-        def merge(batch: DataFrame, number: int) -> None:
-            if not batch.isEmpty():
-                upsert(apply_sql(batch, row["query"]), target, keys, fmt, partitions)
-
-        sink, schema = arrived.writeStream.foreachBatch(merge), arrived.schema
+        sink, schema = _merge_sink(arrived, row["query"], target, fmt, partitions, keys)
     elif skips(row["query"]) or _works_by_row(arrived, row["query"]):
         sink, schema = _file_sink(apply_sql(arrived, row["query"]), target, fmt, partitions)
     else:
@@ -121,14 +116,35 @@ def _file_sink(
     return sink.option("path", target), rows.schema
 
 
+def _shape(arrived: DataFrame, query: str) -> DataFrame:
+    """The statement's result columns, from a frame of the source's schema without rows."""
+    return apply_sql(arrived.sparkSession.createDataFrame([], arrived.schema), query)
+
+
+def _merge_sink(
+    arrived: DataFrame,
+    query: str,
+    target: str,
+    fmt: str,
+    partitions: list[str],
+    keys: list[str],
+) -> tuple[DataStreamWriter, StructType]:
+    current, _ = open_target(_shape(arrived, query), target, fmt, partitions)
+
+    def merge(batch: DataFrame, number: int) -> None:
+        if not batch.isEmpty():
+            upsert(apply_sql(batch, query), target, keys, fmt, partitions)
+
+    return arrived.writeStream.foreachBatch(merge), current.schema
+
+
 def _batch_sink(
     arrived: DataFrame, query: str, target: str, fmt: str, partitions: list[str]
 ) -> tuple[DataStreamWriter, StructType]:
     spark = arrived.sparkSession
     if owned_by_stream(spark, target):
         raise SinkError(f"{target} has a stream's file log; further folders would not be seen")
-    # The statement's result columns, from a frame of the same schema without rows.
-    shape = apply_sql(spark.createDataFrame([], arrived.schema), query)
+    shape = _shape(arrived, query)
     check_partitions(shape, partitions)
 
     def append(batch: DataFrame, number: int) -> None:

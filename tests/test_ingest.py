@@ -63,9 +63,9 @@ def test_upsert_run(spark, tmp_path, source):
         tipo_particao="data",
         query="NA",
     )
-    ingest(spark, row)
-    back = spark.read.parquet(str(tmp_path / "target"))
+    back = ingest(spark, row).read(spark)
     assert back.columns == ["id", "d", "v"] and back.count() == 21
+    assert spark.read.parquet(str(tmp_path / "target")).columns == ["id", "d", "v"]
     assert sorted_rows(back.filter("id in (3, 99)")) == [(3, "2023-12-01", 6), (99, "y", 1)]
     with pytest.raises(MergeError):
         ingest(spark, {**row, "chaves": " , "})

@@ -79,8 +79,10 @@ def test_upsert_by_micro_batch(spark, tmp_path, feed):
     ingest_new_files(spark, row, str(tmp_path / "c"), max_files=1)
     expected = [(0, "z", 0), (1, "a", 1), (2, "b", 2), (9, "old", 0)]
     assert sorted_rows(spark.read.parquet(str(tmp_path / "target"))) == expected
-    ingest_new_files(spark, row, str(tmp_path / "again"), max_files=1)
-    assert sorted_rows(spark.read.parquet(str(tmp_path / "target"))) == expected
+    outcome = ingest_new_files(spark, row, str(tmp_path / "again"), max_files=1)
+    assert sorted_rows(outcome.read(spark)) == expected
+    with pytest.raises(SinkError, match="existing"):
+        ingest_new_files(spark, {**row, "caminho_destino": "missing"}, str(tmp_path / "m"))
 
 
 def test_ambiguous_micro_batch(spark, tmp_path, feed):

@@ -85,17 +85,17 @@ def test_files_of_different_schema_lose_no_column(spark, tmp_path):
 
 
 @pytest.mark.parametrize("small", [True, False])
-@pytest.mark.parametrize("keys", [["a"], ["a", "b"]])
+@pytest.mark.parametrize("keys", [["a"], ["a", "b"], ["b"], ["b", "a"]])
 def test_equals_merge_into(spark, keys, small):
     rng = random.Random(11)
     value = lambda: rng.choice([None, *range(50)])
     key = lambda: rng.choice([None, *range(12)])
     target = [(key(), key(), value()) for _ in range(300)]
-    in_target = {tuple(r[: len(keys)]) for r in target}
+    in_target = {tuple(r["ab".index(c)] for c in keys) for r in target}
     source, seen = [], set()
     for _ in range(300):
-        row = (key() if rng.random() < 0.5 else rng.randint(20, 40), key(), value())
-        k = tuple(row[: len(keys)])
+        row = tuple(key() if rng.random() < 0.5 else rng.randint(20, 40) for _ in "ab") + (value(),)
+        k = tuple(row["ab".index(c)] for c in keys)
         if k in seen and k in in_target and None not in k:
             continue
         seen.add(k)
@@ -115,8 +115,10 @@ def test_equals_merge_into(spark, keys, small):
 
     schema = "a int, b int, v int"
     t, s = spark.createDataFrame(target, schema), spark.createDataFrame(source, schema)
-    reject_ambiguous(t, s, keys)
-    assert sorted_rows(merge_frames(t, s, keys, small)) == expected
+    rows, hot = reject_ambiguous(t, s, keys)
+    assert rows == len(source)
+    for unmatched in (None, hot):
+        assert sorted_rows(merge_frames(t, s, keys, small, unmatched)) == expected
 
 
 def test_only_touched_partitions_are_rewritten(spark, tmp_path):
@@ -223,6 +225,23 @@ def test_small_source_leaves_the_target_unshuffled(spark, tmp_path, capsys):
     assert "hashpartitioning" not in left
 
 
+@pytest.mark.parametrize("rows", [None, 10])
+def test_hot_source_key_without_partner(spark, tmp_path, monkeypatch, rows):
+    """A third of the source shares a key the target lacks: all of it is added."""
+    if rows:
+        monkeypatch.setattr(upsert_module, "BROADCAST_ROWS", rows)
+    path = saved(spark.range(1000).selectExpr("id as k", "id as v"), tmp_path / "t")
+    source = spark.range(3000).selectExpr("if(id % 3 = 0, -1, id) as k", "id + 5000 as v")
+    current, staged = spark.read.parquet(path), source
+    count, hot = reject_ambiguous(current, staged, ["k"])
+    assert count == 3000 and [r["k"] for r in hot.collect()] == [-1]
+    upsert(source, path, ["k"])
+    back = spark.read.parquet(path)
+    assert back.count() == 1000 + 1000 + 1334
+    assert back.filter("k = -1").select("v").distinct().count() == 1000
+    assert back.filter("k between 0 and 999 and v >= 5000").count() == 666
+
+
 def test_hot_key_is_split(spark, tmp_path):
     """A third of a large target shares one key; the join's plan must split it."""
     settings = {
