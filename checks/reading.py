@@ -98,7 +98,7 @@ def route_arrivals_many_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def route_arrivals_large_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As before, with a control table beyond the bounds of what is broadcast."""
     arrivals, control = _daily_arrivals(spark, sf_dir)
-    return route(arrivals, control, automaton_bytes=0, broadcast_bytes=0).drop("prefixo")
+    return route(arrivals, control, collect_bytes=0, broadcast_bytes=0).drop("prefixo")
 
 
 ROUTED_BY_DAY = """

@@ -19,10 +19,10 @@ try:
 except ImportError:
     ahocorasick = None
 
-# Up to this many distinct prefixes are tried one by one, inside the JVM.
+# Up to this many bytes of prefixes and ids become part of the projection.
+COLLECT_BYTES = 2 * 1024 * 1024
+# Of those, so many distinct prefixes are tried one by one; more make an automaton.
 INLINE_PREFIXES = 32
-# Up to this many bytes of prefixes and ids make an automaton, which searches all at once.
-AUTOMATON_BYTES = 2 * 1024 * 1024
 # Up to this many bytes the prefixes are broadcast to a join.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Bytes that a broadcast row needs beyond its text.
@@ -36,26 +36,21 @@ def route(
     control: DataFrame,
     key: str = "key",
     inline: int = INLINE_PREFIXES,
-    automaton_bytes: int = AUTOMATON_BYTES,
+    collect_bytes: int = COLLECT_BYTES,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``arrivals`` with ``dataset_id`` and ``prefixo`` of the control row each key goes to.
 
     Both are NULL if no prefix occurs in the key. A blank prefix occurs in every key.
     """
-    prefixes = control.groupBy("prefixo").agg(
-        F.min(F.struct("ordem", "dataset_id", "prefixo")).alias("destino")
-    )
-    rows, text = _size(prefixes)
-    automaton = ahocorasick is not None and text + rows * ROW_OVERHEAD <= automaton_bytes
-    if rows <= inline or automaton:
-        ordered = prefixes.orderBy("destino.ordem").select("prefixo", "destino.dataset_id")
-        routes = [tuple(r) for r in ordered.collect()]
-        search = _one_by_one if rows <= inline else _all_at_once
-        routed = arrivals.withColumn("_destino", search(arrivals, named(key), routes))
+    size = _size(control)
+    routes = _first_routes(control) if size <= collect_bytes else None
+    if routes is not None and len(routes) <= inline:
+        routed = arrivals.withColumn("_destino", _one_by_one(named(key), routes))
+    elif routes is not None and ahocorasick is not None:
+        routed = arrivals.withColumn("_destino", _all_at_once(arrivals, named(key), routes))
     else:
-        small = text + rows * ROW_OVERHEAD <= broadcast_bytes
-        routed = _substring_join(arrivals, prefixes, key, small)
+        routed = _substring_join(arrivals, control, key, size <= broadcast_bytes)
     return routed.select(
         *[named(c) for c in arrivals.columns],
         F.col("_destino.dataset_id").alias("dataset_id"),
@@ -63,13 +58,25 @@ def route(
     )
 
 
-def _size(prefixes: DataFrame) -> tuple[int, int]:
-    text = F.octet_length("prefixo") + F.octet_length("destino.dataset_id")
-    rows, total = prefixes.agg(F.count("*"), F.sum(text)).head()
-    return rows, total or 0
+def _size(control: DataFrame) -> int:
+    # The join carries a prefix twice, as key and as part of the route.
+    text = 2 * F.octet_length("prefixo") + F.octet_length("dataset_id")
+    row = text + F.octet_length("ordem.arquivo") + ROW_OVERHEAD
+    return control.agg(F.sum(row)).head()[0] or 0
+
+
+def _first_routes(control: DataFrame) -> list[tuple[str, str]]:
+    """Prefix and dataset of the rows that can win, in file order; a blank prefix is the last."""
+    rows = control.select("ordem", "prefixo", "dataset_id").collect()
+    first: dict[str, str] = {}
+    for _, prefix, dataset_id in sorted(rows):
+        first.setdefault(prefix, dataset_id)
+        if prefix == "":
+            break
+    return list(first.items())
 
 
-def _one_by_one(arrivals: DataFrame, key: Column, routes: list[tuple[str, str]]) -> Column:
+def _one_by_one(key: Column, routes: list[tuple[str, str]]) -> Column:
     if not routes:
         return F.lit(None).cast(f"struct<{_ROUTE}>")
     table = F.array(
@@ -84,20 +91,18 @@ def _all_at_once(arrivals: DataFrame, key: Column, routes: list[tuple[str, str]]
 
     @F.pandas_udf(_ROUTE)
     def first_hits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        routes = [*shared.value, (None, None)]
+        nowhere = len(routes) - 1
         automaton = ahocorasick.Automaton()
-        # A blank prefix matches anything; what stands behind it is never the first.
-        last = len(shared.value)
         for place, (prefix, _) in enumerate(shared.value):
-            if prefix == "":
-                last = place
-                break
             automaton.add_word(prefix, place)
         automaton.make_automaton()
-        routes = [*shared.value, (None, None)]
+        # Only the last prefix can be blank; it takes whatever nothing else does.
+        last = nowhere - 1 if nowhere and routes[nowhere - 1][0] == "" else nowhere
         search = automaton.iter if len(automaton) else lambda text: ()
         for keys in batches:
             hits = [
-                len(shared.value)
+                nowhere
                 if text is None
                 else min((place for _, place in search(text)), default=last)
                 for text in keys
@@ -112,12 +117,15 @@ def _all_at_once(arrivals: DataFrame, key: Column, routes: list[tuple[str, str]]
     return first_hits(key)
 
 
-def _substring_join(arrivals: DataFrame, prefixes: DataFrame, key: str, small: bool) -> DataFrame:
+def _substring_join(arrivals: DataFrame, control: DataFrame, key: str, small: bool) -> DataFrame:
     """Equi-join of the keys' substrings with the prefixes.
 
     Only substrings as long as some prefix are cut. Each distinct key is searched
     once; AQE splits a key or prefix that dominates the shuffled variant.
     """
+    prefixes = control.groupBy("prefixo").agg(
+        F.min(F.struct("ordem", "dataset_id", "prefixo")).alias("destino")
+    )
     blank = prefixes.filter(F.col("prefixo") == "").select("destino").head()
     prefixes = prefixes.filter(F.col("prefixo") != "")
     lengths = prefixes.agg(F.sort_array(F.collect_set(F.length("prefixo")))).head()[0]

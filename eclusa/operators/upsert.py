@@ -100,22 +100,24 @@ def merge_frames(
 ) -> DataFrame:
     """Merged rows, for a source that is unambiguous and has the target's columns.
 
-    Two joins instead of one full outer join: each has a side that Spark may
-    broadcast when it is small, and that AQE may split when a key is hot. Rows with
-    a NULL key match nothing and pass by the joins, however many they are.
-    ``small_source`` says that the source was measured and fits a broadcast; then the
-    target is not shuffled at all. ``unmatched`` are source keys, few but with many rows
-    each, that are known to have no partner; their rows pass by the joins, too.
+    Two joins instead of one full outer join: each has a side that can be broadcast
+    when it is small, and that AQE may split when a key is hot. ``small_source`` says
+    that the source was measured and fits a broadcast; then the target is not shuffled
+    at all. Otherwise rows that match nothing pass by the joins, however many they are:
+    those with a NULL key, and those of ``unmatched``, source keys known to have no
+    partner, few but with many rows each.
     """
     columns = target.columns
     passing = []
-    if unmatched is not None:
-        unmatched = F.broadcast(unmatched)
-        passing = [source.join(unmatched, list(keys), "left_semi")]
-        source = source.join(unmatched, list(keys), "left_anti").select(*map(named, columns))
-    null_key = has_null([named(k) for k in keys])
-    t = _numbered(target.filter(~null_key), "t")
-    s = _numbered(source.filter(~null_key), "s")
+    if not small_source:
+        null_key = has_null([named(k) for k in keys])
+        passing = [target.filter(null_key), source.filter(null_key)]
+        target, source = target.filter(~null_key), source.filter(~null_key)
+        if unmatched is not None:
+            unmatched = F.broadcast(unmatched)
+            passing.append(source.join(unmatched, list(keys), "left_semi"))
+            source = source.join(unmatched, list(keys), "left_anti").select(*map(named, columns))
+    t, s = _numbered(target, "t"), _numbered(source, "s")
     t_keys = [f"t{columns.index(k)}" for k in keys]
     s_keys = [f"s{columns.index(k)}" for k in keys]
     on_keys = all_of([F.col(a) == F.col(b) for a, b in zip(t_keys, s_keys)])
@@ -138,7 +140,6 @@ def merge_frames(
     else:
         known = known.distinct().join(wanted, on_keys, "left_semi")
     added = s.join(known, on_keys, "left_anti").toDF(*columns)
-    passing += [target.filter(null_key), source.filter(null_key)]
     passing = [df.select(*map(named, columns)) for df in passing]
     return reduce(DataFrame.union, [stayed, added, *passing])
 

@@ -8,8 +8,8 @@ SCHEMA = "prefixo string, dataset_id string, ordem struct<arquivo: string, linha
 WAYS = [
     {"inline": 1000},
     {"inline": -1},
-    {"inline": -1, "automaton_bytes": -1},
-    {"inline": -1, "automaton_bytes": -1, "broadcast_bytes": -1},
+    {"inline": -1, "collect_bytes": -1},
+    {"inline": -1, "collect_bytes": -1, "broadcast_bytes": -1},
 ]
 
 
