@@ -14,9 +14,13 @@ def split_names(text: str | None) -> list[str]:
     return [name.strip() for name in (text or "").split(",") if name.strip()]
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def named(name: str) -> Column:
     """A top-level column whose name may hold dots or spaces."""
-    return F.col(f"`{name.replace('`', '``')}`")
+    return F.col(quoted(name))
 
 
 def find_column(spark: SparkSession, columns: Iterable[str], name: str) -> str | None:

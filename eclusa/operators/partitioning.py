@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from eclusa.errors import IngestionError
 from eclusa.functions.columns import split_names
 
+# Kinds in the control table, and the names of the date partitions.
 BY_DATE = "data"
 BY_COLUMNS = "normal"
 DATE_PARTS = ["ano", "mes"]

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, DataFrameWriter
 
 from eclusa.errors import SinkError
-from eclusa.functions.columns import find_column
+from eclusa.functions.columns import find_column, named
 from eclusa.functions.locations import overlaps, owned_by_stream
 
+# Modes in the control table.
 MODES = ("overwrite", "append", "upsert")
 
 
@@ -28,7 +29,7 @@ def check_partitions(df: DataFrame, partitions: Sequence[str]) -> None:
 
 
 def check_apart(df: DataFrame, source: str, target: str) -> None:
-    """Overwriting the files being read would delete them first and then fail."""
+    """Overwriting the files being read would delete them; a stream would read its own output."""
     if overlaps(df.sparkSession, source, target):
         raise SinkError(f"source {source} and target {target} overlap")
 
@@ -39,7 +40,7 @@ def clustered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     AQE sizes the shuffled pieces: small values share a task, and a value that
     holds a large share of the rows is split over several.
     """
-    return df.hint("rebalance", *partitions) if partitions else df
+    return df.hint("rebalance", *map(named, partitions)) if partitions else df
 
 
 def writer(

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from eclusa import journal
 from eclusa.errors import TransformError
 
+# The view that statements name, and the word for no statement.
 VIEW = "tabela_temp"
+NO_QUERY = "na"
 
 # The view only names a plan, and spark.sql resolves it at once. Holding the lock
 # over both calls lets threads share a session without seeing each other's view.
@@ -18,7 +20,7 @@ _view_lock = threading.Lock()
 
 def skips(query: str | None) -> bool:
     """No statement: nothing at all, or ``na``. Blanks alone are a (broken) statement."""
-    return not query or query.strip().lower() == "na"
+    return not query or query.strip().lower() == NO_QUERY
 
 
 def apply_sql(df: DataFrame, query: str | None) -> DataFrame:

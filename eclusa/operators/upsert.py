@@ -21,7 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from eclusa import journal
 from eclusa.errors import MergeError
-from eclusa.functions.columns import all_of, any_of, find_column, has_null, named
+from eclusa.functions.columns import all_of, any_of, find_column, has_null, named, quoted
 from eclusa.functions.locations import Files, fresh_path, owned_by_stream, segments
 from eclusa.operators.sink import writer
 
@@ -59,8 +59,7 @@ def upsert(
         raise MergeError("an upsert needs at least one key column")
     spark = source.sparkSession
     if fmt in MERGING_FORMATS:
-        _merge_natively(source, f"{fmt}.`{target}`", keys)
-        return spark.read.format(fmt).load(target).schema
+        return _merge_natively(source, fmt, target, keys)
 
     _restore_interrupted(spark, target)
     current, layout = open_target(source, target, fmt, partitions)
@@ -171,10 +170,18 @@ def reject_ambiguous(
     return rows, hot.select(*[F.col(n).alias(k) for k, n in zip(keys, numbered)])
 
 
-def _merge_natively(source: DataFrame, table: str, keys: Sequence[str]) -> None:
-    condition = all_of([F.col(f"{table}.`{k}`") == F.col(f"source.`{k}`") for k in keys])
-    merge = source.alias("source").mergeInto(table, condition)
-    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+def _merge_natively(source: DataFrame, fmt: str, target: str, keys: Sequence[str]) -> StructType:
+    spark = source.sparkSession
+    on = " AND ".join(f"target.{quoted(k)} = source.{quoted(k)}" for k in keys)
+    statement = (
+        f"MERGE INTO {fmt}.{quoted(target)} AS target USING {{source}} AS source ON {on} "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
+    try:
+        spark.sql(statement, source=source)
+        return spark.read.format(fmt).load(target).schema
+    except (AnalysisException, Py4JJavaError) as e:
+        raise MergeError(f"cannot merge into the {fmt} table {target}: {e}") from e
 
 
 def _numbered(df: DataFrame, prefix: str) -> DataFrame:

@@ -68,6 +68,12 @@ def test_one_file_per_small_partition(spark, tmp_path):
     assert len(data_files(tmp_path / "apart")) == 320
 
 
+def test_partition_names_with_dots_and_spaces(spark, tmp_path):
+    df = spark.range(10).selectExpr("id", "id % 2 as `a.b c`")
+    write(df, str(tmp_path / "t"), "parquet", "overwrite", ["a.b c"])
+    assert spark.read.parquet(str(tmp_path / "t")).filter("`a.b c` = 1").count() == 5
+
+
 def test_hot_partition_is_split(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
     try:

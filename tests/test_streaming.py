@@ -103,6 +103,7 @@ def test_refusals(spark, tmp_path, feed):
         ({"colunas_esperadas": "k,v,d"}, ContractError),
         ({"query": "select k from tabela_temp", "coluna_particao": "d", "tipo_particao": "normal"}, SinkError),
         ({"query": "select nope from tabela_temp"}, IngestionError),
+        ({"caminho_destino": f"{feed.folder}/inside".lstrip("/")}, SinkError),
     ):
         with pytest.raises(error):
             ingest_new_files(spark, row_for(feed, tmp_path, **settings), checkpoint)

@@ -74,3 +74,12 @@ def test_threads_do_not_see_each_other(spark):
 
     with ThreadPoolExecutor(8) as pool:
         assert list(pool.map(run, range(40))) == [[i] for i in range(40)]
+
+
+def test_statement_reaches_the_scan(spark, tmp_path, capsys):
+    spark.range(100).selectExpr("id", "id * 2 as v", "'x' as unused").write.parquet(str(tmp_path / "t"))
+    df, _ = with_partitions(spark.read.parquet(str(tmp_path / "t")), "unused", "nenhum")
+    apply_sql(df, "select sum(v) as s from tabela_temp where id > 90").explain("formatted")
+    plan = capsys.readouterr().out
+    assert "ReadSchema: struct<id:bigint,v:bigint>" in plan
+    assert "GreaterThan(id,90)" in plan

@@ -51,8 +51,14 @@ def test_refusals(spark, tmp_path):
         upsert(source, path, ["k", "nope"])
     with pytest.raises(MergeError, match="source lacks.*'v'"):
         upsert(source.drop("v"), path, ["k"])
-    with pytest.raises(Exception):
-        upsert(source, path, ["k"], "delta")
+
+
+def test_table_format_merges_itself(spark, tmp_path):
+    """Its package is not here; the statement must get as far as looking for it."""
+    with pytest.raises(MergeError) as e:
+        upsert(kv(spark, SOURCE), str(tmp_path / "a b"), ["k", "v"], "delta")
+    cause = e.value.__cause__
+    assert "PARSE" not in str(cause) and "delta" in str(cause).lower()
 
 
 def test_columns_by_name_with_target_types(spark, tmp_path):
@@ -133,6 +139,17 @@ def test_only_touched_partitions_are_rewritten(spark, tmp_path):
     assert gone and all("p=03" in str(f) for f in gone)
 
 
+def test_touched_partitions_are_pruned_in_the_scan(spark, tmp_path, capsys):
+    df = spark.range(100).selectExpr("id as k", "cast(id % 10 as string) as p")
+    target = spark.read.schema("k bigint, p string").parquet(saved(df, tmp_path / "t", "p"))
+    touched = upsert_module._touched_partitions(target, df.filter("p in ('3', '4')"), ["p"], 200)
+    touched.explain("formatted")
+    plan = capsys.readouterr().out
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "<=> 3" in filters and "<=> 4" in filters
+    assert touched.count() == 20
+
+
 @pytest.mark.parametrize("limit", [0, 200])
 def test_blank_and_null_partitions_are_kept(spark, tmp_path, limit):
     schema = "k int, v string, p string"
