@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.common import control_row, table
-from eclusa.functions.locations import fresh_path
+from eclusa.functions.locations import BATCH_COLUMN, fresh_path
 from eclusa.operators.partitioning import with_partitions
 from eclusa.operators.sink import write
 from eclusa.operators.upsert import upsert
-from eclusa.streaming.ingest import BATCH_COLUMN, ingest_new_files
+from eclusa.streaming.ingest import ingest_new_files
 
 
 def _merged(target: DataFrame, source: DataFrame, keys: list[str], *partitions: str) -> DataFrame:

@@ -12,6 +12,9 @@ from pyspark.sql import SparkSession
 
 from eclusa.errors import IngestionError
 
+# Folders of a stream's micro-batches are named after this column.
+BATCH_COLUMN = "lote"
+
 _local_workspace: str | None = None
 
 
@@ -62,8 +65,16 @@ class Files:
     def exists(self, location: str) -> bool:
         return self._fs.exists(self._path(location))
 
-    def has_entries(self, location: str) -> bool:
-        return self.exists(location) and self._fs.listStatusIterator(self._path(location)).hasNext()
+    def first_entry(self, location: str) -> str | None:
+        """Name of some visible file or folder at the location, or None."""
+        if not self.exists(location):
+            return None
+        entries = self._fs.listStatusIterator(self._path(location))
+        while entries.hasNext():
+            name = entries.next().getPath().getName()
+            if not name.startswith(("_", ".")):
+                return name
+        return None
 
     def make_folder(self, location: str) -> None:
         self._fs.mkdirs(self._path(location))
@@ -75,9 +86,16 @@ class Files:
         self._fs.delete(self._path(location), True)
 
 
-def owned_by_stream(spark: SparkSession, location: str) -> bool:
-    """True if a streaming file sink wrote the dataset: readers then see only its own files."""
-    return Files(spark, location).exists(f"{location}/_spark_metadata")
+def owned_by_stream(spark: SparkSession, location: str) -> str | None:
+    """Which kind of stream wrote the dataset: one with a file ``log``, one in ``batches``, or None.
+
+    Readers of a log see only the files it names; folders of batches cannot lie
+    beside other files.
+    """
+    files = Files(spark, location)
+    if files.exists(f"{location}/_spark_metadata"):
+        return "log"
+    return "batches" if (files.first_entry(location) or "").startswith(f"{BATCH_COLUMN}=") else None
 
 
 def segments(location: str) -> list[str]:

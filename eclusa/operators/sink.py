@@ -67,7 +67,7 @@ def write(
     a codec for the files, and a catalog name for the target.
     """
     if mode == "append" and owned_by_stream(df.sparkSession, target):
-        raise SinkError(f"{target} belongs to a stream; files added to it would not be seen")
+        raise SinkError(f"{target} belongs to a stream; other files must not be added to it")
     out = writer(df, fmt, partitions, cluster).mode(mode)
     if mode == "overwrite":
         out = out.option("partitionOverwriteMode", "static")

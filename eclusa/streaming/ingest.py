@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from eclusa import journal
 from eclusa.errors import IngestionError, SinkError
 from eclusa.functions.columns import split_names
-from eclusa.functions.locations import Files, fresh_path, owned_by_stream, uri
+from eclusa.functions.locations import BATCH_COLUMN, Files, fresh_path, owned_by_stream, uri
 from eclusa.operators.partitioning import with_partitions
 from eclusa.operators.sink import check_apart, check_partitions, clustered, write, write_mode
 from eclusa.operators.transform import apply_sql, skips
@@ -23,8 +23,6 @@ from eclusa.operators.upsert import open_target, upsert
 from eclusa.plans.ingest import Options, Outcome
 from eclusa.sources.scan import check_contract, scan
 
-BATCH_COLUMN = "lote"
-
 
 def ingest_new_files(
     spark: SparkSession,
@@ -109,8 +107,8 @@ def _file_sink(
 ) -> tuple[DataStreamWriter, StructType]:
     spark = rows.sparkSession
     check_partitions(rows, partitions)
-    if Files(spark, target).has_entries(target) and not owned_by_stream(spark, target):
-        raise SinkError(f"{target} was not written by a stream; its files would no longer be seen")
+    if Files(spark, target).first_entry(target) and owned_by_stream(spark, target) != "log":
+        raise SinkError(f"{target} has files without a stream's log; they would not be seen then")
     sink = clustered(rows, partitions).writeStream.format(fmt).partitionBy(*partitions)
     return sink.option("path", target), rows.schema
 
@@ -141,8 +139,8 @@ def _batch_sink(
     arrived: DataFrame, query: str, target: str, fmt: str, partitions: list[str]
 ) -> tuple[DataStreamWriter, StructType]:
     spark = arrived.sparkSession
-    if owned_by_stream(spark, target):
-        raise SinkError(f"{target} has a stream's file log; further folders would not be seen")
+    if Files(spark, target).first_entry(target) and owned_by_stream(spark, target) != "batches":
+        raise SinkError(f"{target} has other files; folders of micro-batches cannot lie beside them")
     shape = _shape(arrived, query)
     check_partitions(shape, partitions)
 

@@ -119,13 +119,25 @@ def test_stream_and_batch_do_not_hide_each_others_rows(spark, tmp_path, feed):
         ingest(spark, row)
     with pytest.raises(SinkError, match="stream"):
         ingest(spark, {**row, "modo_ingestao": "upsert", "chaves": "k"})
-    with pytest.raises(SinkError, match="log"):
+    with pytest.raises(SinkError, match="other files"):
         ingest_new_files(spark, counting, str(tmp_path / "c2"))
 
     other = control_row(feed.folder, tmp_path / "other", colunas_esperadas="k,d,v")
     ingest(spark, other)
-    with pytest.raises(SinkError, match="not written by a stream"):
-        ingest_new_files(spark, {**other, "modo_ingestao": "append"}, str(tmp_path / "c3"))
+    other["modo_ingestao"] = "append"
+    with pytest.raises(SinkError, match="without a stream's log"):
+        ingest_new_files(spark, other, str(tmp_path / "c3"))
+    with pytest.raises(SinkError, match="other files"):
+        ingest_new_files(spark, {**other, "query": counting["query"]}, str(tmp_path / "c4"))
+
+    batches = {**counting, "caminho_destino": f"{tmp_path}/batches".lstrip("/")}
+    ingest_new_files(spark, batches, str(tmp_path / "c5"))
+    for settings in ({}, {"modo_ingestao": "upsert", "chaves": "n"}):
+        with pytest.raises(SinkError, match="stream"):
+            ingest(spark, {**batches, **settings})
+    feed.drop((2, "a", 2), (3, "a", 3))
+    outcome = ingest_new_files(spark, batches, str(tmp_path / "c5"))
+    assert sorted_rows(outcome.read(spark)) == [(1,), (2,)]
 
 
 def test_hot_partition_of_a_stream_is_split(spark, tmp_path):
