@@ -51,9 +51,10 @@ def upsert(
     """Merge ``source`` into the existing dataset at ``target``; returns the target's schema.
 
     The target keeps its own partition layout; ``partitions`` only serves a target
-    that has no files to show one. If the keys contain all partition columns, just
-    the partitions that the source touches are rewritten. Otherwise the merged
-    dataset is written next to the target and takes its place by rename.
+    that has no files to show one. If updates leave rows in their partitions, because
+    the keys contain the partition columns or (asked for a small source) because the
+    values agree, just the partitions that the source touches are rewritten. Otherwise
+    the merged dataset is written next to the target and takes its place by rename.
     """
     if not keys:
         raise MergeError("an upsert needs at least one key column")
@@ -74,17 +75,18 @@ def upsert(
         if rows == 0:
             return current.schema
         small = rows <= BROADCAST_ROWS and text_bytes(staged) <= BROADCAST_BYTES
-        if layout and set(layout) <= set(keys):
+        fixed = set(layout) <= set(keys)
+        if not fixed and small:
+            fixed = not _moves_rows(current, staged, keys, layout)
+        if layout and fixed:
             touched = _touched_partitions(current, staged, layout, pruned_partitions)
             merged = merge_frames(touched, staged, keys, small, hot)
             out = writer(merged, fmt, layout, not small)
             # Old files go when the job commits, after everything has been read.
             out.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(target)
         else:
-            # Joined by broadcast, the target's rows are still together by partition.
-            scattered = not small or _moves_rows(current, staged, keys, layout)
             merged = merge_frames(current, staged, keys, small, hot)
-            _replace(spark, writer(merged, fmt, layout, scattered), target)
+            _replace(spark, writer(merged, fmt, layout), target)
         return current.schema
     finally:
         Files(spark, staging).remove(staging)
@@ -217,8 +219,6 @@ def _moves_rows(
     names = list(dict.fromkeys([*keys, *layout]))
     t, s = target.select(*map(named, names)), source.select(*map(named, names))
     pairs = {n: (F.col(f"t{i}"), F.col(f"s{i}")) for i, n in enumerate(names)}
-    if not layout:
-        return False
     same_key = all_of([pairs[k][0] == pairs[k][1] for k in keys])
     other = any_of([~pairs[c][0].eqNullSafe(pairs[c][1]) for c in layout])
     moved = _numbered(t, "t").join(F.broadcast(_numbered(s, "s")), same_key & other, "left_semi")

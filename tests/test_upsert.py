@@ -139,6 +139,26 @@ def test_only_touched_partitions_are_rewritten(spark, tmp_path):
     assert gone and all("p=03" in str(f) for f in gone)
 
 
+def test_rows_that_stay_need_no_partition_in_the_keys(spark, tmp_path):
+    df = spark.range(100).selectExpr("cast(id as int) as k", "lpad(id % 10, 2, '0') as p", "'old' as v")
+    path = saved(df, tmp_path / "t", "p")
+    before = set(data_files(path))
+    source = spark.sql("select 3 as k, '03' as p, 'new' as v union all select 500, '04', 'new'")
+    upsert(source, path, ["k"])
+    gone = before - set(data_files(path))
+    assert gone and {f.parent.name for f in gone} == {"p=03", "p=04"}
+    # This one moves: the partition it leaves must be rewritten, too.
+    upsert(spark.sql("select 3 as k, '05' as p, 'newer' as v"), path, ["k"])
+    back = spark.read.schema("k int, v string, p string").parquet(path)
+    assert back.count() == 101
+    assert sorted_rows(back.filter("v <> 'old'")) == [(3, "newer", "05"), (500, "new", "04")]
+    # Emptying a partition must leave nothing of it.
+    one = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, p string")
+    path = saved(one, tmp_path / "one", "p")
+    upsert(one.filter("k = 1").selectExpr("k", "'c' as v", "'y' as p"), path, ["k"])
+    assert sorted_rows(spark.read.parquet(path)) == [(1, "c", "y"), (2, "b", "y")]
+
+
 def test_touched_partitions_are_pruned_in_the_scan(spark, tmp_path, capsys):
     df = spark.range(100).selectExpr("id as k", "cast(id % 10 as string) as p")
     target = spark.read.schema("k bigint, p string").parquet(saved(df, tmp_path / "t", "p"))
