@@ -266,14 +266,30 @@ def _touched_partitions(
     values = source.select(*[_folder_value(source, c).alias(c) for c in layout]).distinct()
     few = values.limit(named_at_most + 1).collect()
     if len(few) <= named_at_most:
+        # One condition per value of the outer columns, listing those of the innermost.
+        inner: dict[tuple, list] = {}
+        for *outer, last in few:
+            inner.setdefault(tuple(outer), []).append(last)
+        *outer_columns, last_column = map(named, layout)
         return current.filter(
-            any_of([all_of([named(c).eqNullSafe(F.lit(row[c])) for c in layout]) for row in few])
+            any_of(
+                [
+                    all_of([*map(Column.eqNullSafe, outer_columns, outer), _among(last_column, found)])
+                    for outer, found in inner.items()
+                ]
+            )
         )
     values = values.select(*[named(c).alias(f"v{i}") for i, c in enumerate(layout)])
     same = all_of([named(c).eqNullSafe(F.col(f"v{i}")) for i, c in enumerate(layout)])
     return current.join(values, same, "left_semi")
 
 
+def _among(column: Column, values: list) -> Column:
+    known = [v for v in values if v is not None]
+    hits = [column.isin(known)] if known else []
+    return any_of(hits + [column.isNull()] if len(known) < len(values) else hits)
+
+
 def _folder_value(df: DataFrame, column: str) -> Column:
     """What a partition value reads back as: an empty string shares the folder of NULL."""
     if isinstance(df.schema[column].dataType, StringType):

@@ -166,7 +166,7 @@ def test_touched_partitions_are_pruned_in_the_scan(spark, tmp_path, capsys):
     touched.explain("formatted")
     plan = capsys.readouterr().out
     filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
-    assert "<=> 3" in filters and "<=> 4" in filters
+    assert "IN (3,4)" in filters.replace("IN (4,3)", "IN (3,4)")
     assert touched.count() == 20
 
 
@@ -196,6 +196,24 @@ def test_partition_layout_and_text_values_stay(spark, tmp_path):
     assert folders == {"ano=2025/mes=09", "ano=2024/mes=02"}
 
 
+@pytest.mark.parametrize("limit", [0, 200])
+def test_nested_partitions_with_nulls(spark, tmp_path, limit):
+    schema = "k int, v string, a int, b string"
+    pairs = [(a, b) for a in (1, 2, None) for b in ("x", "y", None)]
+    df = spark.createDataFrame([(i, "old", *p) for i, p in enumerate(pairs)], schema)
+    path = saved(df, tmp_path / "t", "a", "b")
+    before = set(data_files(path))
+    hit = [(1, "x"), (1, None), (None, "y")]
+    source = [(pairs.index(p), "new", *p) for p in hit] + [(100, "added", 2, "y"), (101, "added", 7, "z")]
+    upsert(spark.createDataFrame(source, schema), path, ["k"], pruned_partitions=limit)
+    back = {r["k"]: (r["v"], r["a"], r["b"]) for r in spark.read.schema(schema).parquet(path).collect()}
+    expected = {i: ("new" if p in hit else "old", *p) for i, p in enumerate(pairs)}
+    assert back == {**expected, 100: ("added", 2, "y"), 101: ("added", 7, "z")}
+    gone = {str(f.parent.relative_to(path)) for f in before - set(data_files(path))}
+    null = "__HIVE_DEFAULT_PARTITION__"
+    assert gone == {"a=1/b=x", f"a=1/b={null}", f"a={null}/b=y", "a=2/b=y"}
+
+
 @pytest.mark.parametrize("fmt", ["orc", "json"])
 def test_other_formats(spark, tmp_path, fmt):
     path = str(tmp_path / "t")
