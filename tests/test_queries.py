@@ -8,9 +8,13 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks import merging, reading, writing
 from checks.reading import TABLES
 
+QUERIES = {**writing.QUERIES, **reading.QUERIES, **merging.QUERIES}
+ORACLE = {**writing.ORACLE, **reading.ORACLE, **merging.ORACLE}
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
@@ -35,10 +39,10 @@ def rows(columns, tuples):
     return sorted((tuple(plain(t[i]) for i in order) for t in tuples), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    ours = queries()[name](spark, SF_DIR)
-    con = duck.execute(oracle_sql()[name])
+    ours = QUERIES[name](spark, SF_DIR)
+    con = duck.execute(ORACLE[name])
     columns = [d[0] for d in con.description]
     assert sorted(ours.columns) == sorted(columns)
     expected = rows(columns, con.fetchall())
@@ -48,7 +52,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_its_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
 def test_entry(spark):
