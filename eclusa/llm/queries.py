@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eclusa.llm import decontaminate, licences, sharding
+from eclusa.llm import decontaminate, licences, pii, sharding
 from eclusa.llm.frames import id_and_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,9 +47,26 @@ def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}")
+        for k, name in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_shard": op6_shard,
     "op9_licences": op9_licences,
+    "op10_personal_data": op10_personal_data,
 }
 ORACLE: dict[str, str] = {"op9_licences": licences.oracle()}
