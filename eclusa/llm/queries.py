@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eclusa.llm import decontaminate, licences, pii, sharding
+from eclusa.llm import bpe, decontaminate, licences, pii, sharding, topk
 from eclusa.llm.frames import id_and_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_and_text(table(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -43,6 +55,14 @@ def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").filter(topk.usable(F.col("embedding")))
+    vectors = rows.select(
+        F.col("vec_id").cast("long").alias("vec_id"), topk.integers(F.col("embedding")).alias("vector")
+    )
+    return topk.search(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
 def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir))
 
@@ -64,8 +84,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op5_decontaminate": op5_decontaminate,
     "op6_shard": op6_shard,
+    "op7_topk": op7_topk,
     "op9_licences": op9_licences,
     "op10_personal_data": op10_personal_data,
 }
