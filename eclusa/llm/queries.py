@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eclusa.llm import bpe, decontaminate, licences, pii, sharding, topk
+from eclusa.llm import bpe, counts, decontaminate, licences, pii, sharding, topk
 from eclusa.llm.frames import id_and_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,13 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, vectors.filter("vec_id % 20 = 0"), 20)
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return counts.count(documents(spark, sf_dir), model).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit")
+    )
+
+
 def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir))
 
@@ -88,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_shard": op6_shard,
     "op7_topk": op7_topk,
+    "op8_token_counts": op8_token_counts,
     "op9_licences": op9_licences,
     "op10_personal_data": op10_personal_data,
 }
