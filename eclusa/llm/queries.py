@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eclusa.llm import bpe, counts, decontaminate, licences, pii, sharding, topk
-from eclusa.llm.frames import id_and_text, table
+from eclusa.llm import bpe, counts, decontaminate, licences, pii, sharding, topk, toxicity
+from eclusa.llm.frames import held_out, id_and_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_and_text(table(spark, sf_dir, "documents"))
 
 
+def _judged(scored: DataFrame, score: str, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col(score).alias("score"),
+        (F.col(score) >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir)
+    net = toxicity.fit(rows, table(spark, sf_dir, "labels"))
+    return _judged(*toxicity.scored(rows, net), toxicity.THRESHOLD)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -91,6 +106,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
     "op5_decontaminate": op5_decontaminate,
     "op6_shard": op6_shard,
