@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eclusa.llm import bpe, counts, decontaminate, licences, pii, sharding, topk, toxicity
+from eclusa.llm import bpe, counts, decontaminate, licences, pii, quality, sharding, topk, toxicity
 from eclusa.llm.frames import held_out, id_and_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,12 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir)
+    model = quality.fit(rows, table(spark, sf_dir, "labels"))
+    return _judged(*quality.scored(rows, model), quality.THRESHOLD)
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -108,6 +114,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_quality": op3_quality,
     "op5_decontaminate": op5_decontaminate,
     "op6_shard": op6_shard,
     "op7_topk": op7_topk,
