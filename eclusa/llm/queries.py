@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eclusa.llm import bpe, counts, decontaminate, licences, pii, quality, sharding, topk, toxicity
+from eclusa.llm import bpe, counts, decontaminate, licences, neardup, pii, quality, sharding, topk, toxicity
 from eclusa.llm.frames import held_out, id_and_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(*quality.scored(rows, model), quality.THRESHOLD)
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.members(documents(spark, sf_dir))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -115,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality": op3_quality,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_decontaminate": op5_decontaminate,
     "op6_shard": op6_shard,
     "op7_topk": op7_topk,
