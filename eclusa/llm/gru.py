@@ -21,9 +21,9 @@ VOCABULARY = 50_000
 # Words of a window, and words from one window's start to the next's.
 WINDOW, STRIDE = 32, 16
 # Passes of training over the chosen windows, each of about so many steps of a batch.
-EPOCHS, STEPS, BATCH = 5, 8, 128
+EPOCHS, STEPS, BATCH = 5, 16, 128
 # Pull of word and trigram vectors towards what they began with.
-PULL = 1e-2
+PULL = 3e-2
 # Words whose inputs a task remembers, a power of two.
 REMEMBERED = 1 << 17
 
@@ -298,7 +298,7 @@ def taken(words, texts: np.ndarray):
     )
 
 
-def fit(words, y: np.ndarray, folds: int = 2) -> Net:
+def fit(words, y: np.ndarray, folds: int = 4) -> Net:
     """A network trained on all texts, whose chances come from texts that weren't learned from.
 
     Each fold's texts get their logits from a network trained on the others; the logistic map

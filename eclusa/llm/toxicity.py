@@ -24,7 +24,7 @@ from eclusa.llm.gru import Net, Scorer
 from eclusa.llm.gru import fit as network
 
 # Labelled rows that are learned from, at most: those of the smallest hashes of their ids.
-SAMPLE = 4_000
+SAMPLE = 3_000
 # Characters of a training row's text; the sample so is bounded in bytes as well.
 SAMPLE_TEXT = 20_000
 THRESHOLD = 0.3
