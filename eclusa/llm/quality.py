@@ -114,14 +114,14 @@ class Model:
 
 def _start(x: np.ndarray, seed: int) -> Model:
     r = np.random.default_rng(seed)
-    scale = x.std(axis=0)
+    mean, scale = (x.mean(axis=0), x.std(axis=0)) if len(x) else np.zeros((2, x.shape[1]))
     w = [
         r.normal(0, x.shape[1] ** -0.5, (x.shape[1], HIDDEN)),
         np.zeros(HIDDEN),
         r.normal(0, HIDDEN**-0.5, HIDDEN),
         np.zeros(1),
     ]
-    return Model(x.mean(axis=0), np.where(scale > 1e-9, scale, 1.0), w, 0.5)
+    return Model(mean, np.where(scale > 1e-9, scale, 1.0), w, 0.5)
 
 
 def _back(model: Model, x: np.ndarray, slope: np.ndarray) -> list[np.ndarray]:
