@@ -10,11 +10,13 @@ probability Jaccard similarity, which for unweighted sets is the Jaccard similar
 Registers are banded; texts that share a band meet in a bucket. Pairs are verified by the
 exact Jaccard similarity of their sets of shingles, 0.8 or more. In a bucket of up to SMALL
 texts every pair is verified that isn't in one class yet. In a larger one every text is
-verified against one of them; if more than one class is left, the bucket is dealt into finer
+verified against two of them; if more than one class is left, the bucket is dealt into finer
 ones, each by a further band, several ways. Two texts of similarity 0.8 share a third of all
-bands, so that with WAYS ways they go on meeting at each level, while others part. Buckets
-that don't become small by the last level are worked off by one leader after another. No
-step emits more pairs than a fixed multiple of the bucket's rows, and none collects a bucket.
+bands, and so have a chance to meet again at each level, in each of the WAYS ways and
+under each of their common buckets, while others part. Of a bucket that is still large at
+the last level the two texts stand for the rest: a link between two other texts of it is
+found only where it is one of another bucket, too. No step emits more pairs than a fixed
+multiple of the bucket's rows, and none collects a bucket.
 
 Equal texts are one node from the start. A class is a connected set of nodes; its id is its
 smallest doc_id. Texts of one to four words have one shingle of all their words. Texts
@@ -40,7 +42,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 # Texts of a bucket in which all pairs are verified, finer buckets of each larger one, levels.
-SMALL, WAYS, LEVELS = 8, 4, 6
+SMALL, WAYS, LEVELS = 16, 2, 4
 _UNIT = 2.0**-53
 
 
@@ -202,10 +204,11 @@ def _with_class(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
 
 
 def _open_buckets(rows: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold several classes, with the buckets' size and first text."""
+    """Rows of the buckets that hold several classes, with the buckets' size, first and last text."""
     counted = rows.groupBy("key").agg(
         F.count("*").alias("n"),
         F.min(F.struct("node", "class")).alias("leader"),
+        F.max(F.struct("node", "class")).alias("last"),
         F.min("class").alias("low"),
         F.max("class").alias("high"),
     )
@@ -213,14 +216,14 @@ def _open_buckets(rows: DataFrame) -> DataFrame:
 
 
 def _to_verify(rows: DataFrame) -> DataFrame:
-    """Pairs of different classes: all of small buckets, and each text with the large ones' leader."""
+    """Pairs of different classes: all of small buckets, and each text with two of a large one."""
     small = rows.filter(F.col("n") <= SMALL).select("key", "node", "class")
     one = small.select("key", F.col("node").alias("a"), F.col("class").alias("ca"))
     other = small.select("key", F.col("node").alias("b"), F.col("class").alias("cb"))
     every = one.join(other, "key").filter("a < b and ca <> cb").select("a", "b")
-    stars = rows.filter((F.col("n") > SMALL) & (F.col("class") != F.col("leader.class")))
-    stars = stars.select(F.col("leader.node").alias("a"), F.col("node").alias("b"))
-    return every.union(stars).distinct()
+    ends = F.explode(F.array("leader", "last")).alias("end")
+    stars = rows.filter(F.col("n") > SMALL).select("node", "class", ends).filter("class <> end.class")
+    return every.union(stars.select(F.col("end.node").alias("a"), F.col("node").alias("b"))).distinct()
 
 
 def _finer(rows: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -232,31 +235,37 @@ def _finer(rows: DataFrame, sketches: DataFrame) -> DataFrame:
     return each.select("node", F.xxhash64("key", "way", F.get("bands", band)).alias("key"))
 
 
+def _merged(classes: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Classes after more links: only the linked classes are looked at, not their nodes."""
+    if classes is None:
+        return staged(components(links), "dup-classes")
+    ends = [classes.select(F.col("node").alias(x), F.col("class").alias("c" + x)) for x in "ab"]
+    own = links.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    joined = components(own.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    joined = staged(joined, "dup-joined")
+    to = joined.select(F.col("node").alias("class"), F.col("class").alias("to"))
+    old = classes.join(to, "class", "left").select("node", F.coalesce("to", "class").alias("class"))
+    return staged(old.union(joined.join(classes, "node", "left_anti")), "dup-classes")
+
+
 def _classes(sketches: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame | None:
     """Classes of the nodes, from their rows in buckets; None if nothing is linked."""
-    links, classes, tried = None, None, None
-    level = 0
-    rows = rows.select("node", "key")
-    while True:
-        open_ = staged(_open_buckets(_with_class(rows, classes)), "dup-buckets")
+    classes, tried = None, None
+    for level in range(LEVELS):
+        open_ = staged(_open_buckets(_with_class(rows.select("node", "key"), classes)), "dup-buckets")
         pairs = _to_verify(open_)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = staged(pairs, "dup-pairs")
-        if pairs.isEmpty():
-            return classes
         tried = pairs if tried is None else tried.union(pairs)
-        fresh = staged(verified(pairs, sets), "dup-links")
-        links = fresh if links is None else links.union(fresh)
-        if not fresh.isEmpty():
-            classes = staged(components(links), "dup-classes")
+        links = staged(verified(pairs, sets), "dup-links")
+        if not links.isEmpty():
+            classes = _merged(classes, links)
         large = open_.filter(F.col("n") > SMALL)
-        level += 1
-        if level < LEVELS:
-            rows = _finer(large.select("node", "key"), sketches)
-        else:
-            # The leader has met all others; the next smallest node takes its place.
-            rows = large.filter(F.col("node") != F.col("leader.node")).select("node", "key")
+        if level + 1 == LEVELS or large.isEmpty():
+            break
+        rows = _finer(large.select("node", "key"), sketches)
+    return classes
 
 
 def classes(documents: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
