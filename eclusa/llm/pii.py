@@ -245,7 +245,7 @@ def _features(kind: int, votes: tuple[int, ...], length: int) -> list[str]:
     ]
 
 
-def train(patterns: list[Pattern], chance: dict[Pattern, float], steps: int = 400) -> dict[str, float]:
+def train(patterns: list[Pattern], chance: dict[Pattern, float], steps: int = 600) -> dict[str, float]:
     """Weights of a logistic classifier of spans, fitted to the patterns' chances.
 
     A pattern weighs as the logarithm of its count, so that a common one can't hide the rest.
@@ -261,7 +261,7 @@ def train(patterns: list[Pattern], chance: dict[Pattern, float], steps: int = 40
             for f in names:
                 slope[f] = slope.get(f, 0.0) + error
         for f, s in slope.items():
-            weights[f] = weights.get(f, 0.0) - 4.0 * s
+            weights[f] = weights.get(f, 0.0) - s
     return weights
 
 
