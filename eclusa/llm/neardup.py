@@ -227,12 +227,16 @@ def _to_verify(rows: DataFrame) -> DataFrame:
 
 
 def _finer(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Rows of large buckets in finer ones: by further bands that the bucket itself chooses."""
-    own = rows.join(sketches.select("node", "bands"), "node")
+    """Rows of large buckets in finer ones: by further bands that the bucket itself chooses.
+
+    The rows get their texts' bands once, and take them along to all levels.
+    """
+    if "bands" not in rows.columns:
+        rows = rows.join(sketches.select("node", "bands"), "node")
     ways = F.explode(F.sequence(F.lit(0), F.lit(WAYS - 1))).alias("way")
-    each = own.select("node", "key", "bands", ways)
+    each = rows.select("node", "key", "bands", ways)
     band = F.pmod(F.xxhash64("key", "way"), F.lit(BANDS)).cast("int")
-    return each.select("node", F.xxhash64("key", "way", F.get("bands", band)).alias("key"))
+    return each.select("node", F.xxhash64("key", "way", F.get("bands", band)).alias("key"), "bands")
 
 
 def _merged(classes: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -252,7 +256,7 @@ def _classes(sketches: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame
     """Classes of the nodes, from their rows in buckets; None if nothing is linked."""
     classes, tried = None, None
     for level in range(LEVELS):
-        open_ = staged(_open_buckets(_with_class(rows.select("node", "key"), classes)), "dup-buckets")
+        open_ = staged(_open_buckets(_with_class(rows, classes)), "dup-buckets")
         pairs = _to_verify(open_)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -264,7 +268,7 @@ def _classes(sketches: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame
         large = open_.filter(F.col("n") > SMALL)
         if level + 1 == LEVELS or large.isEmpty():
             break
-        rows = _finer(large.select("node", "key"), sketches)
+        rows = _finer(large.drop("class", "n", "leader", "last"), sketches)
     return classes
 
 
