@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.common import control_row, table
+from eclusa.errors import IngestionError
 from eclusa.functions.locations import BATCH_COLUMN, fresh_path
 from eclusa.operators.partitioning import with_partitions
 from eclusa.operators.sink import write
 from eclusa.operators.upsert import upsert
+from eclusa.plans.ingest import Options, ingest
 from eclusa.streaming.ingest import ingest_new_files
 
 
@@ -164,6 +166,48 @@ def stream_append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def _shared(spark: SparkSession, sf_dir: str, query: str) -> DataFrame:
+    """Two datasets with a source and a checkpoint each, streamed into one target."""
+    target = fresh_path(spark, "destino")
+    settings = {"modo_ingestao": "append", "query": query}
+    for drop in _event_drops(spark, sf_dir):
+        result = _stream(spark, [drop], target, **settings)
+    return result
+
+
+def stream_shared_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shared(spark, sf_dir, "na")
+
+
+def stream_shared_target_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    query = "select event_type, count(*) as n, max(value) as top from tabela_temp group by event_type"
+    return _shared(spark, sf_dir, query)
+
+
+def refused_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs that must be refused, over a target whose rows stay: unknown mode, no declared
+    columns, a missing source and a file that isn't what its format says."""
+    target, broken = fresh_path(spark, "destino"), fresh_path(spark, "origem")
+    orders = table(spark, sf_dir, "orders")
+    orders.write.parquet(target)
+    table(spark, sf_dir, "pages").select("url").write.text(broken)
+    good = {"modo_ingestao": "overwrite", "colunas_esperadas": ",".join(orders.columns)}
+    source = f"{sf_dir}/orders.parquet"
+    for location, settings, schema in (
+        (source, {"modo_ingestao": "replace"}, None),
+        (source, {"colunas_esperadas": ""}, None),
+        (fresh_path(spark, "nada"), {}, None),
+        (broken, {}, orders.schema),
+    ):
+        row = control_row(spark, location, target, **{**good, **settings})
+        try:
+            ingest(spark, row, Options(schema=schema))
+        except IngestionError:
+            continue
+        raise AssertionError(f"not refused: {settings or location}")
+    return spark.read.parquet(target)
+
+
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``upsert_single_key``, the closed orders arriving in two drops."""
     target = fresh_path(spark, "destino")
@@ -194,6 +238,9 @@ QUERIES = {
         stream_append,
         stream_append_sql,
         stream_append_batches,
+        stream_shared_target,
+        stream_shared_target_sql,
+        refused_runs,
         stream_upsert,
     )
 }
@@ -260,5 +307,9 @@ ORACLE = {
     "stream_append_batches": """
         select user_id, count(*) as n, round(sum(value), 2) as total
         from events group by user_id, event_type in ('click', 'view')""",
+    "stream_shared_target": "select * from events",
+    "stream_shared_target_sql": """
+        select event_type, count(*) as n, max(value) as top from events group by event_type""",
+    "refused_runs": "select * from orders",
     "stream_upsert": LEDGER,
 }

@@ -75,7 +75,6 @@ def _daily_arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     )
     days = (
         table(spark, sf_dir, "lineitem")
-        .filter("l_returnflag = 'N'")
         .select(F.col("l_shipdate").alias("day"))
         .distinct()
         .select(F.lit(1).alias("rank"), F.concat(F.lit("dt="), day, F.lit("/")).alias("prefix"))
@@ -106,7 +105,7 @@ ROUTED_BY_DAY = """
         select 0 as rank, '/5-LOW/' as prefix
         union
         select distinct 1, 'dt=' || strftime(l_shipdate, '%Y-%m-%d') || '/'
-        from lineitem where l_returnflag = 'N'
+        from lineitem
     ), a as (
         select 'landing/' || o_orderpriority || '/dt=' || strftime(o_orderdate, '%Y-%m-%d') || '/'
                || o_orderkey as key
@@ -135,7 +134,7 @@ def scan_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _copy(table(spark, sf_dir, "customer"), "csv")
-    return scan(spark, "csv", path).select("_c0", "_c1", "_c4")
+    return scan(spark, "csv", path)
 
 
 def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,13 +142,16 @@ def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(spark, "text", _copy(table(spark, sf_dir, "pages").select("url"), "text"))
+    """Addresses and pages, each a text; line ends inside a page would part it."""
+    pages = table(spark, sf_dir, "pages")
+    lines = pages.select("url").union(pages.select(F.regexp_replace("html", "[\\r\\n]+", " ")))
+    return scan(spark, "text", _copy(lines, "text"))
 
 
 def scan_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partition columns of a source come last, typed by Spark from the folder names."""
     orders = table(spark, sf_dir, "orders").withColumn("ano", F.year("o_orderdate"))
-    path = _copy(orders.select("ano", "o_orderstatus", "o_orderkey"), "parquet", "ano")
+    path = _copy(orders, "parquet", "ano")
     return scan(spark, "parquet", path)
 
 
@@ -220,15 +222,20 @@ ORACLE = {
     "scan_parquet": "select * from lineitem",
     "scan_orc": "select * from customer",
     "scan_csv": """
-        select cast(c_custkey as varchar) as _c0, c_name as _c1, c_mktsegment as _c4
+        select cast(c_custkey as varchar) as _c0, c_name as _c1,
+               cast(c_nationkey as varchar) as _c2, cast(c_acctbal as varchar) as _c3,
+               c_mktsegment as _c4
         from customer""",
     "scan_json": """
         select c_acctbal, c_custkey, c_mktsegment, c_name,
                cast(c_nationkey as bigint) as c_nationkey
         from customer""",
-    "scan_text": "select url as value from pages",
+    "scan_text": """
+        select url as value from pages
+        union all
+        select regexp_replace(html, '[\\r\\n]+', ' ', 'g') from pages""",
     "scan_partitioned": """
-        select o_orderstatus, o_orderkey, cast(year(o_orderdate) as integer) as ano from orders""",
+        select *, cast(year(o_orderdate) as integer) as ano from orders""",
     "guard_nonempty": " union all ".join(
         f"select '{name}' as tabela, count(*) as linhas from {name}" for name in TABLES
     ),

@@ -2,21 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
-from eclusa.errors import IngestionError
-
 # Folders of a stream's micro-batches are named after this column.
 BATCH_COLUMN = "lote"
 
-_local_workspace: str | None = None
-
 
 def uri(bucket: str, path: str, scheme: str = "s3") -> str:
     """Location of a control row's bucket and path. A bucket may name its own scheme."""
@@ -28,19 +21,12 @@ def uri(bucket: str, path: str, scheme: str = "s3") -> str:
 def workspace(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session may go without it; then a temporary folder of this
-    process is used, which goes away with the process.
+    A session without one gets a folder in its warehouse, which is shared as well.
     """
-    global _local_workspace
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise IngestionError("spark.checkpoint.dir must name a folder that all executors share")
-    if _local_workspace is None:
-        _local_workspace = tempfile.mkdtemp(prefix="eclusa-")
-        atexit.register(shutil.rmtree, _local_workspace, ignore_errors=True)
-    return _local_workspace
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.eclusa"
+    return shared.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -79,6 +65,9 @@ class Files:
     def make_folder(self, location: str) -> None:
         self._fs.mkdirs(self._path(location))
 
+    def touch(self, location: str) -> None:
+        self._fs.create(self._path(location), True).close()
+
     def rename(self, old: str, new: str) -> bool:
         return self._fs.rename(self._path(old), self._path(new))
 

@@ -6,23 +6,15 @@ row per arrival and never pair an arrival with a control row it does not match.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eclusa.functions.columns import named
 
-try:
-    import ahocorasick
-except ImportError:
-    ahocorasick = None
-
 # Up to this many bytes of prefixes and ids become part of the projection.
 COLLECT_BYTES = 2 * 1024 * 1024
-# Of those, so many distinct prefixes are tried one by one; more make an automaton.
-INLINE_PREFIXES = 32
+# Of those, so many distinct prefixes are tried one by one; more are joined.
+INLINE_PREFIXES = 256
 # Up to this many bytes the prefixes are broadcast to a join.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Bytes that a broadcast row needs beyond its text.
@@ -47,8 +39,6 @@ def route(
     routes = _first_routes(control) if size <= collect_bytes else None
     if routes is not None and len(routes) <= inline:
         routed = arrivals.withColumn("_destino", _one_by_one(named(key), routes))
-    elif routes is not None and ahocorasick is not None:
-        routed = arrivals.withColumn("_destino", _all_at_once(arrivals, named(key), routes))
     else:
         routed = _substring_join(arrivals, control, key, size <= broadcast_bytes)
     return routed.select(
@@ -85,38 +75,6 @@ def _one_by_one(key: Column, routes: list[tuple[str, str]]) -> Column:
     return F.get(F.filter(table, lambda r: F.contains(key, r["prefixo"])), 0)
 
 
-def _all_at_once(arrivals: DataFrame, key: Column, routes: list[tuple[str, str]]) -> Column:
-    """The time per key does not depend on the number of prefixes."""
-    shared = arrivals.sparkSession.sparkContext.broadcast(routes)
-
-    @F.pandas_udf(_ROUTE)
-    def first_hits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        routes = [*shared.value, (None, None)]
-        nowhere = len(routes) - 1
-        automaton = ahocorasick.Automaton()
-        for place, (prefix, _) in enumerate(shared.value):
-            automaton.add_word(prefix, place)
-        automaton.make_automaton()
-        # Only the last prefix can be blank; it takes whatever nothing else does.
-        last = nowhere - 1 if nowhere and routes[nowhere - 1][0] == "" else nowhere
-        search = automaton.iter if len(automaton) else lambda text: ()
-        for keys in batches:
-            hits = [
-                nowhere
-                if text is None
-                else min((place for _, place in search(text)), default=last)
-                for text in keys
-            ]
-            yield pd.DataFrame(
-                {
-                    "dataset_id": [routes[hit][1] for hit in hits],
-                    "prefixo": [routes[hit][0] for hit in hits],
-                }
-            )
-
-    return first_hits(key)
-
-
 def _substring_join(arrivals: DataFrame, control: DataFrame, key: str, small: bool) -> DataFrame:
     """Equi-join of the keys' substrings with the prefixes.
 

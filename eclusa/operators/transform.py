@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from eclusa import journal
 from eclusa.errors import TransformError
@@ -23,6 +23,20 @@ def skips(query: str | None) -> bool:
     return not query or query.strip().lower() == NO_QUERY
 
 
+def refuse_commands(spark: SparkSession, query: str | None) -> None:
+    """Raise for a statement that does more than query, without running any of it."""
+    if skips(query):
+        return
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(query)
+    except Exception as e:
+        raise TransformError(f"the control row's SQL failed: {e}") from e
+    kinds = plan.getClass().getClassLoader()
+    for kind in ("Command", "ParsedStatement"):
+        if kinds.loadClass(f"org.apache.spark.sql.catalyst.plans.logical.{kind}").isInstance(plan):
+            raise TransformError(f"the control row's SQL must be a query here: {query}")
+
+
 def apply_sql(df: DataFrame, query: str | None) -> DataFrame:
     """Result of ``query`` with the frame registered as ``tabela_temp``.
 

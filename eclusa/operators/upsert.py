@@ -36,8 +36,16 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 ROW_OVERHEAD = 128
 # A repeated source key is hot with more than one in so many of the rows.
 HOT_KEYS = 10_000
-# Up to this many touched partitions are named in the scan's partition filter.
+# Up to this many touched partitions are named one by one in the scan's partition filter;
+# of more, the values of each partition column are, and of still more values their range.
 PRUNED_PARTITIONS = 200
+NAMED_VALUES = 10_000
+# Files of table formats that plain files must not be written over, and their formats.
+TABLE_LOGS = {"_delta_log": "delta", ".hoodie": "hudi", "metadata/version-hint.text": "iceberg"}
+# Formats that leave out NULLs, so that a column without values is not in the files.
+SPARSE_FORMATS = ("json",)
+# Lies in a merged dataset from before it takes its place until the old one is gone.
+MERGED = "_mesclado"
 
 
 def upsert(
@@ -52,9 +60,14 @@ def upsert(
 
     The target keeps its own partition layout; ``partitions`` only serves a target
     that has no files to show one. If updates leave rows in their partitions, because
-    the keys contain the partition columns or (asked for a small source) because the
-    values agree, just the partitions that the source touches are rewritten. Otherwise
-    the merged dataset is written next to the target and takes its place by rename.
+    the keys contain the partition columns or because the values agree, just the
+    partitions that the source touches are rewritten. Otherwise the merged dataset is
+    written next to the target and takes its place by rename. The size of the source
+    plays no part in this.
+
+    A target that is a table of a format with a log is merged by that format, whatever
+    ``fmt`` says, or not at all. A JSON target takes on columns that only the source has:
+    its files don't show a column that is NULL in all rows.
     """
     if not keys:
         raise MergeError("an upsert needs at least one key column")
@@ -62,6 +75,12 @@ def upsert(
     if fmt in MERGING_FORMATS:
         return _merge_natively(source, fmt, target, keys)
 
+    table_format = _table_format(spark, target)
+    if table_format in MERGING_FORMATS:
+        return _merge_natively(source, table_format, target, keys)
+    if table_format:
+        raise MergeError(f"{target} is a table of {table_format}, which is not merged here")
+
     _restore_interrupted(spark, target)
     current, layout = open_target(source, target, fmt, partitions)
     keys = _resolve(current, keys, "target")
@@ -76,8 +95,8 @@ def upsert(
             return current.schema
         small = rows <= BROADCAST_ROWS and text_bytes(staged) <= BROADCAST_BYTES
         fixed = set(layout) <= set(keys)
-        if not fixed and small:
-            fixed = not _moves_rows(current, staged, keys, layout)
+        if layout and not fixed:
+            fixed = not _moves_rows(current, staged, keys, layout, small)
         if layout and fixed:
             touched = _touched_partitions(current, staged, layout, pruned_partitions)
             merged = merge_frames(touched, staged, keys, small, hot)
@@ -213,18 +232,28 @@ def text_bytes(df: DataFrame) -> int:
 
 
 def _moves_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], layout: Sequence[str]
+    target: DataFrame, source: DataFrame, keys: Sequence[str], layout: Sequence[str], small: bool
 ) -> bool:
-    """Whether some update takes a row to another partition. The source must be small."""
+    """Whether some update takes a row to another partition. ``small``: the source is broadcast."""
     names = list(dict.fromkeys([*keys, *layout]))
     t, s = target.select(*map(named, names)), source.select(*map(named, names))
     pairs = {n: (F.col(f"t{i}"), F.col(f"s{i}")) for i, n in enumerate(names)}
     same_key = all_of([pairs[k][0] == pairs[k][1] for k in keys])
     other = any_of([~pairs[c][0].eqNullSafe(pairs[c][1]) for c in layout])
-    moved = _numbered(t, "t").join(F.broadcast(_numbered(s, "s")), same_key & other, "left_semi")
+    s = _numbered(s, "s")
+    moved = _numbered(t, "t").join(F.broadcast(s) if small else s, same_key & other, "left_semi")
     return not moved.isEmpty()
 
 
+def _table_format(spark: SparkSession, target: str) -> str | None:
+    """Format of the table that lies at the target, if its log is there."""
+    files = Files(spark, target)
+    for log, fmt in TABLE_LOGS.items():
+        if files.exists(f"{target}/{log}"):
+            return fmt
+    return None
+
+
 def open_target(
     source: DataFrame, target: str, fmt: str, partitions: Sequence[str]
 ) -> tuple[DataFrame, list[str]]:
@@ -245,6 +274,10 @@ def open_target(
     if owned_by_stream(spark, target):
         raise MergeError(f"{target} belongs to a stream and cannot be rewritten")
 
+    if fmt in SPARSE_FORMATS:
+        more = [f for f in source.schema.fields if find_column(spark, found.columns, f.name) is None]
+        schema = StructType([*found.schema.fields, *(StructField(f.name, f.dataType) for f in more)])
+        found = reader.schema(schema).load(target)
     if file is None:
         known = [find_column(spark, found.columns, p) for p in partitions]
         return found, [p for p in known if p]
@@ -279,11 +312,22 @@ def _touched_partitions(
                 ]
             )
         )
+    for column in layout:
+        current = current.filter(_within(named(column), values.select(named(column).alias("v")).distinct()))
     values = values.select(*[named(c).alias(f"v{i}") for i, c in enumerate(layout)])
     same = all_of([named(c).eqNullSafe(F.col(f"v{i}")) for i, c in enumerate(layout)])
     return current.join(values, same, "left_semi")
 
 
+def _within(column: Column, values: DataFrame) -> Column:
+    """Condition that holds for all of the values ``v``, and that prunes partitions."""
+    few = [r.v for r in values.limit(NAMED_VALUES + 1).collect()]
+    if len(few) <= NAMED_VALUES:
+        return _among(column, few)
+    low, high, nulls = values.agg(F.min("v"), F.max("v"), F.count_if(F.col("v").isNull())).head()
+    return column.between(low, high) | (column.isNull() if nulls else F.lit(False))
+
+
 def _among(column: Column, values: list) -> Column:
     known = [v for v in values if v is not None]
     hits = [column.isin(known)] if known else []
@@ -316,6 +360,8 @@ def _replace(spark: SparkSession, merged: DataFrameWriter, target: str) -> None:
     fresh, old = _siblings(target)
     try:
         merged.save(fresh)
+        # Whoever finds this file knows that the dataset around it is whole.
+        files.touch(f"{fresh}/{MERGED}")
         if not files.rename(target, old):
             raise MergeError(f"cannot move {target} aside")
         if not files.rename(fresh, target):
@@ -324,6 +370,7 @@ def _replace(spark: SparkSession, merged: DataFrameWriter, target: str) -> None:
     finally:
         files.remove(fresh)
     files.remove(old)
+    files.remove(f"{target}/{MERGED}")
 
 
 def _restore_interrupted(spark: SparkSession, target: str) -> None:
@@ -331,6 +378,11 @@ def _restore_interrupted(spark: SparkSession, target: str) -> None:
     _, old = _siblings(target)
     if not files.exists(old):
         return
+    if files.exists(f"{target}/{MERGED}"):
+        journal.info("removing what an upsert has replaced", target=target)
+        files.remove(old)
+        files.remove(f"{target}/{MERGED}")
+        return
     if files.exists(target):
         raise MergeError(f"{old} is left from an interrupted upsert; compare it and remove it")
     journal.info("restoring target of an interrupted upsert", target=target)

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from eclusa import journal
 from eclusa.errors import IngestionError
 from eclusa.functions.columns import split_names
-from eclusa.functions.locations import uri
+from eclusa.functions.locations import Files, uri
 from eclusa.operators.partitioning import with_partitions
 from eclusa.operators.routing import route
 from eclusa.operators.sink import check_apart, check_partitions, write, write_mode
@@ -146,7 +146,8 @@ def run_arrivals(
             report.lost = str(row["_example"])
             continue
         target = uri(row["bucket_destino"], row["caminho_destino"], options.scheme)
-        by_target.setdefault(target.rstrip("/"), []).append(row.asDict())
+        place = Files(spark, target).qualified(target)
+        by_target.setdefault(place, []).append(row.asDict())
 
     def run(group: list[dict[str, str]]) -> None:
         for row in group:

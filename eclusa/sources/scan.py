@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException as SparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -31,7 +31,7 @@ def require_rows(df: DataFrame, location: str = "") -> DataFrame:
     """The frame itself, if it has at least one row. Spark stops at the first one found."""
     try:
         empty = df.isEmpty()
-    except AnalysisException as e:
+    except (AnalysisException, SparkException, Py4JJavaError) as e:
         raise SourceError(f"cannot read {location}: {e}") from e
     if empty:
         journal.error("source empty", location=location)

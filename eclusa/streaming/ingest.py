@@ -7,7 +7,9 @@ add earlier files again.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException, StreamingQueryException
+import json
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
@@ -15,10 +17,10 @@ from pyspark.sql.types import StructType
 from eclusa import journal
 from eclusa.errors import IngestionError, SinkError
 from eclusa.functions.columns import split_names
-from eclusa.functions.locations import BATCH_COLUMN, Files, fresh_path, owned_by_stream, uri
+from eclusa.functions.locations import BATCH_COLUMN, Files, owned_by_stream, uri
 from eclusa.operators.partitioning import with_partitions
-from eclusa.operators.sink import check_apart, check_partitions, clustered, write, write_mode
-from eclusa.operators.transform import apply_sql, skips
+from eclusa.operators.sink import check_apart, check_partitions, write, write_mode
+from eclusa.operators.transform import apply_sql, refuse_commands
 from eclusa.operators.upsert import open_target, upsert
 from eclusa.plans.ingest import Options, Outcome
 from eclusa.sources.scan import check_contract, scan
@@ -33,12 +35,13 @@ def ingest_new_files(
 ) -> Outcome:
     """Ingest the files that arrived since the last run with this ``checkpoint``.
 
-    Append without SQL, or with SQL that works row by row, goes through Spark's file
-    sink, which adds every file exactly once. Other SQL sees one micro-batch at a
-    time; its results go to one folder ``lote=<batch>`` per micro-batch, which a
-    repeated batch replaces. Upsert merges micro-batch by micro-batch; repeating one
-    changes nothing as long as its rows have keys that are not NULL. Overwrite means
-    the whole source, which is the batch job's work.
+    A statement sees one micro-batch at a time; it must be a query, commands are refused
+    before anything runs. Append puts each micro-batch in a folder of its own,
+    ``lote=<batch>-<id of the query>``, which a repeated batch replaces; the id is kept in
+    the checkpoint, so streams that share a target never touch each other's rows. Upsert
+    merges micro-batch by micro-batch; repeating one changes nothing as long as its rows
+    have keys that are not NULL. Overwrite means the whole source, which is the batch
+    job's work.
 
     A micro-batch takes ``max_files`` files, by default all there are.
     """
@@ -60,13 +63,12 @@ def ingest_new_files(
         reader.load(source), row["coluna_particao"], row["tipo_particao"]
     )
 
+    refuse_commands(spark, row["query"])
     if mode == "upsert":
         keys = split_names(row["chaves"])
         sink, schema = _merge_sink(arrived, row["query"], target, fmt, partitions, keys)
-    elif skips(row["query"]) or _works_by_row(arrived, row["query"]):
-        sink, schema = _file_sink(apply_sql(arrived, row["query"]), target, fmt, partitions)
     else:
-        sink, schema = _batch_sink(arrived, row["query"], target, fmt, partitions)
+        sink, schema = _batch_sink(arrived, row["query"], target, fmt, partitions, checkpoint)
     try:
         _run(sink, checkpoint)
     except StreamingQueryException as e:
@@ -81,36 +83,9 @@ def _run(sink: DataStreamWriter, checkpoint: str) -> None:
     sink.start().awaitTermination()
 
 
-def _works_by_row(arrived: DataFrame, query: str) -> bool:
-    """Whether Spark takes the statement as an appending stream.
-
-    Asked with an empty source and no target, because a refused file sink leaves
-    its log folder behind.
-    """
-    spark = arrived.sparkSession
-    probe = fresh_path(spark, "prova")
-    files = Files(spark, probe)
-    files.make_folder(f"{probe}/vazio")
-    try:
-        empty = spark.readStream.schema(arrived.schema).parquet(f"{probe}/vazio")
-        sink = apply_sql(empty, query).writeStream.format("noop")
-        _run(sink, f"{probe}/andamento")
-        return True
-    except AnalysisException:
-        return False
-    finally:
-        files.remove(probe)
-
-
-def _file_sink(
-    rows: DataFrame, target: str, fmt: str, partitions: list[str]
-) -> tuple[DataStreamWriter, StructType]:
-    spark = rows.sparkSession
-    check_partitions(rows, partitions)
-    if Files(spark, target).first_entry(target) and owned_by_stream(spark, target) != "log":
-        raise SinkError(f"{target} has files without a stream's log; they would not be seen then")
-    sink = clustered(rows, partitions).writeStream.format(fmt).partitionBy(*partitions)
-    return sink.option("path", target), rows.schema
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the query that the checkpoint belongs to, written there before its first batch."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").head()[0])["id"]
 
 
 def _shape(arrived: DataFrame, query: str) -> DataFrame:
@@ -136,7 +111,7 @@ def _merge_sink(
 
 
 def _batch_sink(
-    arrived: DataFrame, query: str, target: str, fmt: str, partitions: list[str]
+    arrived: DataFrame, query: str, target: str, fmt: str, partitions: list[str], checkpoint: str
 ) -> tuple[DataStreamWriter, StructType]:
     spark = arrived.sparkSession
     if Files(spark, target).first_entry(target) and owned_by_stream(spark, target) != "batches":
@@ -146,7 +121,7 @@ def _batch_sink(
 
     def append(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            folder = f"{target}/{BATCH_COLUMN}={number}"
+            folder = f"{target}/{BATCH_COLUMN}={number}-{_query_id(spark, checkpoint)}"
             write(apply_sql(batch, query), folder, fmt, "overwrite", partitions)
 
     return arrived.writeStream.foreachBatch(append), shape.schema

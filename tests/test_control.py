@@ -52,13 +52,33 @@ def test_lookup_is_exact(spark, tmp_path):
             lookup(control, other)
 
 
-def test_missing_column(spark, tmp_path):
-    fields = [f for f in CONTROL_FIELDS if f != "chaves"]
-    path = write_csv(tmp_path / "c.csv", [{"dataset_id": "a"}], fields)
-    with pytest.raises(ControlError, match="chaves"):
+def test_files_of_one_use_alone(spark, tmp_path):
+    job = [f for f in CONTROL_FIELDS if f not in ("prefixo", "nome_job")]
+    router = [f for f in CONTROL_FIELDS if f != "dataset_id"]
+    for name, fields in (("job", job), ("router", router), ("both", CONTROL_FIELDS)):
+        path = write_csv(tmp_path / f"{name}.csv", [dict.fromkeys(fields, "x")], fields)
+        (row,) = load_control(spark, path).collect()
+        assert {f: row[f] for f in CONTROL_FIELDS} == {
+            f: "x" if f in fields or f == "dataset_id" else "" for f in CONTROL_FIELDS
+        }
+
+
+def test_missing_columns(spark, tmp_path):
+    path = write_csv(tmp_path / "c.csv", [{"query": "na"}], ["query"])
+    with pytest.raises(ControlError, match="dataset_id"):
         load_control(spark, path)
-    # The job alone needs no routing columns.
-    assert load_control(spark, path, fields).count() == 1
+    path = write_csv(tmp_path / "d.csv", [{"dataset_id": "a"}], ["dataset_id"])
+    with pytest.raises(ControlError, match="chaves"):
+        load_control(spark, path, ["dataset_id", "chaves"])
+    with pytest.raises(ControlError, match="cannot read"):
+        load_control(spark, str(tmp_path / "missing"))
+
+
+def test_files_of_a_folder_unite_by_name(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", [{"dataset_id": "a", "query": "q"}])
+    write_csv(tmp_path / "b c.csv", [{"dataset_id": "b", "query": "r"}], CONTROL_FIELDS[::-1])
+    control = load_control(spark, str(tmp_path))
+    assert lookup(control, "a")["query"] == "q" and lookup(control, "b")["query"] == "r"
 
 
 def test_columns_in_any_order(spark, tmp_path):

@@ -1,24 +1,16 @@
 from types import SimpleNamespace
 
-import pytest
-
-from eclusa.errors import IngestionError
-from eclusa.functions import locations
 from eclusa.functions.locations import workspace
 
 
-def session(master, shared):
-    conf = SimpleNamespace(get=lambda name, default=None: shared)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+def session(**settings):
+    conf = SimpleNamespace(get=lambda name, default=None: settings.get(name.split(".")[1], default))
+    return SimpleNamespace(conf=conf)
 
 
 def test_shared_folder_of_the_session():
-    assert workspace(session("yarn", "hdfs://n/scratch/")) == "hdfs://n/scratch"
+    assert workspace(session(checkpoint="hdfs://n/scratch/", sql="/w")) == "hdfs://n/scratch"
 
 
-def test_only_a_local_session_may_go_without(monkeypatch):
-    monkeypatch.setattr(locations, "_local_workspace", None)
-    with pytest.raises(IngestionError, match="spark.checkpoint.dir"):
-        workspace(session("yarn", None))
-    first = workspace(session("local[2]", None))
-    assert workspace(session("local[2]", None)) == first
+def test_without_one_the_warehouse_serves():
+    assert workspace(session(sql="hdfs://n/warehouse/")) == "hdfs://n/warehouse/.eclusa"

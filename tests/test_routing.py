@@ -7,7 +7,6 @@ from eclusa.operators.routing import route
 SCHEMA = "prefixo string, dataset_id string, ordem struct<arquivo: string, linha: bigint>"
 WAYS = [
     {"inline": 1000},
-    {"inline": -1},
     {"inline": -1, "collect_bytes": -1},
     {"inline": -1, "collect_bytes": -1, "broadcast_bytes": -1},
 ]
@@ -75,18 +74,10 @@ def plan_of(capsys, df):
 def test_plans(spark, capsys):
     arrivals = spark.range(10).selectExpr("cast(id as string) as key")
     control = control_of(spark, ["1", "2"])
-    inline, automaton, broadcast, shuffled = (
-        plan_of(capsys, route(arrivals, control, **way)) for way in WAYS
-    )
-    assert "Join" not in inline + automaton and "Exchange" not in inline + automaton
-    assert "Python" not in inline and "ArrowEvalPython" in automaton
+    inline, *joined = (plan_of(capsys, route(arrivals, control, **way)) for way in WAYS)
+    broadcast, shuffled = joined
+    assert "Join" not in inline and "Exchange" not in inline
+    assert "Python" not in inline + broadcast + shuffled
     assert "BroadcastHashJoin [prefixo" in broadcast
     assert "SortMergeJoin [prefixo" in shuffled
     assert "NestedLoop" not in broadcast + shuffled
-
-
-def test_without_the_automaton_package(spark, capsys, monkeypatch):
-    monkeypatch.setattr("eclusa.operators.routing.ahocorasick", None)
-    arrivals = spark.createDataFrame([("a/x",), ("b",)], "key string")
-    found = route(arrivals, control_of(spark, ["a/", "zz"]), inline=0)
-    assert {r["key"]: r["dataset_id"] for r in found.collect()} == {"a/x": "d0", "b": None}

@@ -325,3 +325,64 @@ def test_hot_key_is_split(spark, tmp_path):
     expected += sorted(set(range(-1, 40000)) - set(expected))
     assert sorted(r["k"] for r in rows) == sorted(expected)
     assert all((r["v"] is None) == (r["k"] < 40000) for r in rows)
+
+
+def test_a_table_with_a_log_is_never_written_over(spark, tmp_path):
+    target = str(tmp_path / "t")
+    spark.sql("select 1 as k, 'a' as v").write.parquet(target)
+    (tmp_path / "t" / "_delta_log").mkdir()
+    (tmp_path / "t" / "_delta_log" / "0.json").write_text("{}")
+    before = sorted(p.name for p in (tmp_path / "t").rglob("*"))
+    with pytest.raises(MergeError):
+        upsert(spark.sql("select 1 as k, 'b' as v"), target, ["k"])
+    assert sorted(p.name for p in (tmp_path / "t").rglob("*")) == before
+    (tmp_path / "t" / "_delta_log").rename(tmp_path / "t" / ".hoodie")
+    with pytest.raises(MergeError, match="hudi"):
+        upsert(spark.sql("select 1 as k, 'b' as v"), target, ["k"])
+
+
+def test_json_column_without_values(spark, tmp_path):
+    target = str(tmp_path / "t")
+    spark.sql("select 1 as k, cast(null as string) as v, 'w' as w").write.json(target)
+    source = spark.sql("select 1 as k, 'x' as v, 'w' as w union all select 2, 'new', 'w'")
+    upsert(source, target, ["k"], "json")
+    found = spark.read.json(target).select("k", "v", "w")
+    assert sorted(map(tuple, found.collect())) == [(1, "x", "w"), (2, "new", "w")]
+
+
+@pytest.mark.parametrize("bound", [500_000, 0])
+def test_one_way_of_commit_for_all_sizes(spark, tmp_path, monkeypatch, bound):
+    monkeypatch.setattr("eclusa.operators.upsert.BROADCAST_ROWS", bound)
+    target = tmp_path / "t"
+    spark.range(10).selectExpr("id as k", "id % 5 as p", "0 as v").coalesce(1).write.partitionBy(
+        "p"
+    ).parquet(str(target))
+    names = lambda: {f.relative_to(target) for f in target.rglob("*.parquet")}
+    before = names()
+    upsert(spark.sql("select 3L as k, 3L as p, 1 as v"), str(target), ["k"])
+    assert len(before & names()) == 4
+    assert spark.read.parquet(str(target)).filter("v = 1").count() == 1
+
+
+@pytest.mark.parametrize("bound", [500_000, 0])
+def test_any_number_of_partitions_is_pruned(spark, tmp_path, monkeypatch, bound):
+    monkeypatch.setattr("eclusa.operators.upsert.BROADCAST_ROWS", bound)
+    target = str(tmp_path / "t")
+    spark.range(300).selectExpr("id as p", "0 as v").write.partitionBy("p").parquet(target)
+    source = spark.range(250).selectExpr("id as p", "1 as v")
+    current, layout = upsert_module.open_target(source, target, "parquet", [])
+    touched = upsert_module._touched_partitions(current, source, layout, 200)
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [p" in plan and "INSET" in plan
+    upsert(source, target, ["p"])
+    assert spark.read.parquet(target).groupBy("v").count().sort("v").collect() == [(0, 50), (1, 250)]
+
+
+def test_crash_after_the_second_rename(spark, tmp_path):
+    target = tmp_path / "t"
+    spark.sql("select 1 as k, 'new' as v").write.parquet(str(target))
+    (target / "_mesclado").touch()
+    spark.sql("select 1 as k, 'old' as v").write.parquet(str(tmp_path / ".t.antes"))
+    upsert(spark.sql("select 2 as k, 'x' as v"), str(target), ["k"])
+    assert not (tmp_path / ".t.antes").exists() and not (target / "_mesclado").exists()
+    assert sorted(map(tuple, spark.read.parquet(str(target)).collect())) == [(1, "new"), (2, "x")]
