@@ -35,8 +35,8 @@ CHUNK = 32_768
 OVERLAP = 1_024
 # Characters before a chunk's end where a match may still change.
 MARGIN = 8
-# Pre-tokens whose ids a task remembers.
-REMEMBERED = 400_000
+# Pre-tokens whose ids a task remembers: so many of the last, and as many from before.
+REMEMBERED = 350_000
 EMPTY = np.zeros(0, dtype=np.int32)
 
 # First and last code points that the pattern's library takes for letters or
@@ -124,12 +124,13 @@ class Coder:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         # Ids of a pre-token as packed 32-bit numbers.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
-        ids = array("i", merge(piece.encode(), self.ranks)).tobytes()
+        ids = self.older.get(piece) or array("i", merge(piece.encode(), self.ranks)).tobytes()
         if len(piece) <= 64:
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known[piece] = ids
         return ids
 
@@ -141,8 +142,8 @@ class Coder:
 
     def encode(self, text: str, old: bool = False) -> bytes:
         """The text's ids, packed. ``old``: it is known to have no newer code points."""
-        get, make = self.known.get, self._piece
         pieces = self.pattern.findall(text) if old else self.pieces(text)
+        get, make = self.known.get, self._piece
         return b"".join([get(p) or make(p) for p in pieces])
 
     def starts(self, text: str) -> list[int]:
