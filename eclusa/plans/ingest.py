@@ -129,13 +129,17 @@ def run_arrivals(
 
     One dataset's failure leaves the others alone. Datasets with the same target run
     one after the other, in file order; the rest share the cluster. What the driver
-    sees of the arrivals is one row per control row that took some.
+    sees of the arrivals is one short row per control row that took some; a dataset's
+    settings are fetched when its turn comes.
     """
     routed = route(arrivals, control, key)
     taken = routed.groupBy("prefixo").agg(
         F.count("*").alias("_arrivals"), F.min(key).alias("_example")
     )
-    rows = taken.join(first_rows(control, "prefixo"), "prefixo", "left").orderBy("ordem").collect()
+    places = first_rows(control, "prefixo").select(
+        "prefixo", "dataset_id", "bucket_destino", "caminho_destino", "ordem"
+    )
+    rows = taken.join(places, "prefixo", "left").orderBy("ordem").collect()
     report = ArrivalReport(routed.filter("prefixo is null").select(*arrivals.columns), {})
 
     by_target: dict[str, list[dict[str, str]]] = {}
@@ -152,7 +156,9 @@ def run_arrivals(
     def run(group: list[dict[str, str]]) -> None:
         for row in group:
             try:
-                report.done.append(ingest(spark, row, options))
+                same = control.filter(F.col("prefixo") == row["prefixo"])
+                settings = same.orderBy("ordem").head().asDict()
+                report.done.append(ingest(spark, settings, options))
             except Exception as e:
                 report.failed[row["dataset_id"]] = e
 
