@@ -55,6 +55,7 @@ def upsert(
     fmt: str = "parquet",
     partitions: Sequence[str] = (),
     pruned_partitions: int = PRUNED_PARTITIONS,
+    compression: str = "",
 ) -> StructType:
     """Merge ``source`` into the existing dataset at ``target``; returns the target's schema.
 
@@ -63,7 +64,7 @@ def upsert(
     the keys contain the partition columns or because the values agree, just the
     partitions that the source touches are rewritten. Otherwise the merged dataset is
     written next to the target and takes its place by rename. The size of the source
-    plays no part in this.
+    plays no part in this. ``compression`` is the codec of what is written.
 
     A target that is a table of a format with a log is merged by that format, whatever
     ``fmt`` says, or not at all. A JSON target takes on columns that only the source has:
@@ -100,17 +101,21 @@ def upsert(
         if layout and fixed:
             touched = _touched_partitions(current, staged, layout, pruned_partitions)
             merged = merge_frames(touched, staged, keys, small, hot)
-            out = writer(merged, fmt, layout, not small)
+            out = _compressed(writer(merged, fmt, layout, not small), compression)
             # Old files go when the job commits, after everything has been read.
             out.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(target)
         else:
             merged = merge_frames(current, staged, keys, small, hot)
-            _replace(spark, writer(merged, fmt, layout), target)
+            _replace(spark, _compressed(writer(merged, fmt, layout), compression), target)
         return current.schema
     finally:
         Files(spark, staging).remove(staging)
 
 
+def _compressed(out: DataFrameWriter, codec: str) -> DataFrameWriter:
+    return out.option("compression", codec) if codec else out
+
+
 def merge_frames(
     target: DataFrame,
     source: DataFrame,

@@ -84,13 +84,13 @@ def _ingest(spark: SparkSession, row: dict[str, str], options: Options) -> Outco
         require_rows(df, f"result of the SQL over {source}")
 
     fmt = row["formato_destino"]
+    codec = row["compressao"].strip() if options.compress else ""
     if mode == "upsert":
-        schema = upsert(df, target, split_names(row["chaves"]), fmt, partitions)
+        schema = upsert(df, target, split_names(row["chaves"]), fmt, partitions, compression=codec)
     else:
         schema = df.schema
         check_partitions(df, partitions)
         table = f"{row['glue_database']}.{row['glue_tabela']}" if options.catalog else ""
-        codec = row["compressao"].strip() if options.compress else ""
         write(df, target, fmt, mode, partitions, codec, table, options.cluster)
     return Outcome(row.get("dataset_id", ""), target, fmt, mode, partitions, schema)
 

@@ -64,11 +64,12 @@ def ingest_new_files(
     )
 
     refuse_commands(spark, row["query"])
+    codec = row["compressao"].strip() if options.compress else ""
     if mode == "upsert":
         keys = split_names(row["chaves"])
-        sink, schema = _merge_sink(arrived, row["query"], target, fmt, partitions, keys)
+        sink, schema = _merge_sink(arrived, row["query"], target, fmt, partitions, keys, codec)
     else:
-        sink, schema = _batch_sink(arrived, row["query"], target, fmt, partitions, checkpoint)
+        sink, schema = _batch_sink(arrived, row["query"], target, fmt, partitions, checkpoint, codec)
     try:
         _run(sink, checkpoint)
     except StreamingQueryException as e:
@@ -100,18 +101,25 @@ def _merge_sink(
     fmt: str,
     partitions: list[str],
     keys: list[str],
+    codec: str,
 ) -> tuple[DataStreamWriter, StructType]:
     current, _ = open_target(_shape(arrived, query), target, fmt, partitions)
 
     def merge(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            upsert(apply_sql(batch, query), target, keys, fmt, partitions)
+            upsert(apply_sql(batch, query), target, keys, fmt, partitions, compression=codec)
 
     return arrived.writeStream.foreachBatch(merge), current.schema
 
 
 def _batch_sink(
-    arrived: DataFrame, query: str, target: str, fmt: str, partitions: list[str], checkpoint: str
+    arrived: DataFrame,
+    query: str,
+    target: str,
+    fmt: str,
+    partitions: list[str],
+    checkpoint: str,
+    codec: str,
 ) -> tuple[DataStreamWriter, StructType]:
     spark = arrived.sparkSession
     if Files(spark, target).first_entry(target) and owned_by_stream(spark, target) != "batches":
@@ -122,6 +130,6 @@ def _batch_sink(
     def append(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
             folder = f"{target}/{BATCH_COLUMN}={number}-{_query_id(spark, checkpoint)}"
-            write(apply_sql(batch, query), folder, fmt, "overwrite", partitions)
+            write(apply_sql(batch, query), folder, fmt, "overwrite", partitions, codec)
 
     return arrived.writeStream.foreachBatch(append), shape.schema

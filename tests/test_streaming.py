@@ -1,7 +1,7 @@
 import pytest
 
 from eclusa.errors import ContractError, IngestionError, SinkError
-from eclusa.plans.ingest import ingest
+from eclusa.plans.ingest import Options, ingest
 from eclusa.streaming.ingest import ingest_new_files
 from tests.helpers import control_row, data_files, sorted_rows
 
@@ -196,3 +196,13 @@ def test_hot_partition_of_a_stream_is_split(spark, tmp_path):
             spark.conf.unset(name)
     assert outcome.read(spark).count() == 60000
     assert len([f for f in data_files(tmp_path / "target") if f.parent.name == "p=-1"]) > 1
+
+
+@pytest.mark.parametrize("mode", ["append", "upsert"])
+def test_codec(spark, tmp_path, feed, mode):
+    feed.drop((1, "a", 1))
+    if mode == "upsert":
+        spark.sql("select 0 as k, 'z' as d, 0 as v").write.parquet(str(tmp_path / "target"))
+    row = row_for(feed, tmp_path, modo_ingestao=mode, chaves="k", compressao="gzip")
+    ingest_new_files(spark, row, str(tmp_path / "c"), Options(compress=True))
+    assert all(f.name.endswith(".gz.parquet") for f in data_files(tmp_path / "target"))
