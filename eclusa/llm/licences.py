@@ -98,17 +98,17 @@ def scan(
     ``sentence_ids``: ``number:identifier`` of each known sentence, in order.
     ``licences``: of each rule that matched, in order. ``licence``: the distinct ones.
     """
-    longest = max(len(sentence) for sentence in known)
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    # A sentence with far more characters than any known one can't be known.
-    short = F.filter(
+    filled = F.filter(
         F.transform(sentences(whole), lambda s, i: F.struct(i.alias("at"), s.alias("s"))),
-        lambda x: F.length(x.s).between(1, 4 * longest),
+        lambda x: F.length(x.s) > 0,
     )
     ids = F.filter(
         F.transform(
-            short,
-            lambda x: F.struct(x.at.alias("at"), F.try_element_at(_known(known), normalised(x.s)).alias("id")),
+            filled,
+            lambda x: F.struct(
+                x.at.alias("at"), F.try_element_at(_known(known), normalised(x.s)).alias("id")
+            ),
         ),
         lambda x: x.id.isNotNull(),
     )

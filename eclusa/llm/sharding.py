@@ -9,10 +9,10 @@ ties to the smaller shard. Only the slot table, whose size is the number of slot
 is ever held in one place.
 
 The hash covers the id and the text's checksum, so rows with one id and different
-texts part, and copies of one text under different ids spread over all slots. Fully
-equal rows share a slot, except that a salt from the row's rank would be needed to
-split them; their slot is then larger and the deal evens out the rest. A null id
-counts as an empty one, a null text as no bytes. An empty table gives an empty map.
+texts part, and copies of one text under different ids spread over all slots. Only rows
+that are equal in both share a slot; its bytes are then more, and the deal evens out the
+rest. A null id counts as an empty one, a null text as no bytes. An empty table gives an
+empty map.
 """
 
 from __future__ import annotations
