@@ -3,7 +3,6 @@ import random
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from eclusa.errors import MergeError
 from eclusa.operators.upsert import merge_frames, reject_ambiguous, text_bytes, upsert
