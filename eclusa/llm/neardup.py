@@ -221,8 +221,8 @@ def _to_verify(rows: DataFrame) -> DataFrame:
     one = small.select("key", F.col("node").alias("a"), F.col("class").alias("ca"))
     other = small.select("key", F.col("node").alias("b"), F.col("class").alias("cb"))
     every = one.join(other, "key").filter("a < b and ca <> cb").select("a", "b")
-    ends = F.explode(F.array("leader", "last")).alias("end")
-    stars = rows.filter(F.col("n") > SMALL).select("node", "class", ends).filter("class <> end.class")
+    others = F.filter(F.array("leader", "last"), lambda e: e["class"] != F.col("class"))
+    stars = rows.filter(F.col("n") > SMALL).select("node", F.explode(others).alias("end"))
     return every.union(stars.select(F.col("end.node").alias("a"), F.col("node").alias("b"))).distinct()
 
 
