@@ -11,9 +11,9 @@ Registers are banded; texts that share a band meet in a bucket. Pairs are verifi
 exact Jaccard similarity of their sets of shingles, 0.8 or more. In a bucket of up to SMALL
 texts every pair is verified that isn't in one class yet. In a larger one every text is
 verified against two of them; if more than one class is left, the bucket is dealt into finer
-ones, each by a further band, several ways. Two texts of similarity 0.8 share a third of all
-bands, and so have a chance to meet again at each level, in each of its WAYS and under
-each of their common buckets, while others part. Of a bucket that is still large at
+ones, each by a further band that none of the buckets it came from was made by, several ways.
+Two texts of similarity 0.8 share a third of all bands, and so have a chance to meet again at
+each level, in each of the WAYS ways and under each of their common buckets, while others part. Of a bucket that is still large at
 the last level the two texts stand for the rest: a link between two other texts of it is
 found only where it is one of another bucket, too. No step emits more pairs than a fixed
 multiple of the bucket's rows, and none collects a bucket.
@@ -41,8 +41,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
-# Texts of a bucket in which all pairs are verified; finer buckets of each larger one, by level.
-SMALL, WAYS = 16, (2, 1, 1)
+# Texts of a bucket in which all pairs are verified, finer buckets of each larger one, levels.
+SMALL, WAYS, LEVELS = 16, 2, 4
 _UNIT = 2.0**-53
 
 
@@ -226,17 +226,25 @@ def _to_verify(rows: DataFrame) -> DataFrame:
     return every.union(stars.select(F.col("end.node").alias("a"), F.col("node").alias("b"))).distinct()
 
 
-def _finer(rows: DataFrame, sketches: DataFrame, ways: int) -> DataFrame:
+def _finer(rows: DataFrame, sketches: DataFrame) -> DataFrame:
     """Rows of large buckets in finer ones: by further bands that the bucket itself chooses.
 
+    ``used`` are the bands that led to a bucket; each way takes another one of the rest.
     The rows get their texts' bands once, and take them along to all levels.
     """
     if "bands" not in rows.columns:
         rows = rows.join(sketches.select("node", "bands"), "node")
-    way = F.explode(F.sequence(F.lit(0), F.lit(ways - 1))) if ways > 1 else F.lit(0)
-    each = rows.select("node", "key", "bands", way.alias("way"))
-    band = F.pmod(F.xxhash64("key", "way"), F.lit(BANDS)).cast("int")
-    return each.select("node", F.xxhash64("key", "way", F.get("bands", band)).alias("key"), "bands")
+    ways = F.explode(F.sequence(F.lit(0), F.lit(WAYS - 1))).alias("way")
+    each = rows.select("node", "key", "bands", "used", ways)
+    left = F.array_except(F.sequence(F.lit(0), F.lit(BANDS - 1)), F.col("used"))
+    at = F.pmod(F.pmod(F.xxhash64("key"), F.size(left)) + F.col("way"), F.size(left))
+    each = each.withColumn("band", F.get(left, at.cast("int")))
+    return each.select(
+        "node",
+        F.xxhash64("key", "way", F.get("bands", F.col("band"))).alias("key"),
+        "bands",
+        F.array_append("used", F.col("band")).alias("used"),
+    )
 
 
 def _merged(classes: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -255,7 +263,7 @@ def _merged(classes: DataFrame | None, links: DataFrame) -> DataFrame:
 def _classes(sketches: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame | None:
     """Classes of the nodes, from their rows in buckets; None if nothing is linked."""
     classes, tried = None, None
-    for ways in (*WAYS, 0):
+    for level in range(LEVELS):
         open_ = staged(_open_buckets(_with_class(rows, classes)), "dup-buckets")
         pairs = _to_verify(open_)
         if tried is not None:
@@ -266,9 +274,9 @@ def _classes(sketches: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame
         if not links.isEmpty():
             classes = _merged(classes, links)
         large = open_.filter(F.col("n") > SMALL)
-        if not ways or large.isEmpty():
+        if level + 1 == LEVELS or large.isEmpty():
             break
-        rows = _finer(large.drop("class", "n", "leader", "last"), sketches, ways)
+        rows = _finer(large.drop("class", "n", "leader", "last"), sketches)
     return classes
 
 
@@ -289,9 +297,10 @@ def classes(documents: DataFrame, text: str = "text") -> tuple[DataFrame, DataFr
     distinct = keyed.withColumn("at", F.row_number().over(first)).filter("at = 1").drop("at")
     sketches = staged(distinct.withColumn("node", F.monotonically_increasing_id()), "dup-texts")
 
-    banded = sketches.select("node", F.explode("bands").alias("key"))
+    banded = sketches.select("node", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    met = staged(banded.join(shared.filter("low <> high"), "key").select("node", "key"), "dup-met")
+    met = banded.join(shared.filter("low <> high"), "key")
+    met = staged(met.select("node", "key", F.array("band").alias("used")), "dup-met")
     nodes = met.select("node").distinct().join(sketches.select("node", "text_key"), "node")
     texts = rows.withColumn("text_key", text_key(F.col("text"))).join(nodes, "text_key")
     once = texts.select("node", "text").dropDuplicates(["node"])

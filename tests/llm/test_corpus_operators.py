@@ -150,6 +150,21 @@ def test_one_document_of_each_class_stays(spark):
     assert neardup.members(empty(spark)).count() == 0
 
 
+def test_each_level_deals_two_ways_by_bands_not_yet_used(spark):
+    own = [(n, [100 * n + b for b in range(neardup.BANDS)]) for n in range(3)]
+    sketches = spark.createDataFrame(own, "node long, bands array<long>")
+    dealt = spark.createDataFrame([(n, 7, [4]) for n in range(3)], "node long, key long, used array<int>")
+    for level in range(1, neardup.LEVELS):
+        dealt = neardup._finer(dealt, sketches)
+        found = dealt.collect()
+        assert len(found) == 3 * 2**level
+        assert all(len(set(r.used)) == level + 1 and r.used[0] == 4 for r in found)
+    last = spark.createDataFrame(
+        [(0, 7, [b for b in range(neardup.BANDS) if b not in (5, 9)])], "node long, key long, used array<int>"
+    )
+    assert {r.used[-1] for r in neardup._finer(last, sketches).collect()} == {5, 9}
+
+
 def test_registers_estimate_the_similarity():
     r = np.random.default_rng(2)
     a = r.integers(0, 2**63, 400).astype(np.uint64)
