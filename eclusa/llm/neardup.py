@@ -13,10 +13,13 @@ texts every pair is verified that isn't in one class yet. In a larger one every
 verified against two of them; if more than one class is left, the bucket is dealt into finer
 ones, each by a further band that none of the buckets it came from was made by, several ways.
 Two texts of similarity 0.8 share a third of all bands, and so have a chance to meet again at
-each level, in each of the WAYS ways and under each of their common buckets, while others part. Of a bucket that is still large at
-the last level the two texts stand for the rest: a link between two other texts of it is
-found only where it is one of another bucket, too. No step emits more pairs than a fixed
-multiple of the bucket's rows, and none collects a bucket.
+each level, in each of the WAYS ways and under each of their common buckets, while others part.
+What the levels leave of the large buckets that texts share by a band is done exactly: all
+texts outside a bucket's largest class are held against all of the bucket, in blocks of at
+most about BLOCK texts or BLOCK_BYTES of shingles a side, inside a task. So any two texts that
+share a band are verified or in one class already. A bucket of n texts, m of them outside its
+largest class, makes about 2 n m / BLOCK rows of blocks; no step emits all pairs of a large
+bucket, and none collects one.
 
 Equal texts are one node from the start. A class is a connected set of nodes; its id is its
 smallest doc_id. Texts of one to four words have one shingle of all their words. Texts
@@ -43,6 +46,10 @@ BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 # Texts of a bucket in which all pairs are verified, finer buckets of each larger one, levels.
 SMALL, WAYS, LEVELS = 16, 2, 4
+# Texts, and bytes of their shingles, on each side of a block of what the levels leave.
+BLOCK, BLOCK_BYTES = 512, 16 * 1024 * 1024
+# Shingles that are counted at once in a block.
+COUNTED = 4096
 _UNIT = 2.0**-53
 
 
@@ -247,6 +254,83 @@ def _finer(rows: DataFrame, sketches: DataFrame) -> DataFrame:
     )
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray], nodes: np.ndarray) -> np.ndarray:
+    """Number of common shingles of each left set and each right one.
+
+    ``nodes`` are those of the left sets, then of the right ones; a node may be on both sides.
+    """
+    n = len(left)
+    grams = np.concatenate([*left, *right])
+    at = np.repeat(np.arange(len(nodes)), [len(x) for x in (*left, *right)])
+    known, word = np.unique(grams, return_inverse=True)
+    # Shingles of one node alone are common to no two.
+    low, high = np.full(len(known), np.iinfo(np.int64).max), np.full(len(known), -1)
+    np.minimum.at(low, word, nodes[at])
+    np.maximum.at(high, word, nodes[at])
+    common = low < high
+    place = np.cumsum(common) - 1
+    of = common[word]
+    word, at = place[word[of]], at[of]
+    order = np.argsort(word, kind="stable")
+    word, at = word[order], at[order]
+    both = np.zeros((n, len(right)), dtype=np.int64)
+    for first in range(0, int(common.sum()), COUNTED):
+        a, b = np.searchsorted(word, [first, first + COUNTED])
+        has = np.zeros((len(nodes), COUNTED), dtype=np.float32)
+        has[at[a:b], word[a:b] - first] = 1
+        both += (has[:n] @ has[n:].T).astype(np.int64)
+    return both
+
+
+def _block_links(rows: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """All links between different classes of the buckets ``key``, from ``key``, ``node``, ``class``."""
+    sized = rows.join(sets.select("node", F.length("shingles").alias("bytes")), "node")
+    each = sized.groupBy("key", "class").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    whole = each.groupBy("key").agg(
+        F.max(F.struct("n", "class", "bytes")).alias("top"),
+        F.sum("n").alias("n"),
+        F.sum("bytes").alias("bytes"),
+    )
+
+    def blocks(n: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
+
+    counted = whole.select(
+        "key",
+        F.col("top.class").alias("top"),
+        blocks(F.col("n") - F.col("top.n"), F.col("bytes") - F.col("top.bytes")).alias("lefts"),
+        blocks(F.col("n"), F.col("bytes")).alias("rights"),
+    )
+    met = rows.join(counted, "key")
+
+    def own(n: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+
+    def all_of(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = met.filter("class <> top").select(
+        "key", own("lefts").alias("i"), all_of("rights").alias("j"), F.lit(True).alias("left"), "node", "class"
+    )
+    right = met.select(
+        "key", all_of("lefts").alias("i"), own("rights").alias("j"), F.lit(False).alias("left"), "node", "class"
+    )
+    dealt = left.union(right).join(sets, "node")
+
+    def run(block: pa.Table) -> pa.Table:
+        block = block.sort_by([("left", "descending")])
+        n = int(np.count_nonzero(block["left"].to_numpy()))
+        nodes, own = block["node"].to_numpy(), block["class"].to_numpy()
+        found = [np.frombuffer(x, np.uint64) for x in block["shingles"].to_pylist()]
+        size = np.array([len(x) for x in found])
+        both = shared_counts(found[:n], found[n:], nodes)
+        near = (both > 0) & (both >= least * (size[:n, None] + size[None, n:] - both))
+        a, b = np.nonzero(near & (own[:n, None] != own[None, n:]))
+        return pa.table({"a": nodes[:n][a], "b": nodes[n:][b]})
+
+    return on_workers(dealt).groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+
+
 def _merged(classes: DataFrame | None, links: DataFrame) -> DataFrame:
     """Classes after more links: only the linked classes are looked at, not their nodes."""
     if classes is None:
@@ -262,7 +346,7 @@ def _merged(classes: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def _classes(sketches: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame | None:
     """Classes of the nodes, from their rows in buckets; None if nothing is linked."""
-    classes, tried = None, None
+    classes, tried, met = None, None, rows
     for level in range(LEVELS):
         open_ = staged(_open_buckets(_with_class(rows, classes)), "dup-buckets")
         pairs = _to_verify(open_)
@@ -277,6 +361,12 @@ def _classes(sketches: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame
         if level + 1 == LEVELS or large.isEmpty():
             break
         rows = _finer(large.drop("class", "n", "leader", "last"), sketches)
+    left = _open_buckets(_with_class(met, classes)).filter(F.col("n") > SMALL)
+    left = staged(left.select("key", "node", "class"), "dup-left")
+    if not left.isEmpty():
+        links = staged(_block_links(left, sets), "dup-links")
+        if not links.isEmpty():
+            classes = _merged(classes, links)
     return classes
 
 

@@ -165,6 +165,32 @@ def test_each_level_deals_two_ways_by_bands_not_yet_used(spark):
     assert {r.used[-1] for r in neardup._finer(last, sketches).collect()} == {5, 9}
 
 
+def test_no_link_of_a_bucket_that_never_splits_is_lost(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    r = np.random.default_rng(4)
+    own = [np.unique(r.integers(0, 2**63, 60).astype(np.uint64)) for _ in range(40)]
+    own[21], own[33] = np.sort(np.append(own[20][:55], own[21][:3])), np.sort(np.append(own[7][:50], own[33][:20]))
+    sets = spark.createDataFrame(
+        [(n, x.tobytes()) for n, x in enumerate(own)], "node long, shingles binary"
+    )
+    bands = list(range(neardup.BANDS))
+    sketches = spark.createDataFrame([(n, bands) for n in range(40)], "node long, bands array<long>")
+    met = spark.createDataFrame([(n, 3, [3]) for n in range(40)], "node long, key long, used array<int>")
+    found = {r.node: r["class"] for r in neardup._classes(sketches, sets, met).collect()}
+    assert found == {20: 20, 21: 20}
+
+
+def test_common_shingles_of_a_block(monkeypatch):
+    monkeypatch.setattr(neardup, "COUNTED", 7)
+    r = np.random.default_rng(6)
+    own = [np.unique(r.integers(0, 90, k).astype(np.uint64)) for k in (50, 3, 80, 20, 60)]
+    found = neardup.shared_counts(own[:2], own[1:], np.array([0, 1, 1, 2, 3, 4]))
+    for a in range(2):
+        for b in range(4):
+            if a != b + 1:
+                assert found[a, b] == len(np.intersect1d(own[a], own[b + 1]))
+
+
 def test_registers_estimate_the_similarity():
     r = np.random.default_rng(2)
     a = r.integers(0, 2**63, 400).astype(np.uint64)
