@@ -5,9 +5,12 @@ times weighs 1 + log2(c). Each element is a Poisson process whose rate is its we
 arrivals, drawn from the element's hash, fall on the registers, and a register keeps the
 element that arrives first. An element stops as soon as its next arrival comes after the
 last register's first. The share of registers in which two texts agree estimates their
-probability Jaccard similarity, which for unweighted sets is the Jaccard similarity.
+probability Jaccard similarity, which for unweighted sets is the Jaccard similarity. Pairs are
+told by the Jaccard similarity of their sets, so a text that repeats shingles has a second
+sketch in which all weights are 1; that of another text is the same as its weighted one.
 
-Registers are banded; texts that share a band meet in a bucket. Pairs are verified by the
+Registers are banded; texts that share a band meet in a bucket. Any two texts of similarity 0.8
+share one with a chance of 1 - 3e-6, however often they repeat their shingles. Pairs are verified by the
 exact Jaccard similarity of their sets of shingles, 0.8 or more. In a bucket of up to SMALL
 texts every pair is verified that isn't in one class yet. In a larger one every text is
 verified against two of them; if more than one class is left, the bucket is dealt into finer
@@ -108,6 +111,19 @@ def sketch(grams: np.ndarray, texts: np.ndarray, weights: np.ndarray, n: int) ->
     return who.reshape(n, REGISTERS)
 
 
+def both_sketches(grams: np.ndarray, texts: np.ndarray, weights: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Registers of ``n`` texts with their weights, and of those that repeat a shingle with weights 1.
+
+    The second comes with one row for each text that repeats one, in order.
+    """
+    again = np.zeros(n, dtype=bool)
+    again[texts[weights > 1]] = True
+    of = again[texts]
+    place = np.cumsum(again) - 1
+    plain = sketch(grams[of], place[texts[of]], np.ones(int(of.sum())), int(again.sum()))
+    return sketch(grams, texts, weights, n), plain
+
+
 def bands(registers: np.ndarray) -> np.ndarray:
     """One number for each band of each row of registers."""
     parts = registers.reshape(len(registers), BANDS, ROWS)
@@ -118,17 +134,26 @@ def bands(registers: np.ndarray) -> np.ndarray:
 
 
 def with_bands(documents: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
-    """The documents with the bands of their texts; none for a text without words."""
+    """The documents with the bands of their texts; none for a text without words.
+
+    The last BANDS ones are those of the set of shingles. A text that repeats a shingle has
+    as many of its weighted shingles before them.
+    """
     name = free_name(documents.columns, "bands")
 
     def make():
         def scan(data: np.ndarray, offsets: np.ndarray):
             n = len(offsets) - 1
             grams, texts, weights = elements(W.scan(data, offsets))
-            made = bands(sketch(grams, texts, weights, n)).view(np.int64)
+            again = np.zeros(n, dtype=bool)
+            again[texts[weights > 1]] = True
             has = np.bincount(texts, minlength=n) > 0
-            ends = np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(made[has].ravel()))]
+            weighted, plain = both_sketches(grams, texts, weights, n)
+            # Rows of bands in the order of their texts, a text's weighted ones first.
+            at = np.concatenate([np.flatnonzero(has), np.flatnonzero(again)])
+            made = np.concatenate([bands(weighted)[has], bands(plain)])[np.argsort(at, kind="stable")]
+            ends = np.concatenate([[0], np.cumsum((has * 1 + again) * BANDS)]).astype(np.int32)
+            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(made.view(np.int64).ravel()))]
 
         return scan
 
@@ -236,7 +261,8 @@ def _to_verify(rows: DataFrame) -> DataFrame:
 def _finer(rows: DataFrame, sketches: DataFrame) -> DataFrame:
     """Rows of large buckets in finer ones: by further bands that the bucket itself chooses.
 
-    ``used`` are the bands that led to a bucket; each way takes another one of the rest.
+    ``used`` are the bands that led to a bucket; each way takes another one of the rest,
+    of the set of shingles, as that is what pairs are verified by.
     The rows get their texts' bands once, and take them along to all levels.
     """
     if "bands" not in rows.columns:
@@ -248,7 +274,7 @@ def _finer(rows: DataFrame, sketches: DataFrame) -> DataFrame:
     each = each.withColumn("band", F.get(left, at.cast("int")))
     return each.select(
         "node",
-        F.xxhash64("key", "way", F.get("bands", F.col("band"))).alias("key"),
+        F.xxhash64("key", "way", F.get("bands", F.size("bands") - BANDS + F.col("band"))).alias("key"),
         "bands",
         F.array_append("used", F.col("band")).alias("used"),
     )
@@ -387,7 +413,10 @@ def classes(documents: DataFrame, text: str = "text") -> tuple[DataFrame, DataFr
     distinct = keyed.withColumn("at", F.row_number().over(first)).filter("at = 1").drop("at")
     sketches = staged(distinct.withColumn("node", F.monotonically_increasing_id()), "dup-texts")
 
-    banded = sketches.select("node", F.posexplode("bands").alias("band", "key"))
+    banded = sketches.select("node", "bands", F.posexplode("bands").alias("at", "key"))
+    # A band that a text has both ways counts once.
+    banded = banded.filter((F.col("at") < BANDS) | (F.col("key") != F.get("bands", F.col("at") - BANDS)))
+    banded = banded.select("node", (F.col("at") % BANDS).alias("band"), "key")
     shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     met = banded.join(shared.filter("low <> high"), "key")
     met = staged(met.select("node", "key", F.array("band").alias("used")), "dup-met")

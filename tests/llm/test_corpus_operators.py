@@ -191,6 +191,26 @@ def test_common_shingles_of_a_block(monkeypatch):
                 assert found[a, b] == len(np.intersect1d(own[a], own[b + 1]))
 
 
+def test_copies_that_repeat_a_passage_are_found(spark):
+    docs = []
+    for k in range(30):
+        own = [f"t{k}x{i}" for i in range(112)]
+        line = " ".join(own[:16])
+        docs.append((2 * k, " ".join(own)))
+        # One line is repeated; the set of shingles grows by the four that span its end.
+        docs.append((2 * k + 1, " ".join([line] * 256 + own[16:])))
+    found = neardup.members(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_id) for r in found) == sorted(plain_classes(docs))
+    assert all(r.class_id == r.doc_id - r.doc_id % 2 and r.n_texts == 2 for r in found)
+
+
+def test_a_text_without_repeats_has_one_sketch(spark):
+    docs = [(0, "a b c d e f g"), (1, "a b c d e " * 5), (2, ""), (3, "one")]
+    made, name = neardup.with_bands(spark.createDataFrame(docs, "doc_id long, text string"))
+    n = {r.doc_id: len(r[name]) for r in made.collect()}
+    assert n == {0: neardup.BANDS, 1: 2 * neardup.BANDS, 2: 0, 3: neardup.BANDS}
+
+
 def test_registers_estimate_the_similarity():
     r = np.random.default_rng(2)
     a = r.integers(0, 2**63, 400).astype(np.uint64)
