@@ -20,16 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField
+from pyspark.sql.types import ArrayType, DoubleType, StructField
 
 from eclusa.llm import words as W
-from eclusa.llm.frames import free_name, held_out, map_texts
-from eclusa.llm.toxicity import joined
+from eclusa.llm.frames import free_name, held_out, id_and_text, map_texts
 
 # Rows that are learned from, at most: trusted positives, and unlabelled ones.
 POSITIVES, UNLABELLED = 4_000, 6_000
-# Characters of a training row's text; the samples so are bounded in bytes as well.
-SAMPLE_TEXT = 20_000
 HIDDEN, EPOCHS, BATCH, RATE = 16, 60, 512, 0.01
 THRESHOLD = 0.7
 
@@ -209,9 +206,17 @@ def train(positives: np.ndarray, unlabelled: np.ndarray, seed: int = 11) -> Mode
     return model
 
 
-def _texts(rows: DataFrame, most: int) -> list[str]:
-    text = F.substring(F.coalesce(F.col("text").cast("string"), F.lit("")), 1, SAMPLE_TEXT)
-    return rows.limit(most).select(text.alias("text")).toArrow()["text"].to_pylist()
+def inputs(rows: DataFrame, most: int) -> np.ndarray:
+    """Inputs of the whole texts of at most so many rows, by ``doc_id``; only these numbers are collected."""
+
+    def make():
+        return lambda data, offsets: [pa.array(list(features(data, offsets)))]
+
+    made = map_texts(rows, "text", make, [StructField("inputs", ArrayType(DoubleType()))])
+    made = made.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest"), "inputs")
+    got = made.orderBy("doc_id", "digest").limit(most).select("inputs").toArrow()["inputs"].to_pylist()
+    none = features(np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64))
+    return np.vstack([none, *(np.array(x)[None] for x in got)])
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
@@ -219,7 +224,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality") -> Mode
 
     No label of a row that is held out is read, and of the others only the positive ones.
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = id_and_text(documents)
     order = F.md5(F.col("doc_id").cast("string"))
     good = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     good = good.filter((F.col("y") > 0) & ~held_out(F.col("doc_id"))).select("doc_id").distinct()
@@ -227,15 +232,9 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality") -> Mode
     # Ids alone are ranked; at most so many are broadcast.
     any_ = rows.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
     any_ = any_.orderBy(F.md5(F.concat(F.lit("u"), F.col("doc_id").cast("string")))).limit(UNLABELLED)
-    positives = _texts(rows.join(F.broadcast(some), "doc_id").orderBy("doc_id", "text"), POSITIVES)
-    unlabelled = _texts(rows.join(F.broadcast(any_), "doc_id").orderBy("doc_id", "text"), UNLABELLED)
-    return train(_features(positives), _features(unlabelled))
-
-
-def _features(texts: list[str]) -> np.ndarray:
-    """Inputs of a sample, some hundred texts at a time."""
-    parts = [features(*joined(texts[a : a + 500])) for a in range(0, len(texts), 500)]
-    return np.vstack(parts or [features(np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64))])
+    positives = inputs(rows.join(F.broadcast(some), "doc_id"), POSITIVES)
+    unlabelled = inputs(rows.join(F.broadcast(any_), "doc_id"), UNLABELLED)
+    return train(positives, unlabelled)
 
 
 def scored(documents: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame, str]:

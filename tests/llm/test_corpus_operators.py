@@ -245,6 +245,15 @@ def area(scores, y):
     return ((a > b) + 0.5 * (a == b)).mean()
 
 
+def test_quality_learns_from_whole_texts(spark):
+    docs = [(2, "good words " * 3000 + "an end of its own 123 !!!"), (1, "short"), (3, None)]
+    found = quality.inputs(spark.createDataFrame(docs, "doc_id long, text string"), 3)
+    raw = [t.encode() for t in ("short", docs[0][1], "")]
+    whole = quality.features(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert np.allclose(found, whole)
+    assert quality.inputs(empty(spark), 3).shape == (0, whole.shape[1])
+
+
 @pytest.mark.parametrize("name, label, least", [("op1_toxicity", "toxic", 0.75), ("op3_quality", "quality", 0.95)])
 def test_held_out_rows(spark, name, label, least):
     labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
