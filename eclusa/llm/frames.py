@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from eclusa.functions.locations import fresh_path
+from eclusa.functions.locations import Files, fresh_path
 
 # Texts are scanned in slices of about so many bytes, which bounds a task's memory.
 SLICE_BYTES = 2 * 1024 * 1024
@@ -41,7 +41,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.staged_at = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the folders of staged frames that nothing reads any more."""
+    for df in frames:
+        Files(df.sparkSession, df.staged_at).remove(df.staged_at)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

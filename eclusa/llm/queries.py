@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eclusa.llm import bpe, counts, decontaminate, licences, neardup, pii, quality, sharding, topk, toxicity
+from eclusa.llm import (
+    bpe,
+    counts,
+    decontaminate,
+    fim,
+    licences,
+    merkle,
+    neardup,
+    pii,
+    quality,
+    rules,
+    sharding,
+    topk,
+    toxicity,
+)
 from eclusa.llm.frames import held_out, id_and_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +129,30 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.checked(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return rules.scan(documents(spark, sf_dir)).select(
+        "doc_id", *(F.col("measures")[m].alias(m) for m in base), "base_failed", "kept", "quality"
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transformed(documents(spark, sf_dir))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
@@ -126,5 +164,11 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_licences": op9_licences,
     "op10_personal_data": op10_personal_data,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_fill_in_middle": op13_fill_in_middle,
+}
+ORACLE: dict[str, str] = {
+    "op9_licences": licences.oracle(),
+    "op11_merkle_manifest": merkle.oracle(),
 }
-ORACLE: dict[str, str] = {"op9_licences": licences.oracle()}
