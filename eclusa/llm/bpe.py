@@ -28,15 +28,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from eclusa.llm.frames import free_name, on_workers, staged, text_slices
+from eclusa.llm.frames import free_name, map_batches, staged, text_slices
 
 # Characters of a chunk, and those that it shares with the next.
 CHUNK = 32_768
 OVERLAP = 1_024
 # Characters before a chunk's end where a match may still change.
 MARGIN = 8
-# Pre-tokens whose ids a task remembers: so many of the last, and as many from before.
-REMEMBERED = 350_000
+# Bytes of pre-tokens whose ids a task remembers: so many of the last, and as many from before.
+REMEMBERED_BYTES = 48 * 1024 * 1024
+# Bytes that a remembered pre-token needs beyond its characters and ids.
+ENTRY_BYTES = 190
+# Bytes of texts that are encoded at once.
+SLICE = 1024 * 1024
 EMPTY = np.zeros(0, dtype=np.int32)
 
 # First and last code points that the pattern's library takes for letters or
@@ -125,12 +129,14 @@ class Coder:
         # Ids of a pre-token as packed 32-bit numbers.
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.room = REMEMBERED_BYTES
 
     def _piece(self, piece: str) -> bytes:
         ids = self.older.get(piece) or array("i", merge(piece.encode(), self.ranks)).tobytes()
         if len(piece) <= 64:
-            if len(self.known) >= REMEMBERED:
-                self.known, self.older = {}, self.known
+            self.room -= ENTRY_BYTES + len(piece) + len(ids)
+            if self.room < 0:
+                self.known, self.older, self.room = {}, self.known, REMEMBERED_BYTES
             self.known[piece] = ids
         return ids
 
@@ -162,31 +168,52 @@ class Decoder:
         self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
 
     def decode(self, ids: np.ndarray) -> bytes:
+        return self.joined(ids).tobytes()
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
         sizes = self.size[ids]
         ends = np.cumsum(sizes)
         # Place in the token table of each byte: its token's start, plus its place in the token.
         shift = np.repeat(self.start[ids] - (ends - sizes), sizes)
-        return self.bytes[shift + np.arange(len(shift))].tobytes()
+        return self.bytes[shift + np.arange(len(shift))]
+
+    def many(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The bytes of each list of ids; ``ends`` are the lists' bounds, from 0 on."""
+        sizes = np.concatenate([[0], np.cumsum(self.size[ids])])
+        offsets = pa.py_buffer(sizes[ends].astype(np.int64))
+        raw = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, offsets, pa.py_buffer(self.joined(ids))])
+        return raw.cast(pa.binary())
 
 
-def _with_ids(df: DataFrame, text: str, name: str, ranks_path: str, pattern: str) -> DataFrame:
-    """The frame with the ids of its texts in place of the texts."""
+def _with_ids(
+    df: DataFrame, text: str, name: str, ranks_path: str, pattern: str, decoded: str | None = None
+) -> DataFrame:
+    """The frame with the ids of its texts in place of the texts.
+
+    With ``decoded`` the same pass decodes the ids to a column of that name.
+    """
     at = df.columns.index(text)
     fields = [f for f in df.schema.fields if f.name != text]
-    schema = StructType([*fields, StructField(name, ArrayType(IntegerType(), False))])
+    fields.append(StructField(name, ArrayType(IntegerType(), False)))
+    if decoded:
+        fields.append(StructField(decoded, BinaryType()))
+    schema = StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(load_ranks(ranks_path), pattern)
-        for rows, data, offsets in text_slices(batches, at):
+        decoder = Decoder(coder.ranks) if decoded else None
+        for rows, data, offsets in text_slices(batches, at, SLICE):
             raw, old = data.tobytes(), not bool((data >= _LEAST_BYTE).any())
             ids = [coder.encode(raw[a:b].decode(), old) for a, b in pairwise(offsets.tolist())]
             ends = np.cumsum([0] + [len(x) // 4 for x in ids]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32), pa.int32())
+            values = np.frombuffer(b"".join(ids), dtype=np.int32)
             columns = [c for i, c in enumerate(rows.columns) if i != at]
-            columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
+            columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32())))
+            if decoder:
+                columns.append(decoder.many(values, ends))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return on_workers(df).mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def _boundaries(chunks: DataFrame, chunk: int, overlap: int, pattern: str) -> DataFrame:
@@ -210,9 +237,7 @@ def _boundaries(chunks: DataFrame, chunk: int, overlap: int, pattern: str) -> Da
                 names=["key", "number", "head", "tail"],
             )
 
-    return on_workers(chunks).mapInArrow(
-        run, "key long, number int, head array<long>, tail array<long>"
-    )
+    return map_batches(chunks, run, "key long, number int, head array<long>, tail array<long>")
 
 
 def stitched(chunks: DataFrame, chunk: int, overlap: int, pattern: str) -> DataFrame:
@@ -262,12 +287,45 @@ def encode(
     """
     kept = [c for c in documents.columns if c != text]
     name = free_name(kept, "ids")
+    short, long = _by_length(documents, text, chunk)
+    return _with_ids(short, text, name, ranks_path, pattern).unionByName(
+        _long_ids(long, text, name, ranks_path, pattern, chunk, overlap)
+    )
+
+
+def round_trip(
+    documents: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    text: str = "text",
+    chunk: int = CHUNK,
+    overlap: int = OVERLAP,
+) -> DataFrame:
+    """What :func:`decode` makes of :func:`encode`'s result, in one pass over the short texts.
+
+    The new columns are called ``ids`` and ``decoded``, or the next free names.
+    """
+    kept = [c for c in documents.columns if c != text]
+    name = free_name(kept, "ids")
+    short, long = _by_length(documents, text, chunk)
+    both = _with_ids(short, text, name, ranks_path, pattern, free_name([*kept, name], "decoded"))
+    return both.unionByName(
+        decode(_long_ids(long, text, name, ranks_path, pattern, chunk, overlap), ranks_path, name)
+    )
+
+
+def _by_length(documents: DataFrame, text: str, chunk: int) -> tuple[DataFrame, DataFrame]:
     whole = documents.withColumn(text, F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
     size = F.char_length(f"`{text}`")
-    short = _with_ids(whole.filter(size <= chunk), text, name, ranks_path, pattern)
+    return whole.filter(size <= chunk), whole.filter(size > chunk)
 
+
+def _long_ids(
+    whole: DataFrame, text: str, name: str, ranks_path: str, pattern: str, chunk: int, overlap: int
+) -> DataFrame:
+    kept = [c for c in whole.columns if c != text]
     fields = F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row")
-    long = whole.filter(size > chunk).select(
+    long = whole.select(
         F.monotonically_increasing_id().alias("key"), fields, F.col(f"`{text}`").alias("piece")
     )
     last = F.floor((F.char_length("piece") - 1) / chunk).cast("int")
@@ -287,9 +345,7 @@ def encode(
     all_ids = F.flatten(F.transform(ordered, lambda x: x["ids"]))
     ids = pieces.groupBy("key").agg(all_ids.alias("ids"))
     rows = chunks.filter("number = 0").select("key", "row").join(ids, "key")
-    return short.unionByName(
-        rows.select(*(F.col("row").getField(c).alias(c) for c in kept), F.col("ids").alias(name))
-    )
+    return rows.select(*(F.col("row").getField(c).alias(c) for c in kept), F.col("ids").alias(name))
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
@@ -307,4 +363,4 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
                 raw = pa.array([decoder.decode(v) for v in values], pa.binary())
                 yield pa.RecordBatch.from_arrays([*rows.columns, raw], names=schema.names)
 
-    return on_workers(encoded).mapInArrow(run, schema)
+    return map_batches(encoded, run, schema)

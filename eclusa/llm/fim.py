@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from eclusa.llm.frames import free_name, on_workers, text_slices
+from eclusa.llm.frames import free_name, map_batches, text_slices
 
 # Markers of prefix, suffix and middle.
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
@@ -221,7 +221,7 @@ def transformed(
                 names=schema.names,
             )
 
-    return on_workers(rows).mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def restored(output: Column, form: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
@@ -34,6 +36,25 @@ def on_workers(df: DataFrame) -> DataFrame:
     return df
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` on workers that hand their free memory back when a task ends.
+
+    Spark keeps idle workers, and those of several stages share an executor's memory.
+    """
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return on_workers(df).mapInArrow(tidy, schema)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The frame written to the session's shared folder and read from there.
 
@@ -130,4 +151,4 @@ def map_texts(
                 columns.append(value if isinstance(value, pa.Array) else pa.array(value, kind.type))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return on_workers(df).mapInArrow(run, schema)
+    return map_batches(df, run, schema)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
 from eclusa.llm import words as W
-from eclusa.llm.frames import free_name, map_texts, on_workers, staged, text_slices
+from eclusa.llm.frames import free_name, map_batches, map_texts, on_workers, staged, text_slices
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -177,7 +177,7 @@ def _sets(texts: DataFrame) -> DataFrame:
                 [rows.column(0), pa.array(packed, pa.binary())], names=["node", "shingles"]
             )
 
-    return on_workers(texts).mapInArrow(run, "node long, shingles binary")
+    return map_batches(texts, run, "node long, shingles binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -197,7 +197,7 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> Da
                 kept.append(both > 0 and both >= least * (len(x) + len(y) - both))
             yield rows.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    return on_workers(pairs.join(left, "a").join(right, "b")).mapInArrow(run, "a long, b long")
+    return map_batches(pairs.join(left, "a").join(right, "b"), run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:

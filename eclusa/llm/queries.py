@@ -49,8 +49,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    return bpe.round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
@@ -25,23 +25,34 @@ from eclusa.llm.gru import fit as network
 
 # Labelled rows that are learned from, at most: those of the smallest hashes of their ids.
 SAMPLE = 3_000
-# Characters of a training row's text; the sample so is bounded in bytes as well.
-SAMPLE_TEXT = 20_000
+# Bytes of their whole texts, at most; of rows beyond, those of the greatest hashes stay out.
+SAMPLE_BYTES = 64 * 1024 * 1024
 THRESHOLD = 0.3
 
 
 def labelled(
-    documents: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE
+    documents: DataFrame,
+    labels: DataFrame,
+    label: str,
+    sample: int = SAMPLE,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of a sample, equal texts once, without rows that are held out."""
+    """Whole texts and labels of a sample, equal texts once, without rows that are held out."""
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     marks = marks.filter(F.col("y").isNotNull() & ~held_out(F.col("doc_id")))
-    chosen = marks.orderBy(F.md5(F.col("doc_id").cast("string")), "y").limit(sample)
-    text = F.substring(F.coalesce(F.col("text").cast("string"), F.lit("")), 1, SAMPLE_TEXT)
+    by = F.md5(F.col("doc_id").cast("string"))
+    chosen = marks.select("doc_id", "y", by.alias("by")).orderBy("by", "y").limit(sample)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     # At most ``sample`` ids are broadcast.
-    found = rows.join(F.broadcast(chosen), "doc_id").groupBy("text").agg(F.max("y").alias("y"))
-    got = found.orderBy("text").limit(sample).toArrow()
+    found = rows.join(F.broadcast(chosen), "doc_id").groupBy("text").agg(
+        F.max("y").alias("y"), F.min("by").alias("by")
+    )
+    # At most ``sample`` rows, too, unless ids repeat; their bytes are summed in one task.
+    found = found.orderBy("by", "text").limit(sample)
+    so_far = F.sum(F.octet_length("text")).over(Window.orderBy("by", "text"))
+    kept = found.withColumn("so_far", so_far).filter(F.col("so_far") <= sample_bytes)
+    got = kept.select("text", "y").orderBy("text").toArrow()
     return got["text"].to_pylist(), np.array(got["y"].to_pylist(), dtype=np.int64)
 
 
