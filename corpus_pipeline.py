@@ -43,12 +43,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and their number instead of the text; ``intact`` if they decode to it."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    rows = docs.select("doc_id", "lang", "source", "text", digest.alias("digest"))
-    decoded = bpe.decode(bpe.encode(rows, ranks, public_tokenizers.PATTERN), ranks)
-    return decoded.select(
-        "doc_id",
-        "lang",
-        "source",
+    kept = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
+    rows = docs.select(*kept, "text", digest.alias("digest"))
+    return bpe.round_trip(rows, ranks, public_tokenizers.PATTERN).select(
+        *kept,
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
         (F.sha2("decoded", 256) == F.col("digest")).alias("intact"),
