@@ -11,18 +11,20 @@ sketch in which all weights are 1; that of another text is the same as its weigh
 
 Registers are banded; texts that share a band meet in a bucket. Any two texts of similarity 0.8
 share one with a chance of 1 - 3e-6, however often they repeat their shingles. Pairs are verified by the
-exact Jaccard similarity of their sets of shingles, 0.8 or more. In a bucket of up to SMALL
-texts every pair is verified that isn't in one class yet. In a larger one every text is
-verified against two of them; if more than one class is left, the bucket is dealt into finer
-ones, each by a further band that none of the buckets it came from was made by, several ways.
-Two texts of similarity 0.8 share a third of all bands, and so have a chance to meet again at
-each level, in each of the WAYS ways and under each of their common buckets, while others part.
-What the levels leave of the large buckets that texts share by a band is done exactly: all
-texts outside a bucket's largest class are held against all of the bucket, in blocks of at
-most about BLOCK texts or BLOCK_BYTES of shingles a side, inside a task. So any two texts that
-share a band are verified or in one class already. A bucket of n texts, m of them outside its
-largest class, makes about 2 n m / BLOCK rows of blocks; no step emits all pairs of a large
-bucket, and none collects one.
+exact Jaccard similarity of their sets of shingles, 0.8 or more, so that any two texts that share a
+band are verified or in one class already. The bands are taken in groups, and what one group
+has joined is not looked at by the next.
+
+In a bucket of up to SMALL texts every pair is verified that isn't in one class yet. In a larger
+one all texts outside its largest class are held against all of the bucket, in blocks of at
+most about BLOCK texts or BLOCK_BYTES of shingles a side, inside a task: a bucket of n texts, m
+of them outside its largest class, makes about 2 n m / BLOCK rows of blocks, or n + m of a small
+m. While m is over BLOCK, texts are joined by less first: each is verified against two of the
+bucket, and where that leaves m over BLOCK, the bucket is dealt into finer ones, each by a
+further band that none of the buckets it came from was made by, several ways. Two texts of
+similarity 0.8 share a third of all bands, and so have a chance to meet again at each level, in
+each of the WAYS ways and under each of their common buckets, while others part. What the
+levels leave is done in blocks. No step emits all pairs of a large bucket, and none collects one.
 
 Equal texts are one node from the start. A class is a connected set of nodes; its id is its
 smallest doc_id. Texts of one to four words have one shingle of all their words. Texts
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
 from eclusa.llm import words as W
-from eclusa.llm.frames import free_name, map_batches, map_texts, on_workers, staged, text_slices
+from eclusa.llm.frames import discard, free_name, map_batches, map_texts, on_workers, staged, text_slices
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -49,6 +51,8 @@ BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 # Texts of a bucket in which all pairs are verified, finer buckets of each larger one, levels.
 SMALL, WAYS, LEVELS = 16, 2, 4
+# Bands whose buckets are looked at together; later ones find most of theirs joined already.
+GROUPS = (4, 8, 20)
 # Texts, and bytes of their shingles, on each side of a block of what the levels leave.
 BLOCK, BLOCK_BYTES = 512, 16 * 1024 * 1024
 # Shingles that are counted at once in a block.
@@ -236,26 +240,32 @@ def _with_class(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
 
 
 def _open_buckets(rows: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold several classes, with the buckets' size, first and last text."""
-    counted = rows.groupBy("key").agg(
-        F.count("*").alias("n"),
-        F.min(F.struct("node", "class")).alias("leader"),
-        F.max(F.struct("node", "class")).alias("last"),
-        F.min("class").alias("low"),
-        F.max("class").alias("high"),
+    """Rows of the buckets that hold several classes, with ``n``, the bucket's texts, ``m``, those
+    outside its largest class, and its first and last text."""
+    each = rows.groupBy("key", "class").agg(
+        F.count("*").alias("n"), F.min("node").alias("first"), F.max("node").alias("final")
     )
-    return rows.join(counted.filter("low <> high").drop("low", "high"), "key")
+    counted = each.groupBy("key").agg(
+        F.sum("n").alias("n"),
+        (F.sum("n") - F.max("n")).alias("m"),
+        F.min(F.struct(F.col("first").alias("node"), "class")).alias("leader"),
+        F.max(F.struct(F.col("final").alias("node"), "class")).alias("last"),
+    )
+    return rows.join(counted.filter("m > 0"), "key")
+
+
+def _all_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of different classes in small buckets."""
+    one = rows.select("key", F.col("node").alias("a"), F.col("class").alias("ca"))
+    other = rows.select("key", F.col("node").alias("b"), F.col("class").alias("cb"))
+    return one.join(other, "key").filter("a < b and ca <> cb").select("a", "b")
 
 
-def _to_verify(rows: DataFrame) -> DataFrame:
-    """Pairs of different classes: all of small buckets, and each text with two of a large one."""
-    small = rows.filter(F.col("n") <= SMALL).select("key", "node", "class")
-    one = small.select("key", F.col("node").alias("a"), F.col("class").alias("ca"))
-    other = small.select("key", F.col("node").alias("b"), F.col("class").alias("cb"))
-    every = one.join(other, "key").filter("a < b and ca <> cb").select("a", "b")
+def _stars(rows: DataFrame) -> DataFrame:
+    """Pairs of each text with two of its bucket, if they are of other classes."""
     others = F.filter(F.array("leader", "last"), lambda e: e["class"] != F.col("class"))
-    stars = rows.filter(F.col("n") > SMALL).select("node", F.explode(others).alias("end"))
-    return every.union(stars.select(F.col("end.node").alias("a"), F.col("node").alias("b"))).distinct()
+    ends = rows.select("node", F.explode(others).alias("end"))
+    return ends.select(F.col("end.node").alias("a"), F.col("node").alias("b"))
 
 
 def _finer(rows: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -370,29 +380,53 @@ def _merged(classes: DataFrame | None, links: DataFrame) -> DataFrame:
     return staged(old.union(joined.join(classes, "node", "left_anti")), "dup-classes")
 
 
-def _classes(sketches: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame | None:
-    """Classes of the nodes, from their rows in buckets; None if nothing is linked."""
-    classes, tried, met = None, None, rows
+def _linked(classes: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    links = staged(links, "dup-links")
+    if not links.isEmpty():
+        classes, old = _merged(classes, links), classes
+        if old is not None:
+            discard(old)
+    discard(links)
+    return classes
+
+
+def _by_buckets(
+    sketches: DataFrame, sets: DataFrame, rows: DataFrame, classes: DataFrame | None
+) -> DataFrame | None:
+    """Classes after all links between texts that share one of the buckets."""
+    large, crowd, crowded = F.col("n") > SMALL, F.col("m") > BLOCK, None
     for level in range(LEVELS):
         open_ = staged(_open_buckets(_with_class(rows, classes)), "dup-buckets")
-        pairs = _to_verify(open_)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = _all_pairs(open_.filter(~large)).union(_stars(open_.filter(large & crowd))).distinct()
         pairs = staged(pairs, "dup-pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = staged(verified(pairs, sets), "dup-links")
-        if not links.isEmpty():
-            classes = _merged(classes, links)
-        large = open_.filter(F.col("n") > SMALL)
-        if level + 1 == LEVELS or large.isEmpty():
+        exact = _block_links(open_.filter(large & ~crowd).select("key", "node", "class"), sets)
+        classes = _linked(classes, verified(pairs, sets).union(exact))
+        # The stars may have left few outside the largest class of a bucket.
+        hot = open_.filter(large & crowd).drop("class", "n", "m", "leader", "last")
+        hot = staged(_open_buckets(_with_class(hot, classes)), "dup-buckets")
+        discard(pairs, open_)
+        if hot.isEmpty():
+            break
+        classes = _linked(classes, _block_links(hot.filter(~crowd).select("key", "node", "class"), sets))
+        hot = hot.filter(crowd).drop("class", "n", "m", "leader", "last")
+        if crowded is None:
+            crowded = hot.select("key", "node")
+        if level + 1 == LEVELS or hot.isEmpty():
             break
-        rows = _finer(large.drop("class", "n", "leader", "last"), sketches)
-    left = _open_buckets(_with_class(met, classes)).filter(F.col("n") > SMALL)
-    left = staged(left.select("key", "node", "class"), "dup-left")
-    if not left.isEmpty():
-        links = staged(_block_links(left, sets), "dup-links")
-        if not links.isEmpty():
-            classes = _merged(classes, links)
+        rows = _finer(hot, sketches)
+    if crowded is not None:
+        # What the finer buckets have not joined.
+        left = staged(_open_buckets(_with_class(crowded, classes)).select("key", "node", "class"), "dup-left")
+        classes = _linked(classes, _block_links(left, sets))
+    return classes
+
+
+def _classes(sketches: DataFrame, sets: DataFrame, met: DataFrame) -> DataFrame | None:
+    """Classes of the nodes, from their rows in buckets; None if nothing is linked."""
+    classes, first = None, 0
+    for n in GROUPS:
+        own = met.filter(F.get("used", F.lit(0)).between(first, first + n - 1))
+        classes, first = _by_buckets(sketches, sets, own, classes), first + n
     return classes
 
 
