@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from eclusa.operators.sink import write
 from eclusa.operators.transform import apply_sql
 from eclusa.plans.ingest import ingest, raise_failures, run_arrivals, run_dataset
 from eclusa.sources.control import load_control
+from eclusa.streaming.arrivals import ingest_new_arrivals
 
 
 def _read_back(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
@@ -28,8 +31,7 @@ def partition_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_by_date_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events, _ = with_partitions(table(spark, sf_dir, "events"), "ts", "data")
-    return events.select("event_id", "ano", "mes")
+    return with_partitions(table(spark, sf_dir, "events"), "ts", "data")[0]
 
 
 def partition_by_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +65,23 @@ def write_overwrite_replaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_back(orders, path)
 
 
+def overwrite_failed_keeps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An overwrite that fails at one of its rows leaves the target as it was."""
+    orders, names = _dated_orders(spark, sf_dir)
+    path = fresh_path(spark, "destino")
+    write(orders, path, "parquet", "overwrite", names)
+    last = orders.agg(F.max("o_orderkey")).head()[0]
+    broken = F.raise_error(F.lit("broken row")).cast("string")
+    status = F.when(F.col("o_orderkey") == last, broken).otherwise(F.col("o_orderstatus"))
+    try:
+        write(orders.withColumn("o_orderstatus", status), path, "parquet", "overwrite", names)
+    except Exception as e:
+        if "broken row" not in str(e):
+            raise
+        return _read_back(orders, path)
+    raise AssertionError("the overwrite was to fail")
+
+
 def write_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, names = _dated_orders(spark, sf_dir)
     path = fresh_path(spark, "destino")
@@ -226,24 +245,77 @@ def ingest_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = orders.union(events).union(customers)
     report = raise_failures(run_arrivals(spark, control, arrivals))
     done = {o.dataset_id: o.read(spark) for o in report.done}
-    monthly, types, customers = done["orders_monthly"], done["events_types"], done["customers"]
-    name = F.lit
-    return (
-        monthly.groupBy(
-            name("orders_monthly").alias("dataset"), F.col("ano").alias("grupo")
-        )
-        .agg(F.count("*").alias("linhas"), F.sum("n_orders").alias("total"))
-        .union(
-            types.groupBy(name("events_types"), "event_type").agg(
-                F.count("*"), F.sum("user_id")
-            )
-        )
-        .union(
-            customers.groupBy(name("customers"), "c_mktsegment").agg(
-                F.count("*"), F.sum("c_custkey")
-            )
-        )
+    # Every row of every target, as text by column.
+    return reduce(DataFrame.union, (_as_text(name, done[name]) for name in sorted(done)))
+
+
+def _as_text(name: str, df: DataFrame) -> DataFrame:
+    def text(column: str) -> F.Column:
+        kind = dict(df.dtypes)[column]
+        value = F.col(column)
+        if kind == "double":
+            value = F.round(value * 100).cast("long")
+        elif kind.startswith("timestamp"):
+            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+        return F.coalesce(value.cast("string"), F.lit("-"))
+
+    cells = [F.concat(F.lit(f"{c}="), text(c)) for c in sorted(df.columns)]
+    return df.select(F.lit(name).alias("dataset"), F.concat_ws("|", *cells).alias("linha"))
+
+
+def ingest_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files arrive for two datasets at once, and the second reads what the first writes."""
+    months, years = fresh_path(spark, "destino"), fresh_path(spark, "destino")
+    first = _monthly_row(spark, sf_dir, months)
+    yearly = (
+        "select cast(ano as int) as ano, o_orderpriority, count(*) as n_months, sum(n_orders) as n_orders "
+        "from tabela_temp group by ano, o_orderpriority"
     )
+    second = control_row(
+        spark,
+        months,
+        years,
+        dataset_id="orders_yearly",
+        prefixo="/years/",
+        colunas_esperadas="o_orderpriority,n_orders,revenue,ano,mes",
+        modo_ingestao="overwrite",
+        query=yearly,
+    )
+    control = load_control(spark, control_file(spark, [second, first]))
+    keys = table(spark, sf_dir, "orders").select(
+        F.explode(F.array(*[F.concat(F.lit(f"in/{d}/"), "o_orderkey") for d in ("years", "orders")])).alias("key")
+    )
+    report = raise_failures(run_arrivals(spark, control, keys))
+    return next(o for o in report.done if o.dataset_id == "orders_yearly").read(spark)
+
+
+def stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys arrive in two drops: the customers are appended once for each that has some of theirs."""
+    target, inbox = fresh_path(spark, "destino"), fresh_path(spark, "chegadas")
+    settings = {
+        "colunas_esperadas": columns_of(spark, sf_dir, "customer"),
+        "modo_ingestao": "append",
+    }
+    rows = [
+        control_row(
+            spark, f"{sf_dir}/customer.parquet", target, dataset_id="customers", prefixo="/fr/", **settings
+        ),
+        control_row(
+            spark,
+            f"{sf_dir}/customer.parquet",
+            fresh_path(spark, "destino"),
+            dataset_id="others",
+            **settings,
+        ),
+    ]
+    control = load_control(spark, control_file(spark, rows))
+    pages = table(spark, sf_dir, "pages").select("url", (F.col("page_id") % 2).alias("drop"))
+    checkpoint = fresh_path(spark, "chegadas")
+    for drop in (0, 1):
+        pages.filter(F.col("drop") == drop).select("url").write.mode("append").parquet(inbox)
+        arrivals = spark.readStream.schema("url string").parquet(inbox)
+        ingest_new_arrivals(spark, control, arrivals, checkpoint, "url")
+    return _read_back(table(spark, sf_dir, "customer"), target)
 
 
 def ingest_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,10 +339,27 @@ DATED_ORDERS = """
            substr(cast(o_orderdate as varchar), 6, 2) as mes
     from orders"""
 
+def _text_sql(*columns: str) -> str:
+    """Cells as :func:`_as_text` writes them; ``$`` marks a number with cents, ``@`` a time."""
+    cells = []
+    for c in sorted(columns):
+        name = c.rstrip("$@")
+        value = f"cast({name} as varchar)"
+        if c.endswith("$"):
+            value = f"cast(cast(round({name} * 100) as bigint) as varchar)"
+        elif c.endswith("@"):
+            value = f"strftime({name}, '%Y-%m-%d %H:%M:%S')"
+        cells.append(f"'{name}=' || coalesce({value}, '-')")
+    return " || '|' || ".join(cells)
+
+
 QUERIES = {
     "ingest_monthly_revenue": ingest_monthly_revenue,
     "ingest_arrivals": ingest_arrivals,
     "ingest_append_twice": ingest_append_twice,
+    "ingest_chain": ingest_chain,
+    "stream_arrivals": stream_arrivals,
+    "overwrite_failed_keeps": overwrite_failed_keeps,
     "partition_by_date": partition_by_date,
     "partition_by_date_events": partition_by_date_events,
     "partition_by_columns": partition_by_columns,
@@ -287,21 +376,26 @@ ORACLE = {
                round(sum(o_totalprice), 2) as revenue
         from ({DATED_ORDERS}) group by ano, mes, o_orderpriority""",
     "ingest_arrivals": f"""
-        select 'orders_monthly' as dataset, ano as grupo, count(*) as linhas,
-               cast(sum(n) as bigint) as total
-        from (select ano, mes, o_orderpriority, count(*) as n from ({DATED_ORDERS})
-              group by ano, mes, o_orderpriority)
-        group by ano
+        select 'orders_monthly' as dataset, {_text_sql("ano", "mes", "n_orders", "o_orderpriority", "revenue$")} as linha
+        from (select ano, mes, o_orderpriority, count(*) as n_orders, round(sum(o_totalprice), 2) as revenue
+              from ({DATED_ORDERS}) group by ano, mes, o_orderpriority)
         union all
-        select 'events_types', event_type, count(*), cast(sum(user_id) as bigint)
-        from events group by event_type
+        select 'events_types', {_text_sql("event_id", "event_type", "props", "ts@", "user_id", "value$")} from events
         union all
-        select 'customers', c_mktsegment, count(*), cast(sum(c_custkey) as bigint)
-        from customer group by c_mktsegment""",
+        select 'customers', {_text_sql("c_acctbal$", "c_custkey", "c_mktsegment", "c_name", "c_nationkey")} from customer""",
     "ingest_append_twice": "select * from customer union all select * from customer",
+    "ingest_chain": f"""
+        select cast(ano as int) as ano, o_orderpriority, count(*) as n_months, cast(sum(n) as bigint) as n_orders
+        from (select ano, mes, o_orderpriority, count(*) as n from ({DATED_ORDERS})
+              group by ano, mes, o_orderpriority)
+        group by ano, o_orderpriority""",
+    "stream_arrivals": """
+        select c.* from customer c
+        cross join (select distinct page_id % 2 as half from pages where contains(url, '/fr/'))""",
+    "overwrite_failed_keeps": DATED_ORDERS,
     "partition_by_date": DATED_ORDERS,
     "partition_by_date_events": """
-        select event_id, substr(cast(ts as varchar), 1, 4) as ano,
+        select *, substr(cast(ts as varchar), 1, 4) as ano,
                substr(cast(ts as varchar), 6, 2) as mes
         from events""",
     "partition_by_columns": "select * from orders",

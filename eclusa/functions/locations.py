@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
-# Folders of a stream's micro-batches are named after this column.
+# Folders of a stream's micro-batches are named after this column, and their values are the
+# batch's number and the query's id, which no value of a user's own column is like.
 BATCH_COLUMN = "lote"
+_BATCH_FOLDER = re.compile(BATCH_COLUMN + r"=[0-9]+-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+# Files of table formats that plain files must not be written over, and their formats.
+TABLE_LOGS = {"_delta_log": "delta", ".hoodie": "hudi", "metadata/version-hint.text": "iceberg"}
 
 
 def uri(bucket: str, path: str, scheme: str = "s3") -> str:
@@ -62,6 +67,11 @@ class Files:
                 return name
         return None
 
+    def names(self, location: str, start: str) -> list[str]:
+        """Names in the folder that begin with ``start``, which may be hidden ones."""
+        found = self._fs.globStatus(self._path(f"{location}/{start}*")) or []
+        return sorted(f.getPath().getName() for f in found)
+
     def make_folder(self, location: str) -> None:
         self._fs.mkdirs(self._path(location))
 
@@ -84,7 +94,16 @@ def owned_by_stream(spark: SparkSession, location: str) -> str | None:
     files = Files(spark, location)
     if files.exists(f"{location}/_spark_metadata"):
         return "log"
-    return "batches" if (files.first_entry(location) or "").startswith(f"{BATCH_COLUMN}=") else None
+    return "batches" if _BATCH_FOLDER.fullmatch(files.first_entry(location) or "") else None
+
+
+def table_format(spark: SparkSession, location: str) -> str | None:
+    """Format of the table that lies at the location, if its log is there."""
+    files = Files(spark, location)
+    for log, fmt in TABLE_LOGS.items():
+        if files.exists(f"{location}/{log}"):
+            return fmt
+    return None
 
 
 def segments(location: str) -> list[str]:

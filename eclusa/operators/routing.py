@@ -6,14 +6,16 @@ row per arrival and never pair an arrival with a control row it does not match.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from eclusa.functions.columns import named
 
 # Up to this many bytes of prefixes and ids become part of the projection.
 COLLECT_BYTES = 2 * 1024 * 1024
-# Of those, so many distinct prefixes are tried one by one; more are joined.
+# Of those, so many distinct prefixes are tried one by one; more are joined by a piece of each.
 INLINE_PREFIXES = 256
 # Up to this many bytes the prefixes are broadcast to a join.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -21,6 +23,7 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD = 128
 
 _ROUTE = "dataset_id: string, prefixo: string"
+_LAST = 2**31 - 1
 
 
 def route(
@@ -33,14 +36,27 @@ def route(
 ) -> DataFrame:
     """``arrivals`` with ``dataset_id`` and ``prefixo`` of the control row each key goes to.
 
-    Both are NULL if no prefix occurs in the key. A blank prefix occurs in every key.
+    Both are NULL if no prefix occurs in the key. A blank prefix occurs in every key. The
+    arrivals must be a table that reads the same each time.
     """
     size = _size(control)
     routes = _first_routes(control) if size <= collect_bytes else None
     if routes is not None and len(routes) <= inline:
         routed = arrivals.withColumn("_destino", _one_by_one(named(key), routes))
+    elif routes is not None:
+        sizes = sorted({_size_of(p) for p, _ in routes if p})
+        index = _collected_index(arrivals.sparkSession, routes)
+        routed = _by_pieces(arrivals, index, sizes, key, True)
+        if routes and routes[-1][0] == "":
+            routed = routed.withColumn("_destino", F.coalesce("_destino", _catch_all(key, routes[-1][1])))
     else:
-        routed = _substring_join(arrivals, control, key, size <= broadcast_bytes)
+        found = control.filter(F.col("prefixo") != "").select(_power("prefixo")).distinct().collect()
+        sizes = sorted(r[0] for r in found)
+        routed = _by_pieces(arrivals, _index(control), sizes, key, size <= broadcast_bytes)
+        blank = control.filter(F.col("prefixo") == "").orderBy("ordem").head()
+        if blank is not None:
+            every = _catch_all(key, blank["dataset_id"], blank["ordem"])
+            routed = routed.withColumn("_destino", F.least("_destino", every))
     return routed.select(
         *[named(c) for c in arrivals.columns],
         F.col("_destino.dataset_id").alias("dataset_id"),
@@ -75,46 +91,114 @@ def _one_by_one(key: Column, routes: list[tuple[str, str]]) -> Column:
     return F.get(F.filter(table, lambda r: F.contains(key, r["prefixo"])), 0)
 
 
-def _substring_join(arrivals: DataFrame, control: DataFrame, key: str, small: bool) -> DataFrame:
-    """Equi-join of the keys' substrings with the prefixes.
+def _index(control: DataFrame) -> DataFrame:
+    """The prefixes by a piece of each: ``size`` and ``piece`` (its hash), ``back`` and ``prefix``.
 
-    Only substrings as long as some prefix are cut. Each distinct key is searched
-    once; AQE splits a key or prefix that dominates the shuffled variant.
+    A prefix's piece is as long as the largest power of two that its bytes hold, so that few
+    sizes serve prefixes of all lengths. It stands at the prefix's start or at its end, ``back``
+    bytes on: where fewer prefixes have the same one, as many may begin or end alike.
     """
-    prefixes = control.groupBy("prefixo").agg(
+    first = control.filter(F.col("prefixo") != "").groupBy("prefixo").agg(
         F.min(F.struct("ordem", "dataset_id", "prefixo")).alias("destino")
     )
-    blank = prefixes.filter(F.col("prefixo") == "").select("destino").head()
-    prefixes = prefixes.filter(F.col("prefixo") != "")
-    lengths = prefixes.agg(F.sort_array(F.collect_set(F.length("prefixo")))).head()[0]
-    lengths = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
-    # Spark takes the cut substrings for as few as the keys, and might broadcast those.
-    prefixes = F.broadcast(prefixes) if small else prefixes.hint("merge")
-
-    text, n, at = F.col("_key"), F.col("_length"), F.col("_at")
-    fitting = F.filter(lengths, lambda length: length <= F.length(text))
-    found = (
-        arrivals.select(named(key).alias("_key"))
-        .distinct()
-        .select("_key", F.explode(fitting).alias("_length"))
-        .select("*", F.explode(F.sequence(F.lit(1), F.length(text) - n + 1)).alias("_at"))
-        .select("_key", F.substring(text, at, n).alias("prefixo"))
-        .join(prefixes, "prefixo")
-        .groupBy("_key")
-        .agg(F.min("destino").alias("_destino"))
+    raw = F.col("prefixo").cast("binary")
+    rows = first.select("destino", raw.alias("prefix"), _power("prefixo").alias("size"))
+    last = F.octet_length("prefix") - F.col("size")
+    ends = F.explode(F.array(F.lit(0), last)).alias("back")
+    pieces = rows.select("destino", "prefix", "size", ends).withColumn(
+        "piece", _piece(F.col("prefix"), F.col("back") + 1, F.col("size"))
     )
-    routed = arrivals.join(found, named(key) == F.col("_key"), "left")
-    if blank is None:
-        return routed
-    ordem = blank["destino"]["ordem"]
-    catch_all = F.struct(
-        F.struct(
-            F.lit(ordem["arquivo"]).alias("arquivo"),
-            F.lit(ordem["linha"]).cast("bigint").alias("linha"),
-        ).alias("ordem"),
-        F.lit(blank["destino"]["dataset_id"]).alias("dataset_id"),
-        F.lit("").alias("prefixo"),
+    shared = pieces.groupBy("size", "piece").agg(F.count("*").alias("n"))
+    best = pieces.join(shared, ["size", "piece"]).groupBy("prefix").agg(
+        F.min(F.struct("n", "back", "size", "piece", "destino")).alias("best")
     )
-    return routed.withColumn(
-        "_destino", F.least("_destino", F.when(named(key).isNotNull(), catch_all))
+    return best.select("prefix", *(F.col(f"best.{c}") for c in ("back", "size", "piece", "destino")))
+
+
+def _power(text: str) -> Column:
+    """The largest power of two that a text's bytes hold: the leading binary digit of their number."""
+    return F.pow(F.lit(2), F.length(F.bin(F.octet_length(F.col(text).cast("binary")))) - 1).cast("int")
+
+
+def _size_of(text: str) -> int:
+    return 1 << len(text.encode()).bit_length() - 1
+
+
+def _collected_index(spark: SparkSession, routes: list[tuple[str, str]]) -> DataFrame:
+    """The same of routes that the driver has; ``ordem`` is their place in the list."""
+    raw = [(i, p.encode()) for i, (p, _) in enumerate(routes) if p]
+    size = {i: _size_of(routes[i][0]) for i, _ in raw}
+    shared = Counter(piece for i, p in raw for piece in (p[: size[i]], p[len(p) - size[i] :]))
+    rows = []
+    for i, p in raw:
+        n = size[i]
+        back = min(0, len(p) - n, key=lambda at: (shared[p[at : at + n]], at))
+        rows.append((bytearray(p), back, n, (i, routes[i][1], routes[i][0])))
+    schema = f"prefix binary, back int, size int, destino struct<ordem: int, {_ROUTE}>"
+    index = spark.createDataFrame(rows, schema).coalesce(1)
+    return index.withColumn("piece", _piece(F.col("prefix"), F.col("back") + 1, F.col("size")))
+
+
+def _piece(raw: Column, at: Column, size: Column) -> Column:
+    return F.xxhash64(size, F.substring(raw, at, size))
+
+
+def _pieces(rows: DataFrame, sizes: list[int]) -> DataFrame:
+    """The rows with ``_size`` and ``_at`` of each piece of their ``_bytes``.
+
+    A row without any, for want of bytes, comes once, with NULL.
+    """
+    fitting = F.filter(
+        F.array(*[F.lit(n) for n in sizes]).cast("array<int>"), lambda n: n <= F.octet_length("_bytes")
+    )
+    last = F.octet_length("_bytes") - F.col("_size") + 1
+    return rows.select("*", F.explode_outer(fitting).alias("_size")).select(
+        "*", F.explode_outer(F.sequence(F.lit(1), last)).alias("_at")
+    )
+
+
+def _found() -> Column:
+    """The prefix of the row that shares a piece stands in the key, where the piece says."""
+    start = F.col("_at") - F.col("back")
+    return (
+        (F.col("piece") == _piece(F.col("_bytes"), F.col("_at"), F.col("_size")))
+        & (start >= 1)
+        & (F.substring("_bytes", start, F.octet_length("prefix")) == F.col("prefix"))
     )
+
+
+def _by_pieces(
+    arrivals: DataFrame, index: DataFrame, sizes: list[int], key: str, small: bool
+) -> DataFrame:
+    """``arrivals`` with ``_destino``, the first control row whose prefix stands in the key.
+
+    The keys' pieces are joined with the prefixes' by equality, and a hit is checked where
+    it stands. A small index is broadcast: the arrivals are read once and dealt evenly
+    before their pieces are made, so that an arrival's hits meet without another shuffle.
+    Otherwise each distinct key is searched once, and AQE splits a piece or key that dominates.
+    """
+    raw = named(key).cast("binary").alias("_bytes")
+    whole = F.struct(*[named(c) for c in arrivals.columns]).alias("_linha")
+    if small:
+        numbered = arrivals.select(F.monotonically_increasing_id().alias("_numero"), whole, raw)
+        joined = _pieces(numbered.repartition("_numero"), sizes).join(F.broadcast(index), _found(), "left")
+        first = F.col("_at").isNull() | ((F.col("_at") == 1) & (F.col("_size") == (sizes or [0])[0]))
+        hits = joined.filter(F.col("destino").isNotNull() | first)
+        routed = hits.groupBy("_numero").agg(F.first("_linha").alias("_linha"), F.min("destino").alias("_destino"))
+        return routed.select("_linha.*", "_destino")
+    # Spark takes the pieces for as few as the keys, and might broadcast those.
+    keys = arrivals.select(named(key).alias("_key"), raw).filter("_key is not null").distinct()
+    joined = _pieces(keys, sizes).join(index.hint("merge"), _found())
+    found = joined.groupBy("_key").agg(F.min("destino").alias("_destino"))
+    return arrivals.join(found, named(key) == F.col("_key"), "left").drop("_key")
+
+
+def _catch_all(key: str, dataset_id: str, ordem: Row | None = None) -> Column:
+    """What a blank prefix, which occurs in every key, leads to."""
+    if ordem is None:
+        place = F.lit(_LAST)
+    else:
+        file, line = F.lit(ordem["arquivo"]), F.lit(ordem["linha"]).cast("bigint")
+        place = F.struct(file.alias("arquivo"), line.alias("linha"))
+    route = F.struct(place.alias("ordem"), F.lit(dataset_id).alias("dataset_id"), F.lit("").alias("prefixo"))
+    return F.when(named(key).isNotNull(), route)

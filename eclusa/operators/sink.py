@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, DataFrameWriter
 
 from eclusa.errors import SinkError
 from eclusa.functions.columns import find_column, named
-from eclusa.functions.locations import overlaps, owned_by_stream
+from eclusa.functions.locations import Files, overlaps, owned_by_stream, table_format
+from eclusa.operators import swap
 
 # Modes in the control table.
 MODES = ("overwrite", "append", "upsert")
@@ -62,10 +63,17 @@ def write(
 ) -> None:
     """Overwrite replaces the whole target, also by an empty result; append adds rows.
 
+    The new dataset is written next to the old one and takes its place when it is whole,
+    so that a run that fails leaves the target as it was.
+
+    A table of a format with a log is written by that format or not at all.
     A source that already lies in the order of its partitions needs no ``cluster``.
     ``compression`` and ``table`` go beyond the plain write and are off by default:
     a codec for the files, and a catalog name for the target.
     """
+    found = table_format(df.sparkSession, target)
+    if found and found != fmt:
+        raise SinkError(f"{target} is a table of {found}; files of {fmt} must not be written there")
     if mode == "append" and owned_by_stream(df.sparkSession, target):
         raise SinkError(f"{target} belongs to a stream; other files must not be added to it")
     out = writer(df, fmt, partitions, cluster).mode(mode)
@@ -75,5 +83,11 @@ def write(
         out = out.option("compression", compression)
     if table:
         out.option("path", target).saveAsTable(table)
+    elif mode == "overwrite" and not found and swap.siblings(target):
+        swap.restore_interrupted(df.sparkSession, target)
+        if Files(df.sparkSession, target).exists(target):
+            swap.replace(df.sparkSession, out, target)
+        else:
+            out.save(target)
     else:
         out.save(target)

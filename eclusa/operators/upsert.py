@@ -8,8 +8,8 @@ error; several target rows for one source row are all updated.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from urllib.parse import unquote
 
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from eclusa import journal
-from eclusa.errors import MergeError
+from eclusa.errors import MergeError, SinkError
 from eclusa.functions.columns import all_of, any_of, find_column, has_null, named, quoted
-from eclusa.functions.locations import Files, fresh_path, owned_by_stream, segments
+from eclusa.functions.locations import Files, fresh_path, owned_by_stream, segments, table_format
+from eclusa.operators import swap
 from eclusa.operators.sink import writer
 
 # Formats that run MERGE themselves, given their package on the classpath.
@@ -40,12 +41,10 @@ HOT_KEYS = 10_000
 # of more, the values of each partition column are, and of still more values their range.
 PRUNED_PARTITIONS = 200
 NAMED_VALUES = 10_000
-# Files of table formats that plain files must not be written over, and their formats.
-TABLE_LOGS = {"_delta_log": "delta", ".hoodie": "hudi", "metadata/version-hint.text": "iceberg"}
 # Formats that leave out NULLs, so that a column without values is not in the files.
 SPARSE_FORMATS = ("json",)
-# Lies in a merged dataset from before it takes its place until the old one is gone.
-MERGED = "_mesclado"
+# Files in a target that name the last micro-batch each stream has merged into it.
+BATCH_MARK = "_lote-"
 
 
 def upsert(
@@ -56,6 +55,7 @@ def upsert(
     partitions: Sequence[str] = (),
     pruned_partitions: int = PRUNED_PARTITIONS,
     compression: str = "",
+    batch: tuple[str, int] | None = None,
 ) -> StructType:
     """Merge ``source`` into the existing dataset at ``target``; returns the target's schema.
 
@@ -69,6 +69,10 @@ def upsert(
     A target that is a table of a format with a log is merged by that format, whatever
     ``fmt`` says, or not at all. A JSON target takes on columns that only the source has:
     its files don't show a column that is NULL in all rows.
+
+    ``batch`` is a stream's id and the number of its micro-batch. A plain target remembers the
+    last one of each stream, in the dataset itself, and a batch that it has is not merged again:
+    that matters for rows with NULL keys, which match nothing and would be added twice.
     """
     if not keys:
         raise MergeError("an upsert needs at least one key column")
@@ -76,15 +80,25 @@ def upsert(
     if fmt in MERGING_FORMATS:
         return _merge_natively(source, fmt, target, keys)
 
-    table_format = _table_format(spark, target)
-    if table_format in MERGING_FORMATS:
-        return _merge_natively(source, table_format, target, keys)
-    if table_format:
-        raise MergeError(f"{target} is a table of {table_format}, which is not merged here")
+    found = table_format(spark, target)
+    if found in MERGING_FORMATS:
+        return _merge_natively(source, found, target, keys)
+    if found:
+        raise MergeError(f"{target} is a table of {found}, which is not merged here")
 
-    _restore_interrupted(spark, target)
+    with _as_merge_error():
+        swap.restore_interrupted(spark, target)
     current, layout = open_target(source, target, fmt, partitions)
     keys = _resolve(current, keys, "target")
+    files = Files(spark, target)
+    merged_before = files.names(target, BATCH_MARK)
+    marks = tuple(merged_before)
+    if batch:
+        stream = f"{BATCH_MARK}{batch[0]}-"
+        if any(int(m.removeprefix(stream)) >= batch[1] for m in marks if m.startswith(stream)):
+            journal.info("micro-batch is in the target already", target=target, batch=batch)
+            return current.schema
+        marks = (*(m for m in marks if not m.startswith(stream)), f"{stream}{batch[1]}")
     staging = fresh_path(spark, "upsert")
     wanted = _aligned(source, current)
     try:
@@ -94,24 +108,40 @@ def upsert(
         rows, hot = reject_ambiguous(current, staged, keys)
         if rows == 0:
             return current.schema
+        # Rows without keys are added by each merge, so that their batch must be marked in the
+        # same step as it is committed; only the swap of the whole dataset does that.
+        once = batch and not staged.filter(has_null([named(k) for k in keys])).isEmpty()
         small = rows <= BROADCAST_ROWS and text_bytes(staged) <= BROADCAST_BYTES
         fixed = set(layout) <= set(keys)
-        if layout and not fixed:
+        if layout and not fixed and not once:
             fixed = not _moves_rows(current, staged, keys, layout, small)
-        if layout and fixed:
+        if layout and fixed and not once:
             touched = _touched_partitions(current, staged, layout, pruned_partitions)
             merged = merge_frames(touched, staged, keys, small, hot)
             out = _compressed(writer(merged, fmt, layout, not small), compression)
             # Old files go when the job commits, after everything has been read.
             out.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(target)
+            for name in marks:
+                files.touch(f"{target}/{name}")
+            for name in set(merged_before) - set(marks):
+                files.remove(f"{target}/{name}")
         else:
             merged = merge_frames(current, staged, keys, small, hot)
-            _replace(spark, _compressed(writer(merged, fmt, layout), compression), target)
+            with _as_merge_error():
+                swap.replace(spark, _compressed(writer(merged, fmt, layout), compression), target, marks)
         return current.schema
     finally:
         Files(spark, staging).remove(staging)
 
 
+@contextmanager
+def _as_merge_error() -> Iterator[None]:
+    try:
+        yield
+    except SinkError as e:
+        raise MergeError(str(e)) from e
+
+
 def _compressed(out: DataFrameWriter, codec: str) -> DataFrameWriter:
     return out.option("compression", codec) if codec else out
 
@@ -250,15 +280,6 @@ def _moves_rows(
     return not moved.isEmpty()
 
 
-def _table_format(spark: SparkSession, target: str) -> str | None:
-    """Format of the table that lies at the target, if its log is there."""
-    files = Files(spark, target)
-    for log, fmt in TABLE_LOGS.items():
-        if files.exists(f"{target}/{log}"):
-            return fmt
-    return None
-
-
 def open_target(
     source: DataFrame, target: str, fmt: str, partitions: Sequence[str]
 ) -> tuple[DataFrame, list[str]]:
@@ -344,51 +365,3 @@ def _folder_value(df: DataFrame, column: str) -> Column:
     if isinstance(df.schema[column].dataType, StringType):
         return F.when(named(column) != "", named(column))
     return named(column)
-
-
-def _siblings(target: str) -> tuple[str, str]:
-    """Where the merged dataset is written, and where the old one waits during the swap."""
-    parent, _, name = target.rstrip("/").rpartition("/")
-    if not name or parent.endswith(("/", ":")):
-        raise MergeError(f"{target} has no folder around it to prepare the merged dataset in")
-    return f"{parent}/.{name}.{uuid.uuid4().hex}", f"{parent}/.{name}.antes"
-
-
-def _replace(spark: SparkSession, merged: DataFrameWriter, target: str) -> None:
-    """Write next to the target, then swap by rename.
-
-    Two renames are not one: readers may find no target in between, and a crash
-    there is mended by the next upsert. Where rename copies (object stores) use a
-    table format instead.
-    """
-    files = Files(spark, target)
-    fresh, old = _siblings(target)
-    try:
-        merged.save(fresh)
-        # Whoever finds this file knows that the dataset around it is whole.
-        files.touch(f"{fresh}/{MERGED}")
-        if not files.rename(target, old):
-            raise MergeError(f"cannot move {target} aside")
-        if not files.rename(fresh, target):
-            files.rename(old, target)
-            raise MergeError(f"cannot move the merged dataset to {target}")
-    finally:
-        files.remove(fresh)
-    files.remove(old)
-    files.remove(f"{target}/{MERGED}")
-
-
-def _restore_interrupted(spark: SparkSession, target: str) -> None:
-    files = Files(spark, target)
-    _, old = _siblings(target)
-    if not files.exists(old):
-        return
-    if files.exists(f"{target}/{MERGED}"):
-        journal.info("removing what an upsert has replaced", target=target)
-        files.remove(old)
-        files.remove(f"{target}/{MERGED}")
-        return
-    if files.exists(target):
-        raise MergeError(f"{old} is left from an interrupted upsert; compare it and remove it")
-    journal.info("restoring target of an interrupted upsert", target=target)
-    files.rename(old, target)

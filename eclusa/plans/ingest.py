@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +14,11 @@ from pyspark.sql.types import StructType
 from eclusa import journal
 from eclusa.errors import IngestionError
 from eclusa.functions.columns import split_names
-from eclusa.functions.locations import Files, uri
+from eclusa.functions.locations import Files, segments, uri
 from eclusa.operators.partitioning import with_partitions
 from eclusa.operators.routing import route
 from eclusa.operators.sink import check_apart, check_partitions, write, write_mode
-from eclusa.operators.transform import apply_sql
+from eclusa.operators.transform import apply_sql, own_session
 from eclusa.operators.upsert import upsert
 from eclusa.sources.control import first_rows, lookup
 from eclusa.sources.scan import check_contract, require_rows, scan
@@ -28,7 +30,9 @@ class Options:
 
     ``cluster`` brings the rows of a partition together before they are written.
     ``compress`` and ``catalog`` make use of the control columns ``compressao`` and
-    ``glue_database``/``glue_tabela``; both go beyond the plain ingestion.
+    ``glue_database``/``glue_tabela``; both go beyond the plain ingestion. ``schema`` spares
+    the inference of the source's schema: one for all, or by ``dataset_id``, where those that
+    are not named are inferred, once in each run.
     """
 
     scheme: str = "s3"
@@ -36,7 +40,10 @@ class Options:
     catalog: bool = False
     cluster: bool = True
     refuse_empty_result: bool = False
-    schema: StructType | None = None
+    schema: StructType | Mapping[str, StructType] | None = None
+
+    def schema_of(self, dataset_id: str) -> StructType | None:
+        return self.schema.get(dataset_id) if isinstance(self.schema, Mapping) else self.schema
 
 
 @dataclass(frozen=True)
@@ -58,10 +65,13 @@ class Outcome:
 
 
 def ingest(spark: SparkSession, row: dict[str, str], options: Options = Options()) -> Outcome:
-    """Read, check, partition, transform and write the dataset of one control row."""
+    """Read, check, partition, transform and write the dataset of one control row.
+
+    It does so in a session of its own, so that several can run side by side.
+    """
     dataset_id = row.get("dataset_id", "")
     try:
-        outcome = _ingest(spark, row, options)
+        outcome = _ingest(own_session(spark), row, options)
     except Exception as e:
         journal.error("ingestion failed", dataset_id=dataset_id, error=str(e))
         raise
@@ -74,7 +84,8 @@ def _ingest(spark: SparkSession, row: dict[str, str], options: Options) -> Outco
     source = uri(row["bucket_origem"], row["caminho_origem"], options.scheme)
     target = uri(row["bucket_destino"], row["caminho_destino"], options.scheme)
 
-    df = require_rows(scan(spark, row["formato_origem"], source, options.schema), source)
+    schema = options.schema_of(row.get("dataset_id", ""))
+    df = require_rows(scan(spark, row["formato_origem"], source, schema), source)
     if mode != "append":
         check_apart(df, source, target)
     check_contract(df, row["colunas_esperadas"])
@@ -128,7 +139,9 @@ def run_arrivals(
     """Route the arrived files and ingest each dataset that got some, once.
 
     One dataset's failure leaves the others alone. Datasets with the same target run
-    one after the other, in file order; the rest share the cluster. What the driver
+    one after the other, in file order; one whose source another's target lies in, or around,
+    runs after that one; the rest share the cluster. Datasets that wait for each other are an
+    error, before any of them runs. What the driver
     sees of the arrivals is one short row per control row that took some; a dataset's
     settings are fetched when its turn comes.
     """
@@ -137,21 +150,24 @@ def run_arrivals(
         F.count("*").alias("_arrivals"), F.min(key).alias("_example")
     )
     places = first_rows(control, "prefixo").select(
-        "prefixo", "dataset_id", "bucket_destino", "caminho_destino", "ordem"
+        "prefixo", "dataset_id", "bucket_origem", "caminho_origem", "bucket_destino", "caminho_destino", "ordem"
     )
     rows = taken.join(places, "prefixo", "left").orderBy("ordem").collect()
     report = ArrivalReport(routed.filter("prefixo is null").select(*arrivals.columns), {})
 
     by_target: dict[str, list[dict[str, str]]] = {}
+    sources: dict[str, set[str]] = {}
     for row in rows:
         dataset_id = row["dataset_id"]
         report.arrived[dataset_id] = report.arrived.get(dataset_id, 0) + row["_arrivals"]
         if row["prefixo"] is None:
             report.lost = str(row["_example"])
             continue
+        source = uri(row["bucket_origem"], row["caminho_origem"], options.scheme)
         target = uri(row["bucket_destino"], row["caminho_destino"], options.scheme)
         place = Files(spark, target).qualified(target)
         by_target.setdefault(place, []).append(row.asDict())
+        sources.setdefault(place, set()).add(Files(spark, source).qualified(source))
 
     def run(group: list[dict[str, str]]) -> None:
         for row in group:
@@ -163,10 +179,43 @@ def run_arrivals(
                 report.failed[row["dataset_id"]] = e
 
     with ThreadPoolExecutor(parallel) as pool:
-        list(pool.map(run, by_target.values()))
+        for wave in waves(sources):
+            list(pool.map(run, [by_target[place] for place in wave]))
     return report
 
 
+def waves(sources: Mapping[str, set[str]]) -> list[list[str]]:
+    """Targets in the order of their making, from each target's sources; those of one wave are independent.
+
+    A target waits for every other that equals one of its sources, lies in it or around it.
+    """
+    parts = {place: (urlparse(place)[:2], tuple(segments(place))) for place in sources}
+    around: dict[tuple, set[str]] = {}
+    inside: dict[tuple, set[str]] = {}
+    for place, (store, path) in parts.items():
+        inside.setdefault((store, path), set()).add(place)
+        for n in range(len(path) + 1):
+            around.setdefault((store, path[:n]), set()).add(place)
+    waiting: dict[str, set[str]] = {}
+    for place, read in sources.items():
+        before: set[str] = set()
+        for source in read:
+            store, path = urlparse(source)[:2], tuple(segments(source))
+            # Targets in the source, and targets that the source is in.
+            before |= around.get((store, path), set())
+            for n in range(len(path)):
+                before |= inside.get((store, path[:n]), set())
+        waiting[place] = before - {place}
+    order = []
+    while waiting:
+        ready = [place for place, before in waiting.items() if not before]
+        if not ready:
+            raise IngestionError(f"datasets read each other's targets: {', '.join(sorted(waiting))}")
+        order.append(ready)
+        waiting = {p: before - set(ready) for p, before in waiting.items() if p not in set(ready)}
+    return order
+
+
 def raise_failures(report: ArrivalReport) -> ArrivalReport:
     """The report itself, unless an arrival had no route or a dataset failed."""
     if report.lost is not None:

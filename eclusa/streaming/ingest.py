@@ -39,8 +39,8 @@ def ingest_new_files(
     before anything runs. Append puts each micro-batch in a folder of its own,
     ``lote=<batch>-<id of the query>``, which a repeated batch replaces; the id is kept in
     the checkpoint, so streams that share a target never touch each other's rows. Upsert
-    merges micro-batch by micro-batch; repeating one changes nothing as long as its rows
-    have keys that are not NULL. Overwrite means the whole source, which is the batch
+    merges micro-batch by micro-batch; the target remembers the last one, and a repeated
+    batch is left out. Overwrite means the whole source, which is the batch
     job's work.
 
     A micro-batch takes ``max_files`` files, by default all there are.
@@ -53,7 +53,8 @@ def ingest_new_files(
     fmt = row["formato_destino"]
 
     known = check_contract(
-        scan(spark, row["formato_origem"], source, options.schema), row["colunas_esperadas"]
+        scan(spark, row["formato_origem"], source, options.schema_of(row["dataset_id"])),
+        row["colunas_esperadas"],
     )
     check_apart(known, source, target)
     reader = spark.readStream.format(row["formato_origem"]).schema(known.schema)
@@ -67,7 +68,7 @@ def ingest_new_files(
     codec = row["compressao"].strip() if options.compress else ""
     if mode == "upsert":
         keys = split_names(row["chaves"])
-        sink, schema = _merge_sink(arrived, row["query"], target, fmt, partitions, keys, codec)
+        sink, schema = _merge_sink(arrived, row["query"], target, fmt, partitions, keys, checkpoint, codec)
     else:
         sink, schema = _batch_sink(arrived, row["query"], target, fmt, partitions, checkpoint, codec)
     try:
@@ -101,13 +102,15 @@ def _merge_sink(
     fmt: str,
     partitions: list[str],
     keys: list[str],
+    checkpoint: str,
     codec: str,
 ) -> tuple[DataStreamWriter, StructType]:
     current, _ = open_target(_shape(arrived, query), target, fmt, partitions)
 
     def merge(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            upsert(apply_sql(batch, query), target, keys, fmt, partitions, compression=codec)
+            own = (_query_id(batch.sparkSession, checkpoint), number)
+            upsert(apply_sql(batch, query), target, keys, fmt, partitions, compression=codec, batch=own)
 
     return arrived.writeStream.foreachBatch(merge), current.schema
 

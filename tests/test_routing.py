@@ -2,11 +2,13 @@ import random
 
 import pytest
 
+from eclusa.operators import routing
 from eclusa.operators.routing import route
 
 SCHEMA = "prefixo string, dataset_id string, ordem struct<arquivo: string, linha: bigint>"
 WAYS = [
     {"inline": 1000},
+    {"inline": -1},
     {"inline": -1, "collect_bytes": -1},
     {"inline": -1, "collect_bytes": -1, "broadcast_bytes": -1},
 ]
@@ -74,10 +76,21 @@ def plan_of(capsys, df):
 def test_plans(spark, capsys):
     arrivals = spark.range(10).selectExpr("cast(id as string) as key")
     control = control_of(spark, ["1", "2"])
-    inline, *joined = (plan_of(capsys, route(arrivals, control, **way)) for way in WAYS)
-    broadcast, shuffled = joined
+    inline, collected, broadcast, shuffled = (plan_of(capsys, route(arrivals, control, **way)) for way in WAYS)
     assert "Join" not in inline and "Exchange" not in inline
     assert "Python" not in inline + broadcast + shuffled
-    assert "BroadcastHashJoin [prefixo" in broadcast
-    assert "SortMergeJoin [prefixo" in shuffled
-    assert "NestedLoop" not in broadcast + shuffled
+    # One shuffle of the arrivals, before their pieces are made; none of the hits.
+    assert collected.count("Exchange hashpartitioning") == 1 and "hashpartitioning(_numero" in collected
+    for plan in (collected, broadcast):
+        assert "BroadcastHashJoin [xxhash64(" in plan
+    assert "SortMergeJoin [xxhash64(" in shuffled
+    assert "NestedLoop" not in collected + broadcast + shuffled
+
+
+def test_prefixes_that_begin_or_end_alike(spark):
+    """Their pieces are those that tell them apart, so that a key meets few of them."""
+    prefixes = [f"landing/area/{i:04}" for i in range(300)] + [f"{i:04}/daily/full" for i in range(300)]
+    control = control_of(spark, prefixes)
+    for index in (routing._index(control), routing._collected_index(spark, [(p, "d") for p in prefixes])):
+        most = index.groupBy("size", "piece").count().agg({"count": "max"}).head()[0]
+        assert index.count() == 600 and most <= 1
