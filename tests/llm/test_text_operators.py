@@ -271,3 +271,83 @@ def test_op9(spark):
     expected = sorted(con.execute(ORACLE["op9_licences"]).fetchall())
     assert rows(QUERIES["op9_licences"](spark, SF)) == sorted(expected, key=repr)
     assert len({x[-1] for x in expected}) > 3
+
+
+# Notices as their publishers word and wrap them, written apart from the operator's tables.
+NOTICES = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "GPL-2.0": """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.""",
+    "LGPL-2.1": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+}
+
+
+def test_notices_wrapped_or_not_and_in_comments(spark):
+    docs = []
+    for name, notice in NOTICES.items():
+        lines = notice.split("\n")
+        paragraphs = [" ".join(p.split()) for p in notice.split("\n\n")]
+        for signs in ("", "# ", " * ", "// ", "-- "):
+            docs.append((name, "Some file.\n\n" + "\n".join(signs + x for x in lines) + "\n\nint main;\n"))
+        docs.append((name, "\n\n".join(paragraphs)))
+        docs.append((name, "\n".join(paragraphs)))
+    df = spark.createDataFrame(docs, "doc_id string, text string")
+    found = [(r.doc_id, r.licence, r.licences) for r in licences.scan(df).collect()]
+    assert sorted({f[:2] for f in found if f[0] != f[1]}) == []
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    assert rows(licences.scan(df)) == sorted(con.execute(ORACLE["op9_licences"]).fetchall(), key=repr)
