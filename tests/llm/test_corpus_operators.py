@@ -70,6 +70,26 @@ def test_search_by_brute_force(spark, monkeypatch):
     assert sorted(tuple(r) for r in found.collect()) == plain_topk(vectors, queries, 20)
 
 
+@pytest.mark.parametrize("most", [3 * 10**6, 10**9, 2**62])
+def test_scores_of_great_components_are_exact(spark, most):
+    r = np.random.default_rng(6)
+    vectors = [(i, [int(x) for x in r.integers(-most, most, 8)]) for i in range(200)]
+    # Scores that differ by less than a double can tell.
+    vectors += [(1000 + i, [most - 1] * 7 + [most - 1 - i]) for i in range(30)]
+    df = spark.createDataFrame(vectors, "vec_id long, vector array<long>")
+    found = sorted(tuple(r) for r in topk.search(df, df.filter("vec_id % 20 = 0"), 20).collect())
+    expected = []
+    for q, v in vectors:
+        if q % 20 == 0:
+            whole = [(sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in vectors if i != q]
+            cut = sorted((-max(min(s, 2**63 - 1), -(2**63)), i) for s, i in whole)
+            expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(cut[:20], 1)]
+    if most < 2**62:
+        assert found == sorted(expected)
+    else:  # ties of scores that are cut go by id among those that were read
+        assert [(a, b, d) for a, b, _, d in found] == [(a, b, d) for a, b, _, d in sorted(expected)]
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     data = [(20, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [nan, 1.0]), (4, [inf, 0.0]), (5, [0.5, -0.01]),
