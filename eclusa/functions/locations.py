@@ -72,6 +72,21 @@ class Files:
         found = self._fs.globStatus(self._path(f"{location}/{start}*")) or []
         return sorted(f.getPath().getName() for f in found)
 
+    def below(self, location: str) -> list[tuple[str, str]]:
+        """Folder, relative to the location, and name of each visible file in it or below."""
+        found, waiting = [], [""]
+        while waiting:
+            folder = waiting.pop()
+            for entry in self._fs.listStatus(self._path(f"{location}/{folder}" if folder else location)):
+                name = entry.getPath().getName()
+                if name.startswith(("_", ".")):
+                    continue
+                if entry.isDirectory():
+                    waiting.append(f"{folder}/{name}" if folder else name)
+                else:
+                    found.append((folder, name))
+        return found
+
     def make_folder(self, location: str) -> None:
         self._fs.mkdirs(self._path(location))
 

@@ -60,12 +60,15 @@ def write(
     compression: str = "",
     table: str = "",
     cluster: bool = True,
+    run: str = "",
 ) -> None:
     """Overwrite replaces the whole target, also by an empty result; append adds rows.
 
     The new dataset is written next to the old one and takes its place when it is whole,
     so that a run that fails leaves the target as it was.
 
+    An append under the name of a ``run`` is done once, however often that run is repeated.
+
     A table of a format with a log is written by that format or not at all.
     A source that already lies in the order of its partitions needs no ``cluster``.
     ``compression`` and ``table`` go beyond the plain write and are off by default:
@@ -89,5 +92,7 @@ def write(
             swap.replace(df.sparkSession, out, target)
         else:
             out.save(target)
+    elif mode == "append" and run and not found:
+        swap.add_once(df.sparkSession, out, target, run)
     else:
         out.save(target)

@@ -1,11 +1,14 @@
-"""Replacing a dataset of plain files as a whole: written next to it, then swapped in.
+"""Changes of a dataset of plain files that come as a whole or, after a lost run, not at all.
 
-Two renames are not one: readers may find no target in between, and a crash there is mended
-by the next run. Where rename copies (object stores) use a table format instead.
+Replacing: the new dataset is written next to the old one, then swapped in. Two renames are not one: readers may find no target in between, and a crash there is mended
+by the next run. Adding under the name of a run: the files are written next to the dataset and
+moved in one by one; the same run, repeated, goes on where it was lost, and adds nothing once
+it is done. Where rename copies (object stores) use a table format instead.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrameWriter, SparkSession
@@ -17,6 +20,9 @@ from eclusa.functions.locations import Files
 # Lies in a fresh dataset from before it takes its place until the old one is gone.
 FRESH = "_mesclado"
 
+# Lies in what a run adds once all of it is written, and in the target once all of it is moved.
+WRITTEN, ADDED = "_escrito", "_execucao-"
+
 
 def siblings(target: str) -> tuple[str, str] | None:
     """Where the fresh dataset is written, and where the old one waits during the swap."""
@@ -70,3 +76,33 @@ def restore_interrupted(spark: SparkSession, target: str) -> None:
         raise SinkError(f"{old} is left from an interrupted swap; compare it and remove it")
     journal.info("restoring target of an interrupted swap", target=target)
     files.rename(old, target)
+
+
+def add_once(spark: SparkSession, out: DataFrameWriter, target: str, run: str) -> bool:
+    """Add files to the target under the name of a run; False if that run has done so already.
+
+    A run lost while it writes leaves nothing behind, and is written again when it is repeated;
+    one lost while files are moved is finished, not written again, so that every file is
+    moved once. The files' names begin with the run's mark.
+    """
+    found = siblings(target)
+    if found is None:
+        raise SinkError(f"{target} has no folder around it to prepare the new files in")
+    files, mark = Files(spark, target), hashlib.sha256(run.encode()).hexdigest()[:32]
+    if files.exists(f"{target}/{ADDED}{mark}"):
+        journal.info("run has been added already", target=target, run=run)
+        return False
+    staging = f"{found[1].removesuffix('.antes')}.{mark}"
+    if not files.exists(f"{staging}/{WRITTEN}"):
+        files.remove(staging)
+        out.mode("overwrite").save(staging)
+        files.touch(f"{staging}/{WRITTEN}")
+    for folder, name in files.below(staging):
+        place = f"{target}/{folder}" if folder else target
+        files.make_folder(place)
+        if not files.rename(f"{staging}/{folder}/{name}", f"{place}/{mark}-{name}"):
+            raise SinkError(f"cannot move {name} to {place}")
+    files.make_folder(target)
+    files.touch(f"{target}/{ADDED}{mark}")
+    files.remove(staging)
+    return True

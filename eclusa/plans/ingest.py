@@ -32,7 +32,8 @@ class Options:
     ``compress`` and ``catalog`` make use of the control columns ``compressao`` and
     ``glue_database``/``glue_tabela``; both go beyond the plain ingestion. ``schema`` spares
     the inference of the source's schema: one for all, or by ``dataset_id``, where those that
-    are not named are inferred, once in each run.
+    are not named are inferred, once in each run. ``run`` names this run of the job, and a
+    retry of it by the same name: an append that the first try has done is not done again.
     """
 
     scheme: str = "s3"
@@ -40,6 +41,7 @@ class Options:
     catalog: bool = False
     cluster: bool = True
     refuse_empty_result: bool = False
+    run: str = ""
     schema: StructType | Mapping[str, StructType] | None = None
 
     def schema_of(self, dataset_id: str) -> StructType | None:
@@ -102,7 +104,8 @@ def _ingest(spark: SparkSession, row: dict[str, str], options: Options) -> Outco
         schema = df.schema
         check_partitions(df, partitions)
         table = f"{row['glue_database']}.{row['glue_tabela']}" if options.catalog else ""
-        write(df, target, fmt, mode, partitions, codec, table, options.cluster)
+        run = f"{options.run}/{row.get('dataset_id', '')}/{source}" if options.run else ""
+        write(df, target, fmt, mode, partitions, codec, table, options.cluster, run)
     return Outcome(row.get("dataset_id", ""), target, fmt, mode, partitions, schema)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from eclusa import Options, ingest, load_control, raise_failures, run_arrivals
 from eclusa.errors import IngestionError, SinkError, TransformError
+from eclusa.functions.locations import Files
 from eclusa.operators.sink import write
 from eclusa.operators.transform import apply_sql, own_session, refuse_commands
 from eclusa.operators.upsert import upsert
@@ -41,6 +42,49 @@ def test_interrupted_overwrite_is_mended(spark, tmp_path):
     assert spark.read.parquet(str(path)).count() == 2 and not (tmp_path / ".t.antes").exists()
 
 
+@pytest.mark.parametrize("partitions", [{}, {"coluna_particao": "d", "tipo_particao": "normal"}])
+def test_append_of_a_repeated_run(spark, tmp_path, partitions, monkeypatch):
+    spark.range(12).selectExpr("id", "id % 3 as d").repartition(3).write.parquet(str(tmp_path / "s"))
+    row = control_row(
+        tmp_path / "s", tmp_path / "t", dataset_id="d", colunas_esperadas="id,d", modo_ingestao="append", **partitions
+    )
+
+    def rows():
+        return spark.read.parquet(str(tmp_path / "t")).count()
+
+    ingest(spark, row, Options(run="one"))
+    ingest(spark, row, Options(run="one"))
+    assert rows() == 12
+    ingest(spark, row)  # no name: adds all again, as ever
+    ingest(spark, row, Options(run="two"))
+    assert rows() == 36
+
+    # A run that is lost after some of its files were moved, and one that is lost before.
+    rename, moves = Files.rename, []
+
+    def lost(self, old, new):
+        moves.append(old)
+        if len(moves) > 1:
+            raise KeyboardInterrupt
+        return rename(self, old, new)
+
+    monkeypatch.setattr(Files, "rename", lost)
+    with pytest.raises(KeyboardInterrupt):
+        ingest(spark, row, Options(run="three"))
+    monkeypatch.setattr(Files, "rename", rename)
+    ingest(spark, row, Options(run="three"))
+    ingest(spark, row, Options(run="three"))
+    assert rows() == 48 and sorted(p.name for p in tmp_path.iterdir()) == ["s", "t"]
+
+    touch = Files.touch
+    monkeypatch.setattr(Files, "touch", lambda self, path: lost(self, path, path) and None)
+    with pytest.raises(KeyboardInterrupt):
+        ingest(spark, row, Options(run="four"))
+    monkeypatch.setattr(Files, "touch", touch)
+    ingest(spark, row, Options(run="four"))
+    assert rows() == 60
+
+
 @pytest.mark.parametrize("log", ["_delta_log", ".hoodie", "metadata/version-hint.text"])
 @pytest.mark.parametrize("mode", ["append", "overwrite"])
 def test_table_logs_are_not_written_over(spark, tmp_path, log, mode):
