@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from eclusa.llm.frames import map_batches, on_workers, staged
 
 # Cells of a component, and distinct vectors and queries in a block.
-CELLS = 64
+CELLS = 256
 VECTOR_BLOCK = 16_384
 QUERY_BLOCK = 4_096
 # Queries whose bounds are worked out together.
