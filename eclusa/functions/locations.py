@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from urllib.parse import urlparse
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import SparkSession
 
@@ -112,6 +112,15 @@ def owned_by_stream(spark: SparkSession, location: str) -> str | None:
     return "batches" if _BATCH_FOLDER.fullmatch(files.first_entry(location) or "") else None
 
 
+def folder_columns(spark: SparkSession, location: str) -> list[str]:
+    """Partition columns that the dataset's folders show, outermost first."""
+    files, found = Files(spark, location), []
+    while (name := files.first_entry(location)) and "=" in name and not name.startswith("part-"):
+        found.append(unquote(name.split("=", 1)[0]))
+        location = f"{location}/{name}"
+    return found
+
+
 def table_format(spark: SparkSession, location: str) -> str | None:
     """Format of the table that lies at the location, if its log is there."""
     files = Files(spark, location)

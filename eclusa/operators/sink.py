@@ -10,6 +10,7 @@ from eclusa.errors import SinkError
 from eclusa.functions.columns import find_column, named
 from eclusa.functions.locations import Files, overlaps, owned_by_stream, table_format
 from eclusa.operators import swap
+from eclusa.operators.catalog import register
 
 # Modes in the control table.
 MODES = ("overwrite", "append", "upsert")
@@ -84,9 +85,7 @@ def write(
         out = out.option("partitionOverwriteMode", "static")
     if compression:
         out = out.option("compression", compression)
-    if table:
-        out.option("path", target).saveAsTable(table)
-    elif mode == "overwrite" and not found and swap.siblings(target):
+    if mode == "overwrite" and not found and swap.siblings(target):
         swap.restore_interrupted(df.sparkSession, target)
         if Files(df.sparkSession, target).exists(target):
             swap.replace(df.sparkSession, out, target)
@@ -96,3 +95,5 @@ def write(
         swap.add_once(df.sparkSession, out, target, run)
     else:
         out.save(target)
+    if table:
+        register(df.sparkSession, table, target, fmt, df.schema, partitions)

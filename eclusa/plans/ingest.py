@@ -14,7 +14,8 @@ from pyspark.sql.types import StructType
 from eclusa import journal
 from eclusa.errors import IngestionError
 from eclusa.functions.columns import split_names
-from eclusa.functions.locations import Files, segments, uri
+from eclusa.functions.locations import Files, folder_columns, segments, uri
+from eclusa.operators.catalog import register
 from eclusa.operators.partitioning import with_partitions
 from eclusa.operators.routing import route
 from eclusa.operators.sink import check_apart, check_partitions, write, write_mode
@@ -44,6 +45,9 @@ class Options:
     run: str = ""
     schema: StructType | Mapping[str, StructType] | None = None
 
+    def table_of(self, row: Mapping[str, str]) -> str:
+        return f"{row['glue_database']}.{row['glue_tabela']}" if self.catalog else ""
+
     def schema_of(self, dataset_id: str) -> StructType | None:
         return self.schema.get(dataset_id) if isinstance(self.schema, Mapping) else self.schema
 
@@ -77,6 +81,9 @@ def ingest(spark: SparkSession, row: dict[str, str], options: Options = Options(
     except Exception as e:
         journal.error("ingestion failed", dataset_id=dataset_id, error=str(e))
         raise
+    if table := options.table_of(row):
+        # The caller's session may have listed the table's files before.
+        spark.catalog.refreshTable(table)
     journal.info("ingestion done", dataset_id=dataset_id, target=outcome.target, mode=outcome.mode)
     return outcome
 
@@ -98,12 +105,14 @@ def _ingest(spark: SparkSession, row: dict[str, str], options: Options) -> Outco
 
     fmt = row["formato_destino"]
     codec = row["compressao"].strip() if options.compress else ""
+    table = options.table_of(row)
     if mode == "upsert":
         schema = upsert(df, target, split_names(row["chaves"]), fmt, partitions, compression=codec)
+        if table:
+            register(spark, table, target, fmt, schema, folder_columns(spark, target))
     else:
         schema = df.schema
         check_partitions(df, partitions)
-        table = f"{row['glue_database']}.{row['glue_tabela']}" if options.catalog else ""
         run = f"{options.run}/{row.get('dataset_id', '')}/{source}" if options.run else ""
         write(df, target, fmt, mode, partitions, codec, table, options.cluster, run)
     return Outcome(row.get("dataset_id", ""), target, fmt, mode, partitions, schema)

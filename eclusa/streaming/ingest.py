@@ -12,12 +12,13 @@ import json
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from eclusa import journal
 from eclusa.errors import IngestionError, SinkError
 from eclusa.functions.columns import split_names
-from eclusa.functions.locations import BATCH_COLUMN, Files, owned_by_stream, uri
+from eclusa.functions.locations import BATCH_COLUMN, Files, folder_columns, owned_by_stream, uri
+from eclusa.operators.catalog import register
 from eclusa.operators.partitioning import with_partitions
 from eclusa.operators.sink import check_apart, check_partitions, write, write_mode
 from eclusa.operators.transform import apply_sql, refuse_commands
@@ -76,6 +77,11 @@ def ingest_new_files(
     except StreamingQueryException as e:
         journal.error("stream run failed", dataset_id=row["dataset_id"], error=str(e))
         raise IngestionError(f"stream into {target} failed: {e}") from e
+    table = options.table_of(row)
+    if table and Files(spark, target).first_entry(target):
+        layout = folder_columns(spark, target)
+        own = [StructField(BATCH_COLUMN, StringType())] if layout[:1] == [BATCH_COLUMN] and mode == "append" else []
+        register(spark, table, target, fmt, StructType([*schema.fields, *own]), layout)
     journal.info("stream run done", dataset_id=row["dataset_id"], target=target, mode=mode)
     return Outcome(row["dataset_id"], target, fmt, mode, partitions, schema)
 

@@ -245,3 +245,39 @@ def test_arrivals_that_fail_come_again(spark, tmp_path):
     run()
     run()
     assert spark.read.parquet(target).count() == 3 and seen == [(0, {"d": 1})] * 2
+
+
+@pytest.mark.parametrize("partitions", [{}, {"coluna_particao": "d", "tipo_particao": "normal"}])
+def test_catalog_names_show_the_folders_rows(spark, tmp_path, partitions):
+    """After each mode, also where partitions come and go."""
+    feed = Feed(spark, tmp_path / "source")
+    feed.drop((1, "a", 1), (2, "b", 2))
+    name = "named_" + ("by_d" if partitions else "flat")
+    row = control_row(
+        feed.folder, tmp_path / "target", colunas_esperadas="k,d,v", chaves="k",
+        glue_database="default", glue_tabela=name, **partitions,
+    )
+    options = Options(catalog=True)
+
+    def shown():
+        return sorted_rows(spark.table(f"default.{name}").select("k", "d", "v"))
+
+    def run(mode, **settings):
+        outcome = ingest(spark, {**row, "modo_ingestao": mode, **settings}, options)
+        assert shown() == sorted_rows(outcome.read(spark).select("k", "d", "v"))
+
+    run("overwrite")
+    run("append")
+    run("overwrite", query="select * from tabela_temp where d = 'a'")
+    feed.drop((3, "c", 3), (1, "z", 9))
+    run("upsert", query="select * from tabela_temp where v > 1")  # 1 moves from a, which is left empty
+    assert shown() == [(1, "z", 9), (2, "b", 2), (3, "c", 3)]
+    streamed = control_row(
+        feed.folder, tmp_path / "streamed", colunas_esperadas="k,d,v", modo_ingestao="append",
+        glue_database="default", glue_tabela=name + "_s", **partitions,
+    )
+    for i in range(2):
+        outcome = ingest_new_files(spark, streamed, str(tmp_path / "c"), options)
+        named = sorted_rows(spark.table(f"default.{name}_s").select("k", "d", "v"))
+        assert named == sorted_rows(outcome.read(spark).select("k", "d", "v")) and len(named) == 4 + i
+        feed.drop((8, "h", 8))
