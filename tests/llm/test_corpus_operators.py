@@ -211,6 +211,28 @@ def test_common_shingles_of_a_block(monkeypatch):
                 assert found[a, b] == len(np.intersect1d(own[a], own[b + 1]))
 
 
+@pytest.mark.parametrize("small, block", [(16, 512), (4, 8)])
+def test_classes_of_a_skewed_table(spark, monkeypatch, small, block):
+    """A family of near copies, a passage in a third of all texts, copies: as by all pairs."""
+    monkeypatch.setattr(neardup, "SMALL", small)
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    r = np.random.default_rng(12)
+    word = lambda n: " ".join(f"w{i}" for i in r.integers(0, 4000, n))
+    base, passage = word(120).split(), word(60)
+    texts = []
+    for _ in range(220):  # each some way from the family's base, so that not all pairs are links
+        own = list(base)
+        for at in r.integers(0, 120, int(r.integers(0, 5))):
+            own[at] = f"x{int(r.integers(0, 10**6))}"
+        texts.append(" ".join(own))
+    texts += [f"{word(int(r.integers(10, 50)))} {passage}" for _ in range(200)]
+    texts += [word(80) for _ in range(60)] + [texts[0]] * 100 + ["", None, "one two"] * 5
+    docs = [(int(i), t) for i, t in zip(r.permutation(len(texts)), texts, strict=True)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = neardup.members(df).select("doc_id", "class_id")
+    assert sorted(map(tuple, found.collect())) == sorted(plain_classes(docs))
+
+
 def test_copies_that_repeat_a_passage_are_found(spark):
     docs = []
     for k in range(30):
