@@ -8,6 +8,8 @@ from urllib.parse import unquote, urlparse
 
 from pyspark.sql import SparkSession
 
+from eclusa.errors import IngestionError
+
 # Folders of a stream's micro-batches are named after this column, and their values are the
 # batch's number and the query's id, which no value of a user's own column is like.
 BATCH_COLUMN = "lote"
@@ -26,10 +28,13 @@ def uri(bucket: str, path: str, scheme: str = "s3") -> str:
 def workspace(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    A session without one gets a folder in its warehouse, which is shared as well.
+    A session on one machine that has none gets a folder in its warehouse; on a cluster that
+    may be a folder of the driver's machine alone, so there the setting must be made.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise IngestionError("set spark.checkpoint.dir to a folder that all executors reach")
         shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.eclusa"
     return shared.rstrip("/")
 
