@@ -92,6 +92,27 @@ class Files:
                     found.append((folder, name))
         return found
 
+    def folders(self, location: str, depth: int) -> list[str]:
+        """Partition folders so many levels below the location, relative to it."""
+        found = [""]
+        for _ in range(depth):
+            found = [
+                f"{folder}/{entry.getPath().getName()}".lstrip("/")
+                for folder in found
+                for entry in self._fs.listStatus(self._path(f"{location}/{folder}" if folder else location))
+                if entry.isDirectory() and "=" in entry.getPath().getName()
+            ]
+        return found
+
+    def remove_empty(self, location: str, folder: str) -> None:
+        """Remove the folders around ``folder``, below the location, that hold nothing."""
+        while "/" in folder:
+            folder = folder.rpartition("/")[0]
+            place = self._path(f"{location}/{folder}")
+            if not self._fs.exists(place) or len(self._fs.listStatus(place)):
+                return
+            self._fs.delete(place, False)
+
     def make_folder(self, location: str) -> None:
         self._fs.mkdirs(self._path(location))
 

@@ -85,8 +85,9 @@ def write(
         out = out.option("partitionOverwriteMode", "static")
     if compression:
         out = out.option("compression", compression)
-    if mode == "overwrite" and not found and swap.siblings(target):
+    if not found:
         swap.restore_interrupted(df.sparkSession, target)
+    if mode == "overwrite" and not found and swap.siblings(target):
         if Files(df.sparkSession, target).exists(target):
             swap.replace(df.sparkSession, out, target)
         else:

@@ -8,9 +8,9 @@ error; several target rows for one source row are all updated.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from functools import reduce
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
@@ -41,10 +41,12 @@ HOT_KEYS = 10_000
 # of more, the values of each partition column are, and of still more values their range.
 PRUNED_PARTITIONS = 200
 NAMED_VALUES = 10_000
+# Heavy keys of a target are looked for among about so many of its rows, and no fewer
+# than so many for each shuffle partition.
+SAMPLE_ROWS = 1_000_000
+SAMPLE_ROWS_EACH = 100
 # Formats that leave out NULLs, so that a column without values is not in the files.
 SPARSE_FORMATS = ("json",)
-# Files in a target that name the last micro-batch each stream has merged into it.
-BATCH_MARK = "_lote-"
 
 
 def upsert(
@@ -60,11 +62,12 @@ def upsert(
     """Merge ``source`` into the existing dataset at ``target``; returns the target's schema.
 
     The target keeps its own partition layout; ``partitions`` only serves a target
-    that has no files to show one. If updates leave rows in their partitions, because
-    the keys contain the partition columns or because the values agree, just the
-    partitions that the source touches are rewritten. Otherwise the merged dataset is
-    written next to the target and takes its place by rename. The size of the source
-    plays no part in this. ``compression`` is the codec of what is written.
+    that has no files to show one. Of a partitioned target just the partitions are
+    rewritten that updates leave and that the source has rows for; those left without
+    rows go. Without partitions the merged dataset is written next to the target and
+    takes its place by rename. Either way a lost run changes nothing, or the next one
+    finishes it. The size of the source plays no part in this. ``compression`` is the
+    codec of what is written.
 
     A target that is a table of a format with a log is merged by that format, whatever
     ``fmt`` says, or not at all. A JSON target takes on columns that only the source has:
@@ -90,11 +93,9 @@ def upsert(
         swap.restore_interrupted(spark, target)
     current, layout = open_target(source, target, fmt, partitions)
     keys = _resolve(current, keys, "target")
-    files = Files(spark, target)
-    merged_before = files.names(target, BATCH_MARK)
-    marks = tuple(merged_before)
+    marks = tuple(Files(spark, target).names(target, swap.BATCH_MARK))
     if batch:
-        stream = f"{BATCH_MARK}{batch[0]}-"
+        stream = f"{swap.BATCH_MARK}{batch[0]}-"
         if any(int(m.removeprefix(stream)) >= batch[1] for m in marks if m.startswith(stream)):
             journal.info("micro-batch is in the target already", target=target, batch=batch)
             return current.schema
@@ -102,33 +103,27 @@ def upsert(
     staging = fresh_path(spark, "upsert")
     wanted = _aligned(source, current)
     try:
-        # Written once, so that the checks and both joins see the same rows.
-        wanted.write.parquet(staging)
-        staged = spark.read.schema(wanted.schema).parquet(staging)
+        # Written once, so that the checks and the join see the same rows.
+        wanted.write.parquet(f"{staging}/rows")
+        staged = spark.read.schema(wanted.schema).parquet(f"{staging}/rows")
         rows, hot = reject_ambiguous(current, staged, keys)
         if rows == 0:
             return current.schema
-        # Rows without keys are added by each merge, so that their batch must be marked in the
-        # same step as it is committed; only the swap of the whole dataset does that.
-        once = batch and not staged.filter(has_null([named(k) for k in keys])).isEmpty()
         small = rows <= BROADCAST_ROWS and text_bytes(staged) <= BROADCAST_BYTES
-        fixed = set(layout) <= set(keys)
-        if layout and not fixed and not once:
-            fixed = not _moves_rows(current, staged, keys, layout, small)
-        if layout and fixed and not once:
-            touched = _touched_partitions(current, staged, layout, pruned_partitions)
+        if layout:
+            values, moves = staged, False
+            if not set(layout) <= set(keys):
+                values, moves = _entered_and_left(current, staged, keys, layout, small, f"{staging}/parts")
+            folders = _folders(current, values, layout, target, pruned_partitions)
+            touched = _touched_partitions(current, values, layout, pruned_partitions)
             merged = merge_frames(touched, staged, keys, small, hot)
-            out = _compressed(writer(merged, fmt, layout, not small), compression)
-            # Old files go when the job commits, after everything has been read.
-            out.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(target)
-            for name in marks:
-                files.touch(f"{target}/{name}")
-            for name in set(merged_before) - set(marks):
-                files.remove(f"{target}/{name}")
+            out = _compressed(writer(merged, fmt, layout, moves or not small), compression)
+            with _as_merge_error():
+                swap.replace_folders(spark, out, target, folders, len(layout), marks)
         else:
             merged = merge_frames(current, staged, keys, small, hot)
             with _as_merge_error():
-                swap.replace(spark, _compressed(writer(merged, fmt, layout), compression), target, marks)
+                swap.replace(spark, _compressed(writer(merged, fmt), compression), target, marks)
         return current.schema
     finally:
         Files(spark, staging).remove(staging)
@@ -155,48 +150,97 @@ def merge_frames(
 ) -> DataFrame:
     """Merged rows, for a source that is unambiguous and has the target's columns.
 
-    Two joins instead of one full outer join: each has a side that can be broadcast
-    when it is small, and that AQE may split when a key is hot. ``small_source`` says
-    that the source was measured and fits a broadcast; then the target is not shuffled
-    at all. Otherwise rows that match nothing pass by the joins, however many they are:
-    those with a NULL key, and those of ``unmatched``, source keys known to have no
-    partner, few but with many rows each.
+    ``small_source`` says that the source was measured and fits a broadcast; then the
+    target is not shuffled at all. Otherwise one full outer join sees every row of either
+    side once and decides whether it is updated, added or kept. Rows that would meet in
+    one task are dealt over many: those with a NULL key and those of ``unmatched``, source
+    keys known to have no partner, which match nothing wherever they are; and the target's
+    rows of heavy keys, each of which finds a copy of its source row.
     """
     columns = target.columns
-    passing = []
-    if not small_source:
-        null_key = has_null([named(k) for k in keys])
-        passing = [target.filter(null_key), source.filter(null_key)]
-        target, source = target.filter(~null_key), source.filter(~null_key)
-        if unmatched is not None:
-            unmatched = F.broadcast(unmatched)
-            passing.append(source.join(unmatched, list(keys), "left_semi"))
-            source = source.join(unmatched, list(keys), "left_anti").select(*map(named, columns))
     t, s = _numbered(target, "t"), _numbered(source, "s")
     t_keys = [f"t{columns.index(k)}" for k in keys]
     s_keys = [f"s{columns.index(k)}" for k in keys]
     on_keys = all_of([F.col(a) == F.col(b) for a, b in zip(t_keys, s_keys)])
+    merged = [
+        F.when(F.col("s_found"), F.col(f"s{i}")).otherwise(F.col(f"t{i}")).alias(c)
+        for i, c in enumerate(columns)
+    ]
+    s = s.withColumn("s_found", F.lit(True))
+    if not small_source:
+        parts = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        heavy = heavy_keys(target, keys, parts)
+        t = _dealt(t, t_keys, "t", parts, heavy, None)
+        s = _dealt(s, s_keys, "s", parts, heavy, unmatched)
+        both = t.join(s, on_keys & (F.col("t_turn") == F.col("s_turn")), "full")
+        # A heavy key is one of the target's: a copy that meets none of its rows adds nothing.
+        return both.filter(F.col("t_copies").isNotNull() | (F.col("s_copies") == 0)).select(*merged)
+
+    # Two joins, as a full outer one has no side that can be broadcast.
+    s = F.broadcast(s)
+    known = t.select(*t_keys).join(F.broadcast(s.select(*s_keys)), on_keys, "left_semi").distinct()
+    added = s.join(known, on_keys, "left_anti").drop("s_found").toDF(*columns)
+    return t.join(s, on_keys, "left").select(*merged).union(added)
+
+
+def heavy_keys(target: DataFrame, keys: Sequence[str], parts: int) -> DataFrame | None:
+    """Keys with more rows than one of ``parts`` even partitions, and how many should share them.
+
+    Counted in a sample of the target, so a key near the bound may be missing or not;
+    this only decides where rows are joined. There are at most ``parts`` such keys, and
+    three times as many shares in all.
+    """
+    rows = target.count()
+    share = max(SAMPLE_ROWS, SAMPLE_ROWS_EACH * parts) / max(rows, 1)
+    names = [f"h{i}" for i in range(len(keys))]
+    seen = target.select(*[named(k).alias(n) for k, n in zip(keys, names)])
+    seen = seen.filter(~has_null([F.col(n) for n in names]))
+    if share < 1:
+        seen, rows = seen.sample(share, seed=1), rows * share
+    counts = seen.groupBy(*names).count().filter(F.col("count") * parts > rows)
+    copies = F.ceil(2.0 * parts / max(rows, 1) * F.col("count")).cast("long")
+    heavy = counts.select(*names, copies.alias("copies"))
+    found = heavy.collect()
+    return target.sparkSession.createDataFrame(found, heavy.schema) if found else None
+
+
+def _dealt(
+    df: DataFrame,
+    key_columns: Sequence[str],
+    side: str,
+    parts: int,
+    heavy: DataFrame | None,
+    unmatched: DataFrame | None,
+) -> DataFrame:
+    """The rows with a turn that they must share to be joined, and the copies of their key, 0 for most.
 
-    updates = s.withColumn("s_found", F.lit(True))
-    if small_source:
-        updates = F.broadcast(updates)
-    stayed = t.join(updates, on_keys, "left").select(
-        *[
-            F.when(F.col("s_found"), F.col(f"s{i}")).otherwise(F.col(f"t{i}")).alias(c)
-            for i, c in enumerate(columns)
-        ]
-    )
-
-    # Target keys meet the source's before or after they are made distinct: a broadcast
-    # spares the shuffle, and without one a hot key shrinks before it is shuffled.
-    known, wanted = t.select(*t_keys), s.select(*s_keys)
-    if small_source:
-        known = known.join(F.broadcast(wanted), on_keys, "left_semi").distinct()
+    Turns go round by the rows' place in the files, which a repeated task finds again.
+    """
+    copies, turn = f"{side}_copies", f"{side}_turn"
+    df = df.withColumn(turn, F.monotonically_increasing_id())
+    alone = has_null([F.col(k) for k in key_columns])
+    if unmatched is not None:
+        names = [f"u{i}" for i in range(len(key_columns))]
+        lone = F.broadcast(unmatched.toDF(*names).withColumn("alone", F.lit(True)))
+        on = all_of([F.col(k) == F.col(n) for k, n in zip(key_columns, names)])
+        df = df.join(lone, on, "left").drop(*names)
+        alone = alone | F.coalesce(F.col("alone"), F.lit(False))
+    if heavy is not None:
+        on = all_of([F.col(k) == F.col(f"h{i}") for i, k in enumerate(key_columns)])
+        df = df.join(F.broadcast(heavy), on, "left")
+        df = df.withColumn(copies, F.coalesce(F.col("copies"), F.lit(0).cast("long")))
+    else:
+        df = df.withColumn(copies, F.lit(0).cast("long"))
+    own = F.when(alone, F.pmod(F.col(turn), F.lit(parts))).otherwise(F.lit(0).cast("long"))
+    if heavy is not None and side == "s":
+        many = F.sequence(F.lit(0).cast("long"), F.col(copies) - 1)
+        df = df.withColumn(turn, F.explode(F.when(F.col(copies) > 0, many).otherwise(F.array(own))))
+    elif heavy is not None:
+        dealt = F.pmod(F.col(turn), F.greatest(F.col(copies), F.lit(1)))
+        df = df.withColumn(turn, F.when(F.col(copies) > 0, dealt).otherwise(own))
     else:
-        known = known.distinct().join(wanted, on_keys, "left_semi")
-    added = s.join(known, on_keys, "left_anti").toDF(*columns)
-    passing = [df.select(*map(named, columns)) for df in passing]
-    return reduce(DataFrame.union, [stayed, added, *passing])
+        df = df.withColumn(turn, own)
+    return df.drop("alone", "copies", *(f"h{i}" for i in range(len(key_columns))))
 
 
 def reject_ambiguous(
@@ -266,18 +310,44 @@ def text_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(F.octet_length(row) + ROW_OVERHEAD)).head()[0] or 0
 
 
-def _moves_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], layout: Sequence[str], small: bool
-) -> bool:
-    """Whether some update takes a row to another partition. ``small``: the source is broadcast."""
+def _entered_and_left(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    layout: Sequence[str],
+    small: bool,
+    path: str,
+) -> tuple[DataFrame, bool]:
+    """Partition values that the source has rows for or takes rows from, and whether rows move.
+
+    Only the keys and partition columns of the target are read. ``small``: the source is
+    broadcast. The values, at most two for each partition, are kept at ``path``.
+    """
     names = list(dict.fromkeys([*keys, *layout]))
-    t, s = target.select(*map(named, names)), source.select(*map(named, names))
+    t, s = (_numbered(df.select(*map(named, names)), side) for df, side in ((target, "t"), (source, "s")))
     pairs = {n: (F.col(f"t{i}"), F.col(f"s{i}")) for i, n in enumerate(names)}
     same_key = all_of([pairs[k][0] == pairs[k][1] for k in keys])
-    other = any_of([~pairs[c][0].eqNullSafe(pairs[c][1]) for c in layout])
-    s = _numbered(s, "s")
-    moved = _numbered(t, "t").join(F.broadcast(s) if small else s, same_key & other, "left_semi")
-    return not moved.isEmpty()
+    moved = any_of([~pairs[c][0].eqNullSafe(pairs[c][1]) for c in layout])
+    met = t.join(F.broadcast(s) if small else s, same_key)
+    left = met.groupBy(*[pairs[c][0] for c in layout]).agg(F.bool_or(moved))
+    entered = source.select(*[_folder_value(source, c) for c in layout]).distinct()
+    flag = f"{'-'.join(layout)} moved"
+    both = left.toDF(*layout, flag).union(entered.withColumn(flag, F.lit(False)))
+    both.write.parquet(path)
+    kept = source.sparkSession.read.schema(both.schema).parquet(path)
+    return kept.drop(flag), not kept.filter(named(flag)).isEmpty()
+
+
+def _folders(
+    current: DataFrame, values: DataFrame, layout: Sequence[str], target: str, named_at_most: int
+) -> list[str]:
+    """Folders of the partitions with these values that have rows, relative to the target."""
+    name = f"{'-'.join(layout)} folder"
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias(name)
+    placed = current.select(*map(named, layout), folder)
+    found = _touched_partitions(placed, values, layout, named_at_most).select(named(name)).distinct()
+    depth = len(segments(Files(current.sparkSession, target).qualified(target)))
+    return ["/".join(segments(unquote(row[0]))[depth:]) for row in found.collect()]
 
 
 def open_target(

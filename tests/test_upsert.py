@@ -3,9 +3,13 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from eclusa.errors import MergeError
-from eclusa.operators.upsert import merge_frames, reject_ambiguous, text_bytes, upsert
+from eclusa.functions.locations import Files
+from eclusa.operators import swap
+from eclusa.operators.sink import write
+from eclusa.operators.upsert import heavy_keys, merge_frames, reject_ambiguous, text_bytes, upsert
 from tests.helpers import data_files, sorted_rows
 
 upsert_module = importlib.import_module("eclusa.operators.upsert")
@@ -297,33 +301,61 @@ def test_hot_source_key_without_partner(spark, tmp_path, monkeypatch, rows):
 
 
 def test_hot_key_is_split(spark, tmp_path):
-    """A third of a large target shares one key; the join's plan must split it."""
+    """A third of a large target shares one key; no partition of the join gets all of it."""
     settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.files.openCostInBytes": "64MB",
     }
     target = spark.range(0, 60000, 1, 12).selectExpr("if(id % 3 = 0, -1, id) as k", "rand(1) as v")
     target = spark.read.parquet(saved(target, tmp_path / "t"))
     source = spark.range(-1, 40000).selectExpr("id as k", "cast(null as double) as v")
     source = spark.read.parquet(saved(source, tmp_path / "s"))
+    assert [tuple(r) for r in heavy_keys(target, ["k"], 8).collect()] == [(-1, 6)]
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
         merged = merge_frames(target, source, ["k"])
         rows = merged.collect()
-        plan = merged._jdf.queryExecution().executedPlan().toString()
+        parts = merged.groupBy(F.spark_partition_id()).count().collect()
     finally:
         for name in settings:
             spark.conf.unset(name)
-    assert "SortMergeJoin(skew=true)" in plan
     expected = [-1 if i % 3 == 0 else i for i in range(60000)]
     expected += sorted(set(range(-1, 40000)) - set(expected))
     assert sorted(r["k"] for r in rows) == sorted(expected)
     assert all((r["v"] is None) == (r["k"] < 40000) for r in rows)
+    assert max(r["count"] for r in parts) < 20000
+
+
+def test_large_source_needs_one_exchange_a_side(spark, tmp_path):
+    target = spark.read.parquet(saved(spark.range(1000).selectExpr("id as k", "id as v"), tmp_path / "t"))
+    source = spark.read.parquet(saved(spark.range(900, 2000).selectExpr("id as k", "0L as v"), tmp_path / "s"))
+    merged = merge_frames(target, source, ["k"])
+    plan = merged._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 2 and "FullOuter" in plan
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert merged.count() == 2000 and merged.filter("v = 0").count() == 1101
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_heavy_null_and_lone_keys_equal_a_plain_merge(spark, seed):
+    """Few keys, so that most are heavy; some only in the target, some only in the source."""
+    rng = random.Random(seed)
+    target = [(rng.choice([None, 0, 1, 1, 1, 2, 3]), rng.choice("xy"), i) for i in range(200)]
+    in_target = {r[:2] for r in target}
+    source = [(k, p, 1000 + k) for k in (0, 1, 2) for p in "xy"] + [(None, "x", i) for i in range(30)]
+    source += [(50, "z", i) for i in range(60)] + [(60 + i, "x", i) for i in range(20)]
+    schema = "k int, p string, v int"
+    t, s = spark.createDataFrame(target, schema), spark.createDataFrame(source, schema)
+    rows, hot = reject_ambiguous(t, s, ["k", "p"])
+    assert hot is not None and heavy_keys(t, ["k", "p"], 8) is not None
+    new = {r[:2]: r for r in source if r[0] is not None and r[0] < 50}
+    expected = [new.get(r[:2], r) for r in target]
+    expected += [r for r in source if r[0] is None or r[:2] not in in_target]
+    for unmatched in (None, hot):
+        found = sorted_rows(merge_frames(t, s, ["k", "p"], False, unmatched))
+        assert found == sorted(expected, key=repr)
 
 
 def test_a_table_with_a_log_is_never_written_over(spark, tmp_path):
@@ -385,3 +417,84 @@ def test_crash_after_the_second_rename(spark, tmp_path):
     upsert(spark.sql("select 2 as k, 'x' as v"), str(target), ["k"])
     assert not (tmp_path / ".t.antes").exists() and not (target / "_mesclado").exists()
     assert sorted(map(tuple, spark.read.parquet(str(target)).collect())) == [(1, "new"), (2, "x")]
+
+
+MONTHS = "k int, v string, a int, m string"
+
+
+def by_month(spark, path):
+    rows = [(i, "old", 2000 + i % 3, f"{i % 4:02}") for i in range(24)]
+    return saved(spark.createDataFrame(rows, MONTHS).coalesce(1), path, "a", "m"), rows
+
+
+@pytest.mark.parametrize("bound", [500_000, 0])
+@pytest.mark.parametrize("limit", [0, 200])
+def test_moved_rows_rewrite_only_what_they_leave_and_enter(spark, tmp_path, monkeypatch, bound, limit):
+    monkeypatch.setattr(upsert_module, "BROADCAST_ROWS", bound)
+    path, rows = by_month(spark, tmp_path / "t")
+    before = set(data_files(path))
+    # Row 0 moves to a month of another year, row 5 stays, and both rows of 2001/01 go to a new year.
+    source = [(0, "new", 2001, "02"), (5, "new", *rows[5][2:])]
+    source += [(k, "new", 2009, "01") for k, _, a, m in rows if (a, m) == (2001, "01")]
+    upsert(spark.createDataFrame(source, MONTHS), path, ["k"], pruned_partitions=limit)
+    new = {r[0]: r for r in source}
+    back = spark.read.schema(MONTHS).parquet(path)
+    assert sorted_rows(back) == sorted((new.get(r[0], r) for r in rows), key=repr)
+    gone = {str(f.parent.relative_to(path)) for f in before - set(data_files(path))}
+    assert gone == {"a=2000/m=00", "a=2001/m=02", "a=2001/m=01", "a=%d/m=%s" % rows[5][2:]}
+    assert not (tmp_path / "t" / "a=2001" / "m=01").exists()
+    assert not [p for p in (tmp_path / "t").iterdir() if p.name.startswith(".partes")]
+    # The last month of a year takes the year's folder with it.
+    upsert(spark.createDataFrame([(k, "x", 2002, "00") for k in new if k not in (0, 5)], MONTHS), path, ["k"])
+    assert not (tmp_path / "t" / "a=2009").exists()
+
+
+class Lost(Exception):
+    pass
+
+
+@pytest.mark.parametrize("at", [0, 1, 3, 4])
+@pytest.mark.parametrize("call", ["rename", "remove"])
+def test_a_run_lost_while_folders_are_placed(spark, tmp_path, monkeypatch, at, call):
+    """Lost before any rename or removal: all of the change or, before the first, nothing."""
+    path, rows = by_month(spark, tmp_path / "t")
+    source = [(0, "new", 2001, "02"), (None, "added", 2001, "02")]
+    source += [(k, "new", 2009, "01") for k, _, a, m in rows if (a, m) == (2001, "01")]
+    change = spark.createDataFrame(source, MONTHS)
+    plain, calls = getattr(Files, call), []
+
+    def lost(self, *a):
+        calls.append(a)
+        if len(calls) > at and path in a[0]:
+            raise Lost
+        return plain(self, *a)
+
+    monkeypatch.setattr(Files, call, lost)
+    with pytest.raises(Lost):
+        upsert(change, path, ["k"], batch=("s", 1))
+    monkeypatch.setattr(Files, call, plain)
+    upsert(change, path, ["k"], batch=("s", 1))
+    new = {r[0]: r for r in source}
+    expected = [new.get(r[0], r) for r in rows] + [source[1]]
+    assert sorted_rows(spark.read.schema(MONTHS).parquet(path)) == sorted(expected, key=repr)
+    assert (tmp_path / "t" / "_lote-s-1").exists() and not (tmp_path / "t" / ".partes").exists()
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+def test_waiting_folders_are_placed_before_other_writes(spark, tmp_path, monkeypatch, mode):
+    path, rows = by_month(spark, tmp_path / "t")
+
+    def lost(*a):
+        raise Lost
+
+    place = swap._place_folders
+    monkeypatch.setattr(swap, "_place_folders", lost)
+    with pytest.raises(Lost):
+        upsert(spark.createDataFrame([(0, "new", 2000, "00")], MONTHS), path, ["k"])
+    monkeypatch.setattr(swap, "_place_folders", place)
+    more = [(99, "more", 2000, "00")]
+    write(spark.createDataFrame(more, MONTHS), path, "parquet", mode, ["a", "m"])
+    upsert(spark.createDataFrame([(99, "last", 2000, "00")], MONTHS), path, ["k"])
+    kept = [(0, "new", 2000, "00"), *rows[1:]] if mode == "append" else []
+    expected = sorted([*kept, (99, "last", 2000, "00")], key=repr)
+    assert sorted_rows(spark.read.schema(MONTHS).parquet(path)) == expected
