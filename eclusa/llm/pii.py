@@ -2,8 +2,9 @@
 
 Candidate spans come from strict patterns (those that pass are the base spans and
 always stay; those that fail stay candidates) and from wider ones. Four labelers vote
-on each candidate, for (1), against (-1) or not at all (0): the strict pattern, a
-check of its digits, a gazetteer of prefixes and domains, and the words before it.
+on each candidate, for (1), against (-1) or not at all (0): a pattern of the form in which
+its kind is usually written, which only speaks against others, a check of its digits
+whatever their form, a gazetteer of prefixes and domains, and the words before it.
 Votes are counted by pattern over all documents; there are at most a few hundred
 patterns, and only they reach the driver. Expectation-maximisation estimates the
 labelers' reliabilities and each pattern's chance; a logistic span classifier is
@@ -22,7 +23,7 @@ match begins as well.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,35 +72,79 @@ CUES = {
 AGAINST = (
     r"(?i)\b(version|release|order|invoice|isbn|issn|doi|serial|section|chapter|price|total|id|no|nr)[\x20.:#=]*$"
 )
+# How each kind is usually written, whatever its numbers are.
+FORM = {
+    "email": r"\.[A-Za-z]{2,}$",
+    "ip": r"^(?:(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7})$",
+    "card": r"^(?:[0-9]+|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|3[47][0-9]{2}([\x20-])[0-9]{6}\2[0-9]{5})$",
+    "phone": r"^(?:\+|00?)?\(?[0-9]++\)?+(?:[\x20.-]?+\(?+[0-9]++\)?+)*+$",
+}
 # Characters before a span that are searched for words.
 BEFORE = 32
+# Numbers of an array that are put together one by one.
+BLOCK = 128
+# Beyond all positions in a text.
+_FAR = 2**31 - 1
 ROUNDS = 25
 THRESHOLD = 0.5
 _VOTES = ("regex", "digits", "gazetteer", "context")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(values: Column, zero: int, step: Callable[[Column, Column], Column]) -> Column:
+    """For each of an array's whole numbers, all those before it put together by ``step``.
+
+    The numbers are taken in blocks, first each block as a whole, then block by block: an
+    array that grows by one number at a time is copied each time, so blocks keep the work
+    in proportion to the array, up to millions of numbers.
+    """
+    before = "struct<at:int,before:array<int>>"
+    first = lambda at: F.struct(at.alias("at"), F.array().cast("array<int>").alias("before"))
+
+    def add(acc: Column, value: Column) -> Column:
+        return F.struct(
+            step(acc["at"], value).alias("at"), F.concat(acc["before"], F.array(acc["at"])).alias("before")
+        ).cast(before)
+
+    def each(array: Column, at: Column) -> Column:
+        return F.aggregate(array, first(at).cast(before), add, lambda acc: acc["before"])
+
+    def whole(array: Column) -> Column:
+        many = F.sequence(F.lit(0), F.ceil(F.size(array) / BLOCK).cast("int") - 1)
+        blocks = F.transform(many, lambda i: F.slice(array, i * BLOCK + 1, F.lit(BLOCK)))
+        totals = lambda bs: F.transform(bs, lambda b: F.aggregate(b, F.lit(zero), step))
+        joined = lambda bs: F.flatten(F.zip_with(bs, each(totals(bs), F.lit(zero)), each))
+        return F.when(F.size(array) > BLOCK, _let(blocks, joined)).otherwise(each(array, F.lit(zero)))
+
+    return _let(values, whole)
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """All matches of a pattern: start and end in characters, match, what stands before."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    # One piece of text more than matches: match i lies behind piece i.
-    pairs = F.arrays_zip(
-        found.alias("m"), F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)).alias("p")
-    )
 
-    def add(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.char_length(pair["p"])
-        end = start + F.char_length(pair["m"])
-        span = F.struct(
+    def placed(found: Column) -> Column:
+        # One piece of text more than matches: match i lies behind piece i.
+        pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        return _let(F.arrays_zip(found.alias("m"), pieces.alias("p")), spans)
+
+    def spans(pairs: Column) -> Column:
+        lengths = F.transform(pairs, lambda x: F.char_length(x["p"]) + F.char_length(x["m"]))
+        return F.zip_with(pairs, running(lengths, 0, lambda a, b: a + b), span)
+
+    def span(pair: Column, at: Column) -> Column:
+        start = at + F.char_length(pair["p"])
+        return F.struct(
             start.alias("start"),
-            end.alias("end"),
+            (start + F.char_length(pair["m"])).alias("end"),
             pair["m"].alias("m"),
             F.substring(pair["p"], -BEFORE, BEFORE).alias("before"),
         )
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    kind = "array<struct<start:int,end:int,m:string,before:string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
-    return F.aggregate(pairs, start, add, lambda acc: acc["spans"])
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 def _digits(m: Column) -> Column:
@@ -123,12 +168,13 @@ def luhn(digits: Column) -> Column:
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 
 
-def _valid(kind: str, m: Column, wide: bool) -> Column:
+def _checked(kind: str, m: Column, wide: bool) -> Column | None:
+    """Whether a candidate's numbers add up; None for kinds without any to check."""
     digits = _digits(m)
-    if kind == "email":
-        return F.lit(True)
+    if kind == "email" or (kind == "ip" and wide):
+        return None
     if kind == "ip":
-        return F.lit(True) if wide else m.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$")
+        return m.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$")
     if kind == "card":
         least = 15 if wide else 16
         return F.when(F.length(digits).between(least, 19), luhn(digits)).otherwise(False)
@@ -145,23 +191,24 @@ def _candidates(text: Column, kind: str, wide: bool) -> Column:
     no = F.lit(False)
 
     def voted(x: Column) -> Column:
-        m, ok = x["m"], _valid(kind, x["m"], wide)
+        m, ok = x["m"], _checked(kind, x["m"], wide)
         known = F.regexp_replace(m, r"(?i)\x20?[(\[{]dot[)\]}]\x20?", ".") if kind == "email" else m
+        usual = known.rlike(FORM[kind])
         known = _digits(m) if kind == "card" else known
         return F.struct(
             F.lit(KINDS.index(kind)).alias("kind"),
             x["start"].alias("start"),
             x["end"].alias("end"),
-            (F.lit(not wide) & ok).alias("base"),
-            (F.lit(0) if wide else F.when(ok, 1).otherwise(-1)).alias("regex"),
-            F.when(ok, 1).otherwise(-1).alias("digits"),
+            (F.lit(not wide) & (F.lit(True) if ok is None else ok)).alias("base"),
+            _vote(no, ~usual).alias("regex"),
+            (F.lit(0) if ok is None else _vote(ok, ~ok)).alias("digits"),
             _vote(known.rlike(GAZETTEER[kind]), no).alias("gazetteer"),
             _vote(x["before"].rlike(CUES[kind]), x["before"].rlike(AGAINST)).alias("context"),
             F.least(F.length(m) / 8, F.lit(3)).cast("int").alias("length"),
         )
 
-    if wide:
-        found = F.filter(found, lambda x: _valid(kind, x["m"], wide))
+    if wide and _checked(kind, text, wide) is not None:
+        found = F.filter(found, lambda x: _checked(kind, x["m"], wide))
     # A card candidate needs a card's digits; shorter runs are plain numbers.
     if kind == "card" and not wide:
         found = F.filter(found, lambda x: F.length(_digits(x["m"])).between(13, 24))
@@ -184,13 +231,35 @@ def candidates(text: Column) -> Column:
 
 
 def _apart(spans: Column) -> Column:
-    """Base spans, and the others that overlap none of them."""
-    base = F.filter(spans, lambda s: s["base"])
-    return F.filter(
-        spans,
-        lambda s: s["base"]
-        | ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
+    """Base spans, and the others that overlap none of them, by kind and start.
+
+    In order of their starts, a span overlaps one before it if the furthest end so far lies
+    beyond its start, and one after it if the nearest start to come lies before its end.
+    """
+
+    def sifted(ordered: Column) -> Column:
+        ends = F.transform(ordered, lambda x: F.when(x["s"]["base"], x["s"]["end"]).otherwise(-1))
+        starts = F.transform(
+            F.reverse(ordered), lambda x: F.when(x["s"]["base"], x["start"]).otherwise(_FAR)
+        )
+        seen = running(ends, -1, lambda a, b: F.greatest(a, b))
+        ahead = F.reverse(running(starts, _FAR, lambda a, b: F.least(a, b)))
+        each = F.arrays_zip(ordered.alias("x"), seen.alias("seen"), ahead.alias("ahead"))
+        kept = F.filter(
+            each,
+            lambda e: e["x"]["s"]["base"]
+            | ((e["seen"] <= e["x"]["start"]) & (e["ahead"] >= e["x"]["s"]["end"])),
+        )
+        return F.array_sort(F.transform(kept, lambda e: e["x"]["s"]))
+
+    def whole(found: Column) -> Column:
+        mixed = F.exists(found, lambda s: s["base"]) & F.exists(found, lambda s: ~s["base"])
+        ordered = F.array_sort(
+            F.transform(found, lambda s: F.struct(s["start"].alias("start"), s.alias("s")))
+        )
+        return F.when(mixed, _let(ordered, sifted)).otherwise(found)
+
+    return _let(spans, whole)
 
 
 # --- reliabilities and classifier, over counts of vote patterns ---
@@ -212,13 +281,14 @@ def reliabilities(patterns: Iterable[Pattern], rounds: int = ROUNDS) -> dict[Pat
     """Chance that the candidates of each pattern are personal data.
 
     Two-class model of independent labelers for each kind: expectation-maximisation
-    over how often each labeler's votes are for and against in either class, from
-    majority votes on. Counts are smoothed by one vote each; no vote says nothing.
+    over how often each labeler's votes are for and against in either class, from the sum of
+    the votes on, where the check of the digits, the only one that computes, counts double. Counts are smoothed by one vote each; no vote says nothing.
     """
     chance: dict[Pattern, float] = {}
     for kind in range(len(KINDS)):
         own = [p for p in patterns if p[0] == kind]
-        y = {p: min(max(0.5 + 0.2 * sum(p[1]), 0.05), 0.95) for p in own}
+        check = _VOTES.index("digits")
+        y = {p: min(max(0.5 + 0.2 * (sum(p[1]) + p[1][check]), 0.05), 0.95) for p in own}
         for _ in range(rounds):
             n1 = 1 + sum(p[3] * y[p] for p in own)
             n0 = 1 + sum(p[3] * (1 - y[p]) for p in own)
@@ -329,23 +399,29 @@ def masked(documents: DataFrame, text: str = "text", threshold: float = THRESHOL
         )
     )
 
-    def add(acc: Column, s: Column) -> Column:
-        # A span that overlaps the one before is covered by that one's mark.
-        more = F.concat(
-            acc["out"], F.substring(whole, acc["at"] + 1, s["a"] - acc["at"]), F.get(tags, s["k"])
-        )
-        return F.struct(
-            F.greatest(acc["at"], s["b"]).alias("at"),
-            F.when(s["a"] >= acc["at"], more).otherwise(acc["out"]).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate(
-        ordered,
-        start,
-        add,
-        lambda acc: F.concat(acc["out"], F.substring(whole, acc["at"] + 1, F.length(whole))),
-    )
+    def disjoint(spans: Column) -> Column:
+        # A span that begins within an earlier one is covered by that one's mark.
+        reach = running(F.transform(spans, lambda s: s["b"]), 0, lambda x, y: F.greatest(x, y))
+        both = F.arrays_zip(spans.alias("s"), reach.alias("reach"))
+        rest = F.substring(whole, F.array_max(F.transform(spans, lambda s: s["b"])) + 1, F.length(whole))
+        return F.concat(_let(F.filter(both, lambda x: x["s"]["a"] >= x["reach"]), blocks), rest)
+
+    def blocks(kept: Column) -> Column:
+        # A piece of a long text is searched from its start, so each block has a cut of its own.
+        many = F.sequence(F.lit(0), F.ceil(F.size(kept) / BLOCK).cast("int") - 1)
+        parts = F.transform(many, lambda i: F.slice(kept, i * BLOCK + 1, F.lit(BLOCK)))
+        return F.array_join(F.transform(parts, block), "")
+
+    def block(part: Column) -> Column:
+        at = F.get(part, F.lit(0))["reach"]
+        cut = F.substring(whole, at + 1, F.element_at(part, -1)["s"]["a"] - at)
+        return _let(cut, lambda c: F.array_join(F.transform(part, lambda x: marked(c, x, at)), ""))
+
+    def marked(cut: Column, x: Column, at: Column) -> Column:
+        before = F.substring(cut, x["reach"] - at + 1, x["s"]["a"] - x["reach"])
+        return F.concat(before, F.get(tags, x["s"]["k"]))
+
+    clean = _let(ordered, disjoint)
     fresh = F.when(F.size(ordered) > 0, clean).otherwise(whole)
     return found.select(
         *(fresh.alias(c) if c == text else F.col(f"`{c}`") for c in documents.columns)

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -240,6 +241,40 @@ def test_reliabilities_trust_the_better_labeler():
     assert chance[good] > 0.9 and chance[bad] < 0.1
 
 
+@pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 257, 16385])
+def test_running_totals_across_blocks(spark, n):
+    values = [(7 * i) % 11 for i in range(n)]
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    total = pii.running(F.col("v"), 0, lambda a, b: a + b).alias("sum")
+    most = pii.running(F.col("v"), -1, lambda a, b: F.greatest(a, b)).alias("max")
+    found = df.select(total, most).head()
+    assert found["sum"] == [sum(values[:i]) for i in range(n)] if n < 300 else len(found["sum"]) == n
+    assert found["max"] == [max(values[:i], default=-1) for i in range(n)] if n < 300 else found["max"][-1] == 10
+
+
+def test_many_spans_in_one_text(spark):
+    """Thousands of spans of two kinds that partly overlap: places and masks as in a plain scan."""
+    word = "mail to a{0}@b.org or +1 555 {0:07d} or 10.0.{1}.7, 0{0:09d}\n"
+    text = "é" + "".join(word.format(i, i % 256) for i in range(3000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.perf_counter()
+    spans = pii.scan(df).select("spans").head()[0]
+    assert time.perf_counter() - start < 60
+    base = [s for s in spans if s["base"]]
+    assert len(base) >= 9000
+    strict = [re.compile(p.replace("(?:\\G|", "(?:")) for p in pii.STRICT.values()]
+    assert all(strict[s["kind"]].fullmatch(text[s["start"] : s["end"]]) for s in base)
+    for s in spans:
+        if not s["base"]:
+            assert not any(b["start"] < s["end"] and s["start"] < b["end"] for b in base)
+    masked, at = [], 0
+    for a, b, k in sorted((s["start"], s["end"], s["kind"]) for s in spans):
+        if a >= at:
+            masked += [text[at:a], f"[{pii.KINDS[k].upper()}]"]
+        at = max(at, b)
+    assert pii.masked(df).head()["text"] == "".join([*masked, text[at:]])
+
+
 def test_op10(spark, texts):
     for r in QUERIES["op10_personal_data"](spark, SF).collect():
         spans = plain_spans(texts[r.doc_id])
