@@ -4,8 +4,11 @@ The normalised n-grams of the benchmark are broadcast as a hash set. Every windo
 every document is looked up by its hash, and each hit is verified word by word. Hit
 spans or whole documents can then be removed.
 
-The benchmark is taken in slices of a bounded size, measured first: one pass over the
-documents for each slice, so that no broadcast grows with the benchmark.
+Executors make the benchmark's windows: pieces of its words with the hash and place of each
+window, written once. These come to the driver in slices of a bounded size, measured first,
+and a slice is let go before the next one is fetched: one pass over the documents for each,
+whose result is written down, so that neither a broadcast nor the driver's memory grows with
+the benchmark.
 
 A null or empty text has no words and no hits. Items without words have no windows.
 Items with equal ids count as one; a null id counts as the text ``null``. Repeated
@@ -14,85 +17,157 @@ document rows are each scanned and returned. An empty benchmark hits nothing.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from eclusa.llm import words as W
-from eclusa.llm.frames import free_name, map_texts
+from eclusa.llm.frames import discard, free_name, map_batches, map_texts, staged, text_slices
 
 N_WORDS = 10
-# Bytes of benchmark text in one broadcast.
-SLICE_TEXT = 16 * 1024 * 1024
+# Bytes of words, hashes and places in one broadcast: some 20 MB of benchmark text.
+SLICE_TEXT = 64 * 1024 * 1024
+# Windows of a piece of an item.
+PIECE = 4096
 # Bits of the address of the first look-up, by which most windows end.
 _FILTER_BITS = 22
+# Windows whose items a task remembers.
+_REMEMBERED = 1 << 16
+
+# Of each piece: its item, the number of words in a window, its words with one space between,
+# and the hash (8 bytes) and first byte (4 bytes) of each window.
+PIECES = StructType(
+    [
+        StructField("item", StringType()),
+        StructField("size", IntegerType()),
+        StructField("words", BinaryType()),
+        StructField("hashes", BinaryType()),
+        StructField("places", BinaryType()),
+    ]
+)
 
 
+def pieces(benchmark: DataFrame, n: int) -> DataFrame:
+    """The windows of the benchmark's items, in pieces as in PIECES."""
+    item = F.coalesce(F.col("item_id").cast("string"), F.lit("null"))
+    items = benchmark.select(item.alias("item"), F.col("text").cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in text_slices(batches, 1):
+            found = W.scan(data, offsets)
+            n_words = np.diff(found.first)
+            for size in np.unique(np.minimum(n_words[n_words > 0], n)).tolist():
+                hashes, at = W.windows(found, size)
+                text = found.text[at]
+                fits = np.minimum(n_words[text], n) == size
+                hashes, at, text = hashes[fits], at[fits], text[fits]
+                edges = np.flatnonzero(np.diff(text, prepend=-1, append=-1))
+                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                    name = rows.column(0)[int(text[a])].as_py()
+                    for c in range(a, b, PIECE):
+                        d = min(c + PIECE, b)
+                        yield _piece(found, name, size, hashes[c:d], int(at[c]))
+
+    return map_batches(items.filter(F.col("text").isNotNull()), run, PIECES)
+
+
+def _piece(found: W.Words, item: str, size: int, hashes: np.ndarray, first: int) -> pa.RecordBatch:
+    last = first + len(hashes) + size - 1
+    length = found.end[first:last] - found.start[first:last]
+    places = (np.cumsum(length + 1) - length - 1)[: len(hashes)].astype("<i4")
+    values = (item, size, found.joined(first, last), hashes.astype("<u8").tobytes(), places.tobytes())
+    kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    columns = [pa.array([v], k) for v, k in zip(values, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=PIECES.names)
+
+
+@dataclass
 class Grams:
-    """Hash set of benchmark windows by length, with the items that have them."""
-
-    def __init__(self, n: int):
-        self.n = n
-        self.items: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
-        self.hashes: dict[int, np.ndarray] = {}
-
-    def add(self, item: str, text: str) -> None:
-        raw = np.frombuffer(text.encode(), dtype=np.uint8)
-        found = W.scan(raw, np.array([0, len(raw)]))
-        size = min(self.n, len(found.hash))
-        if size:
-            hashes, at = W.windows(found, size)
-            for first in at:
-                self.items[size][found.joined(first, first + size)].add(item)
-            self.hashes[size] = np.append(self.hashes.get(size, np.zeros(0, np.uint64)), hashes)
-
-    def closed(self) -> Grams:
-        self.hashes = {size: np.unique(h) for size, h in self.hashes.items()}
-        self.items = {size: dict(by) for size, by in self.items.items()}
-        return self
-
-
-def _slices(benchmark: DataFrame, n: int, limit: int) -> Iterator[Grams]:
-    """The benchmark's windows, as many at a time as come from ``limit`` bytes of text."""
-    grams, size = Grams(n), 0
-    items = benchmark.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("null")), F.col("text").cast("string")
-    )
-    for item, text in items.filter(F.col("text").isNotNull()).toLocalIterator():
-        if size and size + len(text) > limit:
-            yield grams.closed()
-            grams, size = Grams(n), 0
-        grams.add(item, text)
-        size += len(text)
-    yield grams.closed()
+    """Hash set of benchmark windows by their number of words, and where each one stands."""
+
+    item: list[str] = field(default_factory=list)
+    words: list[bytes] = field(default_factory=list)
+    # Sorted hashes, and the piece and place of the window of each.
+    by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+
+    @staticmethod
+    def of(table: pa.Table) -> Grams:
+        grams = Grams(table["item"].to_pylist(), table["words"].to_pylist())
+        sizes = np.array(table["size"].to_pylist(), dtype=np.int64)
+        for size in np.unique(sizes).tolist():
+            rows = np.flatnonzero(sizes == size)
+            hashes, places = (
+                [np.frombuffer(table[name][int(r)].as_py(), dtype=kind) for r in rows]
+                for name, kind in (("hashes", "<u8"), ("places", "<i4"))
+            )
+            piece = np.repeat(rows.astype(np.int32), [len(h) for h in hashes])
+            hashes = np.concatenate(hashes)
+            order = np.argsort(hashes, kind="stable")
+            grams.by_size[size] = hashes[order], piece[order], np.concatenate(places)[order]
+        return grams
+
+    def having(self, size: int, hash_: np.uint64, window: bytes) -> frozenset[str]:
+        """The items that have the window, compared word by word."""
+        hashes, piece, place = self.by_size[size]
+        found = set()
+        for k in range(*(int(np.searchsorted(hashes, hash_, side=s)) for s in ("left", "right"))):
+            words, a = self.words[piece[k]], int(place[k])
+            b = a + len(window)
+            if words[a:b] == window and words[b : b + 1] in (b"", b" "):
+                found.add(self.item[piece[k]])
+        return frozenset(found)
+
+
+def _slices(found: DataFrame, limit: int) -> Iterator[Grams]:
+    """The written pieces, about ``limit`` bytes at a time; at least one slice."""
+    size = sum((F.octet_length(c) for c in ("item", "words", "hashes", "places")), F.lit(0))
+    rows, total = found.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    n = max(1, min(rows, -(-total // limit)))
+    turn = F.pmod(F.xxhash64("item", "words"), F.lit(n))
+    for k in range(n):
+        grams = Grams.of(found.filter(turn == k).toArrow())
+        # Slices that got no piece cost no pass.
+        if grams.by_size or n == 1:
+            yield grams
 
 
 def _scanner(grams: Grams):
     """Function of a slice: words of each text, first and last words of hits, items."""
     bits = np.uint64(64 - _FILTER_BITS)
     filters = {}
-    for size, hashes in grams.hashes.items():
+    for size, (hashes, _, _) in grams.by_size.items():
         filters[size] = np.zeros(1 << _FILTER_BITS, dtype=bool)
         filters[size][hashes >> bits] = True
+    having = lru_cache(_REMEMBERED)(grams.having)
 
     def scan(data: np.ndarray, offsets: np.ndarray):
         found = W.scan(data, offsets)
         hits: list[list[int]] = [[] for _ in offsets[1:]]
         items: list[set[str]] = [set() for _ in offsets[1:]]
-        for size, hashes in grams.hashes.items():
+        for size, (hashes, _, _) in grams.by_size.items():
             window, at = W.windows(found, size)
             maybe = np.flatnonzero(filters[size][window >> bits])
-            maybe = maybe[np.isin(window[maybe], hashes)]
-            for first in at[maybe].tolist():
-                having = grams.items[size].get(found.joined(first, first + size))
-                if having:
+            place = np.minimum(np.searchsorted(hashes, window[maybe]), len(hashes) - 1)
+            maybe = maybe[hashes[place] == window[maybe]]
+            for first, hash_ in zip(at[maybe].tolist(), window[maybe], strict=True):
+                if own := having(size, hash_, found.joined(first, first + size)):
                     text = int(found.text[first])
                     hits[text] += (first, first + size)
-                    items[text] |= having
+                    items[text] |= own
         return found, hits, items
 
     return scan
@@ -118,8 +193,8 @@ FIELDS = (
 )
 
 
-def _one_pass(documents: DataFrame, text: str, names: list[str], grams: Grams) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(grams)
+def _one_pass(documents: DataFrame, text: str, names: list[str], shared) -> DataFrame:
+    """The documents with what the broadcast windows hit."""
 
     def make():
         scan = _scanner(shared.value)
@@ -154,29 +229,40 @@ def scan(
 ) -> tuple[DataFrame, list[str]]:
     """The documents with the columns of FIELDS, under free names, which come second.
 
-    Each of several slices of the benchmark adds its own hits to those found before.
+    Each of several slices of the benchmark adds its own hits to those found before, which
+    wait in the shared folder.
     """
     names: list[str] = []
     for name, _ in FIELDS:
         names.append(free_name([*documents.columns, *names], name))
-    out = None
-    for grams in _slices(benchmark, n, slice_text):
+    spark = documents.sparkSession
+    windows = staged(pieces(benchmark, n), "benchmark-windows")
+    out = shared = None
+    for grams in _slices(windows, slice_text):
         if out is None:
-            out = _one_pass(documents, text, names, grams)
+            shared = spark.sparkContext.broadcast(grams)
+            out = _one_pass(documents, text, names, shared)
             continue
-        fresh: list[str] = []
-        for name in names:
-            fresh.append(free_name([*out.columns, *fresh], name))
-        more = _one_pass(out, text, fresh, grams)
-        for old, new in zip(names[1:3], fresh[1:3], strict=True):
-            more = more.withColumn(old, _union(F.col(f"`{old}`"), F.col(f"`{new}`")))
-        more = more.withColumn(
-            names[3], F.array_sort(F.array_union(f"`{names[3]}`", f"`{fresh[3]}`"))
-        )
-        out = more.drop(*fresh)
+        before = staged(out, "decontaminate")
+        shared.destroy()
+        shared = spark.sparkContext.broadcast(grams)
+        out = _further(before, text, names, shared)
+    discard(windows)
     return out, names
 
 
+def _further(before: DataFrame, text: str, names: list[str], shared) -> DataFrame:
+    """One pass more, its hits united with those of the passes before."""
+    fresh: list[str] = []
+    for name in names:
+        fresh.append(free_name([*before.columns, *fresh], name))
+    out = _one_pass(before, text, fresh, shared)
+    for old, new in zip(names[1:3], fresh[1:3], strict=True):
+        out = out.withColumn(old, _union(F.col(f"`{old}`"), F.col(f"`{new}`")))
+    items = F.array_sort(F.array_union(f"`{names[3]}`", f"`{fresh[3]}`"))
+    return out.withColumn(names[3], items).drop(*fresh)
+
+
 def _union(one, other):
     """Ranges as flat arrays, united; ranges that touch or overlap become one."""
     pairs = lambda x: F.transform(

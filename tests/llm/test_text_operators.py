@@ -144,6 +144,23 @@ def test_hits_by_brute_force(spark, slice_text):
     assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("slice_text", [20_000, 10**8])
+def test_items_of_several_pieces_are_hit_across_their_edges(spark, slice_text):
+    edge = decontaminate.PIECE
+    words = [f"w{i}" for i in range(2 * edge + 50)]
+    items = [(1, " ".join(words)), (2, " ".join(words[edge - 4 : edge + 30])), (3, "Same " * (edge + 20))]
+    docs = [(k, "; ".join(words[k : k + 12])) for k in range(edge - 12, edge + 3)]
+    docs += [(-1, " ".join(words[2 * edge + 30 :])), (-2, "same " * 30), (-3, "w1 w3 " * 9)]
+    found, names = decontaminate.scan(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+        slice_text=slice_text,
+    )
+    found = found.select("doc_id", names[0], decontaminate.n_hit(F.col(names[1])), names[3])
+    expected = [x[:4] for x in plain_hits(docs, items)]
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted(expected, key=repr)
+
+
 def test_op5(spark, texts):
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     expected = [
