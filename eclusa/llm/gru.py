@@ -1,7 +1,8 @@
 """Bidirectional gated recurrent network with attention pooling, in numpy.
 
 The input of a step is a word: its own vector, if the training rows had it often enough,
-and the mean of the vectors of its characters' trigrams. Two gated recurrent layers read a
+and the mean of the vectors of its characters' trigrams. Word vectors begin at zero, so
+that all that the network knows of a word comes from its own gradients. Two gated recurrent layers read a
 window forwards and backwards; attention weighs the steps; a linear layer gives the logit.
 
 Attention scores and outputs are linear in the two directions' states, so scoring keeps
@@ -14,16 +15,20 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 
+from eclusa.llm import words as W
+
 # Sizes of vectors and states, rows of the trigram table, words with a vector of their own.
 WORD, CHARS, HIDDEN = 8, 8, 8
 TRIGRAMS = 1 << 13
 VOCABULARY = 50_000
 # Words of a window, and words from one window's start to the next's.
 WINDOW, STRIDE = 32, 16
-# Passes of training over the chosen windows, each of about so many steps of a batch.
-EPOCHS, STEPS, BATCH = 5, 16, 128
-# Pull of word and trigram vectors towards what they began with.
-PULL = 3e-2
+# Passes of training; in each, windows of negative texts for every one of a positive text.
+PASSES, NEGATIVES, BATCH = 3, 3, 128
+# Steps of layers, and of word and trigram vectors.
+RATE, TABLE_RATE = 0.01, 0.1
+# Pull of word and trigram vectors towards zero.
+PULL = 1e-4
 # Words whose inputs a task remembers, a power of two.
 REMEMBERED = 1 << 17
 
@@ -55,31 +60,27 @@ class Net:
 
     words: np.ndarray
     p: dict[str, np.ndarray] = field(default_factory=dict)
-    # The word vectors that training began with.
-    word: np.ndarray | None = None
     # Of the logistic map from a text's greatest logit to its score.
     slope: float = 1.0
     shift: float = 0.0
     empty: float = 0.0
 
     @staticmethod
-    def fresh(words: np.ndarray, evidence: np.ndarray, seed: int = 7) -> Net:
-        """A network whose word vectors begin with the words' evidence for the class."""
+    def fresh(words: np.ndarray, seed: int = 7) -> Net:
         r = np.random.default_rng(seed)
         d = WORD + CHARS
         p = {
-            "word": r.normal(0, 0.05, (len(words) + 1, WORD)),
+            "word": np.zeros((len(words) + 1, WORD)),
             "char": r.normal(0, 0.05, (TRIGRAMS, CHARS)),
             "out": r.normal(0, 0.3, 2 * HIDDEN),
             "look": r.normal(0, 0.3, 2 * HIDDEN),
             "bias": np.zeros(1),
         }
-        p["word"][1:, 0] = evidence
         for side in "fb":
             p["W" + side] = r.normal(0, 0.4, (d, 3 * HIDDEN))
             p["U" + side] = r.normal(0, 0.3, (HIDDEN, 3 * HIDDEN))
             p["B" + side] = np.zeros(3 * HIDDEN)
-        return Net(words, p, p["word"].copy())
+        return Net(words, p)
 
     def word_ids(self, hashes: np.ndarray) -> np.ndarray:
         """Row of each word's own vector; 0 for all words without one."""
@@ -241,33 +242,35 @@ def gradients(net: Net, x: np.ndarray, mask: np.ndarray, y: np.ndarray, weight:
 
 
 class Adam:
-    def __init__(self, rate: float):
-        self.rate, self.t, self.m, self.v = rate, 0, {}, {}
+    """Adam for the layers; a table's vectors share one scale, that of its steepest slopes.
+
+    With a scale of its own a rare word would move as far as one that many positive windows
+    have, and the network would learn its training texts by heart.
+    """
+
+    def __init__(self, rate: float, table_rate: float):
+        self.rate, self.table_rate, self.t, self.m, self.v = rate, table_rate, 0, {}, {}
 
     def step(self, p: dict[str, np.ndarray], grads: dict[str, np.ndarray]) -> None:
         self.t += 1
         for k, g in grads.items():
-            m = self.m[k] = 0.9 * self.m.get(k, 0.0) + 0.1 * g
-            v = self.v[k] = 0.99 * self.v.get(k, 0.0) + 0.01 * g * g
-            p[k] -= self.rate * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.99**self.t)) + 1e-8)
-
-
-def evidence(words, y: np.ndarray, most: int = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words in two texts or more (the commonest, if too many), and a score each.
-
-    The score is by how many standard deviations more positive texts have the word than by
-    chance; up to three say nothing, and the score is cut to [-2, 6].
-    """
+            table = k in ("word", "char")
+            m = g if table else 0.9 * self.m.get(k, 0.0) + 0.1 * g
+            v = self.v[k] = 0.99 * self.v.get(k, 0.0) + 0.01 * ((g * g).max() if table else g * g)
+            scale = np.sqrt(v / (1 - 0.99**self.t)) + 1e-8
+            if table:
+                p[k] -= self.table_rate * m / scale
+            else:
+                self.m[k] = m
+                p[k] -= self.rate * m / (1 - 0.9**self.t) / scale
+
+
+def vocabulary(words, most: int = VOCABULARY) -> np.ndarray:
+    """Sorted hashes of the words in two texts or more (the commonest, if too many)."""
     both = np.unique(np.stack([words.text.astype(np.uint64), words.hash], axis=1), axis=0)
-    unique, row = np.unique(both[:, 1], return_inverse=True)
-    n = np.bincount(row)
-    pos = np.bincount(row, weights=y[both[:, 0].astype(np.int64)])
+    unique, n = np.unique(both[:, 1], return_counts=True)
     kept = np.flatnonzero(n >= 2)
-    kept = np.sort(kept[np.argsort(-n[kept], kind="stable")[:most]])
-    share = y.mean() if len(y) else 0.0
-    z = (pos - n * share) / np.sqrt(n * share * (1 - share) + 1)
-    z = z[kept]
-    return unique[kept], np.clip(np.sign(z) * np.maximum(np.abs(z) - 3, 0) / 3, -2, 6)
+    return unique[np.sort(kept[np.argsort(-n[kept], kind="stable")[:most]])]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -298,20 +301,32 @@ def taken(words, texts: np.ndarray):
     )
 
 
-def fit(words, y: np.ndarray, folds: int = 4) -> Net:
-    """A network trained on all texts, whose chances come from texts that weren't learned from.
+def folds_of(words, folds: int) -> np.ndarray:
+    """Fold of each text, by the smallest hash of its five-word windows: near copies share it."""
+    least = np.full(len(words.first) - 1, np.iinfo(np.uint64).max, dtype=np.uint64)
+    # Texts of fewer words go by their smallest word.
+    for hashes, at in ((words.hash, np.arange(len(words.hash))), W.windows(words, 5)):
+        own = np.full_like(least, np.iinfo(np.uint64).max)
+        np.minimum.at(own, words.text[at], hashes)
+        least = np.where(own < np.iinfo(np.uint64).max, own, least)
+    return (least % np.uint64(folds)).astype(np.int64)
 
-    Each fold's texts get their logits from a network trained on the others; the logistic map
-    from logit to chance is fitted to all of these.
+
+def fold_logits(words, y: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Greatest logits of the texts ``own`` by a network trained on the others.
+
+    They are not a number for texts without words, and if the others have one class only.
     """
-    net = train(words, y)
-    fold = np.arange(len(y)) % folds
-    logits, seen = np.zeros(len(y)), np.zeros(len(y), dtype=bool)
-    for k in range(folds):
-        rest, own = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-        if not 0 < y[rest].sum() < len(rest):
-            return net
-        logits[own], seen[own] = greatest(train(taken(words, rest), y[rest]), taken(words, own))
+    rest = np.flatnonzero(~own)
+    if not 0 < y[rest].sum() < len(rest):
+        return np.full(int(own.sum()), np.nan)
+    top, has = greatest(train(taken(words, rest), y[rest]), taken(words, np.flatnonzero(own)))
+    return np.where(has, top, np.nan)
+
+
+def calibrated(net: Net, logits: np.ndarray, y: np.ndarray) -> Net:
+    """The network with the logistic map from logits of texts it hasn't learned from to chances."""
+    seen = np.isfinite(logits)
     if 0 < y[seen].sum() < seen.sum():
         net.slope, net.shift = _logistic(logits[seen], y[seen].astype(float))
         net.empty = float(sigmoid(np.array(net.slope * logits[seen].min() + net.shift)))
@@ -326,47 +341,38 @@ def greatest(net: Net, words) -> tuple[np.ndarray, np.ndarray]:
     return np.where(np.isfinite(top), top, 0), np.isfinite(top)
 
 
-def train(words, y: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Net:
-    """Train on texts' labels: a positive text has a positive window, a negative text none.
+def train(words, y: np.ndarray, passes: int = PASSES, seed: int = 7) -> Net:
+    """Train on windows, each with its text's label.
 
-    In each epoch a positive text stands in with its best window by the network so far, a
-    negative one with its best and a random one.
+    A pass takes all windows of positive texts, and of those of negative ones a fresh random
+    choice NEGATIVES times as large. Most windows of a positive text are like those of
+    negative texts; what only positive texts have is left to tell them apart.
     """
     r = np.random.default_rng(seed)
     share = float(y.mean()) if len(y) else 0.0
-    net = Net.fresh(*evidence(words, y), seed)
+    net = Net.fresh(vocabulary(words), seed)
     net.empty = share * 0.5
-    if not 0 < share < 1 or not len(words.hash):
+    n_words = np.diff(words.first)
+    text, first = window_starts(n_words)
+    of_class = [np.flatnonzero(y[text] == k) for k in (0, 1)]
+    if not all(len(x) for x in of_class):
         net.p["out"][:] = 0
         net.slope, net.shift = 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))
         return net
-    n_words = np.diff(words.first)
-    text, first = window_starts(n_words)
     begin = words.first[text] + first
     size = np.minimum(n_words[text] - first, WINDOW)
     ids = net.word_ids(words.hash)
-    # Before the first epoch a window is as good as its strongest word.
-    strength = np.append(0, net.p["word"][1:, 0])[ids]
-    value = np.array([strength[b : b + s].max() for b, s in zip(begin, size, strict=True)])
-    optimiser = Adam(0.01)
-    for epoch in range(epochs):
-        order = np.lexsort((-value, text))
-        lead = np.ones(len(order), dtype=bool)
-        lead[1:] = text[order][1:] != text[order][:-1]
-        best = order[lead]
-        chance = r.integers(0, len(text), len(best))
-        chance = chance[y[text[chance]] == 0]
-        chosen = np.concatenate([best, chance])
+    optimiser = Adam(RATE, TABLE_RATE)
+    negative, positive = of_class
+    for _ in range(passes):
+        n = min(len(negative), NEGATIVES * len(positive))
+        chosen = r.permutation(np.concatenate([positive, r.choice(negative, n, replace=False)]))
         target = y[text[chosen]].astype(float)
         # Both classes weigh the same, whatever their shares.
-        weight = np.where(target > 0, 0.5 / max(target.mean(), 1e-6), 0.5 / max(1 - target.mean(), 1e-6))
-        rounds = max(1, -(-STEPS * BATCH // len(chosen)))
-        for _ in range(rounds):
-            mixed = r.permutation(len(chosen))
-            for a in range(0, len(mixed), BATCH):
-                part = mixed[a : a + BATCH]
-                _learn(net, optimiser, words, ids, begin[chosen[part]], size[chosen[part]], target[part], weight[part])
-        value = Scorer(net).windows(words)[2]
+        weight = np.where(target > 0, 0.5 / target.mean(), 0.5 / (1 - target.mean()))
+        for a in range(0, len(chosen), BATCH):
+            part, which = slice(a, a + BATCH), chosen[a : a + BATCH]
+            _learn(net, optimiser, words, ids, begin[which], size[which], target[part], weight[part])
     top, has = greatest(net, words)
     net.slope, net.shift = _logistic(top[has], y[has].astype(float))
     net.empty = float(sigmoid(np.array(net.slope * np.min(top[has]) + net.shift)))
@@ -384,7 +390,7 @@ def _learn(net, optimiser, words, ids, begin, size, target, weight) -> None:
     _, grads, d_x = gradients(net, x, mask, target, weight)
     d_used = np.zeros((len(used), WORD + CHARS))
     np.add.at(d_used, row.ravel(), d_x.reshape(-1, WORD + CHARS))
-    grads["word"] = PULL * (net.p["word"] - net.word)
+    grads["word"] = PULL * net.p["word"]
     np.add.at(grads["word"], ids[used], d_used[:, :WORD])
     # Words without a vector of their own share row 0, which stays as it is.
     grads["word"][0] = 0

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from eclusa.llm import gru, neardup, quality, sharding, topk, toxicity
 from eclusa.llm import words as W
+from eclusa.llm.frames import held_out
 from eclusa.llm.queries import QUERIES
 from tests.llm.fixtures import TEXTS, clashing, documents, empty, rows
 
@@ -309,7 +310,7 @@ def test_held_out_rows(spark, name, label, least):
 
 def test_gradients_equal_differences():
     r = np.random.default_rng(0)
-    net = gru.Net.fresh(np.zeros(0, dtype=np.uint64), np.zeros(0))
+    net = gru.Net.fresh(np.zeros(0, dtype=np.uint64))
     x, y, weight = r.normal(size=(5, 4, gru.WORD + gru.CHARS)), np.array([1, 0, 1, 0.0]), np.array([1, 2, 1, 1.0])
     mask = np.arange(5)[:, None] < np.array([5, 3, 2, 1])
     _, grads, _ = gru.gradients(net, x, mask, y, weight)
@@ -323,6 +324,71 @@ def test_gradients_equal_differences():
         assert abs((loss[0] - loss[1]) / 2e-5 - slope[at]) < 1e-6
 
 
+def some_words(seed, sizes, kinds=400):
+    r = np.random.default_rng(seed)
+    texts = [" ".join(f"w{k}" for k in r.integers(0, kinds, n)) for n in sizes]
+    return W.scan(*toxicity.joined(texts))
+
+
+def test_scorer_equals_the_forward_pass_of_training():
+    r = np.random.default_rng(2)
+    words = some_words(1, [0, 1, 5, 31, 32, 33, 80, 200])
+    net = gru.Net.fresh(gru.vocabulary(words))
+    net.p["word"] += r.normal(0, 0.5, net.p["word"].shape)
+    text, begin, logits = gru.Scorer(net).windows(words)
+    x = net.inputs(words.hash, words.lowered, words.start, words.end)
+    best = np.full(8, -np.inf)
+    for t, b, logit in zip(text, begin, logits, strict=True):
+        # One window at a time, in double precision.
+        n = min(gru.WINDOW, words.first[t + 1] - b)
+        one, mask = x[b : b + n, None, :], np.ones((n, 1), dtype=bool)
+        states = np.concatenate([gru._forward(net, side, one, mask)[0] for side in "fb"], axis=2)[:, 0]
+        weight = np.exp(states @ net.p["look"])
+        plain = (weight * (states @ net.p["out"])).sum() / weight.sum() + net.p["bias"][0]
+        assert abs(plain - logit) < 1e-4
+        loss, _, _ = gru.gradients(net, one, mask, np.array([1.0]), np.array([1.0]))
+        assert abs(np.logaddexp(0, plain) - plain - loss) < 1e-9
+        best[t] = max(best[t], plain)
+    top, has = gru.greatest(net, words)
+    assert has.tolist() == [False] + [True] * 7 and np.allclose(top[1:], best[1:], atol=1e-4)
+
+
+def test_near_copies_share_a_fold():
+    r = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in r.integers(0, 5000, 400)) for _ in range(200)]
+    copies = [t + " and an end" for t in texts]
+    fold = gru.folds_of(W.scan(*toxicity.joined(texts + copies + ["", "one two", "one two"])), 4)
+    assert (fold[:200] == fold[200:400]).mean() > 0.95 and fold[-1] == fold[-2]
+    assert set(fold) == {0, 1, 2, 3}
+
+
+def test_a_large_sample_beats_its_best_word(spark):
+    """The network is told no word; it ranks held-out texts better than any list of words."""
+    sf = SF.replace("sf0.01", "sf0.1")
+    documents, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    texts, y = toxicity.labelled(documents, labels, "toxic")
+    net = toxicity.trained(spark, texts, y)
+    own = labels.filter(held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).join(documents, "doc_id")
+    got = own.select("text", "toxic").toArrow()
+    held = W.scan(*toxicity.joined([t or "" for t in got["text"].to_pylist()]))
+    mark = np.array(got["toxic"].to_pylist())
+    words = W.scan(*toxicity.joined(texts))
+
+    # Each word's excess of positive texts in standard deviations; a text has its greatest.
+    both = np.unique(np.stack([words.text.astype(np.uint64), words.hash], axis=1), axis=0)
+    unique, row = np.unique(both[:, 1], return_inverse=True)
+    n, share = np.bincount(row), y.mean()
+    z = (np.bincount(row, weights=y[both[:, 0].astype(int)]) - n * share) / np.sqrt(n * share * (1 - share) + 1)
+    at = np.minimum(np.searchsorted(unique, held.hash), len(unique) - 1)
+    best = np.zeros(len(mark))
+    np.maximum.at(best, held.text, np.where(unique[at] == held.hash, z[at], 0))
+
+    score = gru.Scorer(net).texts(held)
+    assert area(score, mark) > max(area(best, mark), 0.96)
+    # Chances mean what they say.
+    assert abs(score.mean() - mark.mean()) < 0.04
+
+
 def test_windows_overlap_and_cover_every_word():
     n = np.array([0, 1, 31, 32, 33, 48, 49, 100])
     text, first = gru.window_starts(n)
