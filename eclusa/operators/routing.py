@@ -21,6 +21,10 @@ INLINE_PREFIXES = 256
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Bytes that a broadcast row needs beyond its text.
 ROW_OVERHEAD = 128
+# Beyond, a Bloom filter of their pieces is broadcast: bits of it for each prefix, bytes at most.
+FILTER_BITS, FILTER_BYTES = 32, 32 * 1024 * 1024
+# Bits of one of the filter's blocks (a power of two), and how many of them a piece sets.
+BLOCK_BITS, SPOTS = 8192, 4
 
 _ROUTE = "dataset_id: string, prefixo: string"
 _LAST = 2**31 - 1
@@ -50,9 +54,10 @@ def route(
         if routes and routes[-1][0] == "":
             routed = routed.withColumn("_destino", F.coalesce("_destino", _catch_all(key, routes[-1][1])))
     else:
-        found = control.filter(F.col("prefixo") != "").select(_power("prefixo")).distinct().collect()
-        sizes = sorted(r[0] for r in found)
-        routed = _by_pieces(arrivals, _index(control), sizes, key, size <= broadcast_bytes)
+        prefixes = control.filter(F.col("prefixo") != "")
+        found = {r[0]: r[1] for r in prefixes.groupBy(_power("prefixo")).count().collect()}
+        small = size <= broadcast_bytes
+        routed = _by_pieces(arrivals, _index(control), sorted(found), key, small, sum(found.values()))
         blank = control.filter(F.col("prefixo") == "").orderBy("ordem").head()
         if blank is not None:
             every = _catch_all(key, blank["dataset_id"], blank["ordem"])
@@ -157,38 +162,80 @@ def _pieces(rows: DataFrame, sizes: list[int]) -> DataFrame:
     )
 
 
-def _found() -> Column:
+def _found(piece: Column, raw: Column) -> Column:
     """The prefix of the row that shares a piece stands in the key, where the piece says."""
     start = F.col("_at") - F.col("back")
     return (
-        (F.col("piece") == _piece(F.col("_bytes"), F.col("_at"), F.col("_size")))
+        (F.col("piece") == piece)
         & (start >= 1)
-        & (F.substring("_bytes", start, F.octet_length("prefix")) == F.col("prefix"))
+        & (F.substring(raw, start, F.octet_length("prefix")) == F.col("prefix"))
     )
 
 
+def _spots(piece: Column) -> list[Column]:
+    """The bits that a piece sets in its block."""
+    other, width = F.xxhash64(piece, F.lit(1)), BLOCK_BITS.bit_length() - 1
+    return [
+        F.shiftrightunsigned(other, width * i).bitwiseAND(BLOCK_BITS - 1).cast("int") for i in range(SPOTS)
+    ]
+
+
+def _filter(index: DataFrame, blocks: int) -> DataFrame:
+    """A Bloom filter of the index's pieces: ``block`` and its bits, as ``words`` of 64."""
+    block = F.pmod("piece", F.lit(blocks)).alias("block")
+    bits = index.select(block, F.explode(F.array(*_spots(F.col("piece")))).alias("spot"))
+    words = bits.groupBy("block", F.shiftright("spot", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, spot & 63))").alias("bits")
+    )
+    each = words.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("of"))
+    places = F.sequence(F.lit(0), F.lit(BLOCK_BITS // 64 - 1))
+    dense = F.transform(places, lambda w: F.coalesce(F.try_element_at("of", w), F.lit(0).cast("bigint")))
+    return each.select("block", dense.alias("words"))
+
+
+def _likely(pieces: DataFrame, index: DataFrame, prefixes: int) -> DataFrame:
+    """The pieces, by their hash ``_piece``, that the index can have; few that it hasn't.
+
+    The filter grows with the number of prefixes up to FILTER_BYTES; beyond, it lets more
+    through, but never loses a piece of the index.
+    """
+    blocks = min(-(-prefixes * FILTER_BITS // BLOCK_BITS), FILTER_BYTES * 8 // BLOCK_BITS) or 1
+    there = F.pmod("_piece", F.lit(blocks)) == F.col("block")
+    for spot in _spots(F.col("_piece")):
+        there &= F.getbit(F.get("words", F.shiftright(spot, 6)), spot.bitwiseAND(63)) == 1
+    return pieces.join(F.broadcast(_filter(index, blocks)), there, "left_semi")
+
+
 def _by_pieces(
-    arrivals: DataFrame, index: DataFrame, sizes: list[int], key: str, small: bool
+    arrivals: DataFrame, index: DataFrame, sizes: list[int], key: str, small: bool, prefixes: int = 0
 ) -> DataFrame:
     """``arrivals`` with ``_destino``, the first control row whose prefix stands in the key.
 
     The keys' pieces are joined with the prefixes' by equality, and a hit is checked where
     it stands. A small index is broadcast: the arrivals are read once and dealt evenly
     before their pieces are made, so that an arrival's hits meet without another shuffle.
-    Otherwise each distinct key is searched once, and AQE splits a piece or key that dominates.
+    Otherwise each distinct key is searched once: its pieces that pass a filter of the index's
+    are shuffled to it, and AQE splits a piece or key that dominates.
     """
     raw = named(key).cast("binary").alias("_bytes")
+    piece = _piece(F.col("_bytes"), F.col("_at"), F.col("_size"))
     whole = F.struct(*[named(c) for c in arrivals.columns]).alias("_linha")
     if small:
         numbered = arrivals.select(F.monotonically_increasing_id().alias("_numero"), whole, raw)
-        joined = _pieces(numbered.repartition("_numero"), sizes).join(F.broadcast(index), _found(), "left")
+        joined = _pieces(numbered.repartition("_numero"), sizes).join(
+            F.broadcast(index), _found(piece, F.col("_bytes")), "left"
+        )
         first = F.col("_at").isNull() | ((F.col("_at") == 1) & (F.col("_size") == (sizes or [0])[0]))
         hits = joined.filter(F.col("destino").isNotNull() | first)
         routed = hits.groupBy("_numero").agg(F.first("_linha").alias("_linha"), F.min("destino").alias("_destino"))
         return routed.select("_linha.*", "_destino")
     # Spark takes the pieces for as few as the keys, and might broadcast those.
-    keys = arrivals.select(named(key).alias("_key"), raw).filter("_key is not null").distinct()
-    joined = _pieces(keys, sizes).join(index.hint("merge"), _found())
+    keys = arrivals.select(named(key).alias("_key")).filter("_key is not null").distinct()
+    pieces = _pieces(keys.withColumn("_bytes", F.col("_key").cast("binary")), sizes).withColumn("_piece", piece)
+    likely = _likely(pieces, index, prefixes).drop("_piece", "_bytes")
+    again = F.col("_key").cast("binary")
+    on = _found(_piece(again, F.col("_at"), F.col("_size")), again)
+    joined = likely.join(index.hint("merge"), on)
     found = joined.groupBy("_key").agg(F.min("destino").alias("_destino"))
     return arrivals.join(found, named(key) == F.col("_key"), "left").drop("_key")
 

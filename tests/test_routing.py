@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from eclusa.operators import routing
 from eclusa.operators.routing import route
@@ -94,3 +95,31 @@ def test_prefixes_that_begin_or_end_alike(spark):
     for index in (routing._index(control), routing._collected_index(spark, [(p, "d") for p in prefixes])):
         most = index.groupBy("size", "piece").count().agg({"count": "max"}).head()[0]
         assert index.count() == 600 and most <= 1
+
+
+def test_large_control_shuffles_few_pieces(spark, capsys):
+    days = [f"dt={y}-{m:02}-{d:02}/" for y in (2021, 2022) for m in range(1, 13) for d in range(1, 29)]
+    keys = [f"landing/{i % 5}-LOW/{days[i % 600]}{i}" for i in range(2000) if i % 600 < len(days)]
+    arrivals = spark.createDataFrame([(k, k.encode()) for k in keys], "_key string, _bytes binary")
+    index = routing._index(control_of(spark, days))
+    pieces = routing._pieces(arrivals, [8]).withColumn("_piece", routing._piece(F.col("_bytes"), F.col("_at"), F.lit(8)))
+    likely = routing._likely(pieces, index, len(days)).select("_key", "_piece").collect()
+    there = {r[0] for r in index.select("piece").collect()}
+    assert sum(r[1] in there for r in likely) == pieces.join(index, F.col("_piece") == F.col("piece"), "semi").count()
+    assert len({r[0] for r in likely if r[1] in there}) == len(keys)
+    assert len(likely) < 3 * len(keys) < pieces.count() / 8
+    route(arrivals.selectExpr("_key as key"), control_of(spark, days), "key", -1, -1, -1).explain()
+    plan = capsys.readouterr().out
+    assert plan.index("LeftSemi") > plan.index("SortMergeJoin [xxhash64(")
+
+
+@pytest.mark.parametrize("spans", [0, 1024])
+def test_a_full_filter_loses_nothing(spark, monkeypatch, spans):
+    monkeypatch.setattr(routing, "FILTER_BYTES", spans)
+    monkeypatch.setattr(routing, "FILTER_BITS", 1)
+    prefixes = [f"/{i:04}/" for i in range(3000)]
+    keys = [f"in/{i:04}/x" for i in range(4000)]
+    arrivals = spark.createDataFrame([(k,) for k in keys], "key string")
+    found = route(arrivals, control_of(spark, prefixes), inline=-1, collect_bytes=-1, broadcast_bytes=-1)
+    got = {r["key"]: r["dataset_id"] for r in found.collect()}
+    assert got == {k: f"d{i}" if i < 3000 else None for i, k in enumerate(keys)}
