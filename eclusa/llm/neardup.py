@@ -35,6 +35,7 @@ an empty one. Repeated rows are in one class. A null doc_id comes after all othe
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -390,6 +391,11 @@ def _linked(classes: DataFrame | None, links: DataFrame) -> DataFrame | None:
     return classes
 
 
+def _counts(rows: DataFrame, *which: Column) -> list[int]:
+    """Number of the rows that meet each condition."""
+    return list(rows.agg(*(F.count_if(c).alias(f"n{i}") for i, c in enumerate(which))).head())
+
+
 def _by_buckets(
     sketches: DataFrame, sets: DataFrame, rows: DataFrame, classes: DataFrame | None
 ) -> DataFrame | None:
@@ -397,14 +403,24 @@ def _by_buckets(
     large, crowd, crowded = F.col("n") > SMALL, F.col("m") > BLOCK, None
     for level in range(LEVELS):
         open_ = staged(_open_buckets(_with_class(rows, classes)), "dup-buckets")
-        pairs = _all_pairs(open_.filter(~large)).union(_stars(open_.filter(large & crowd))).distinct()
-        pairs = staged(pairs, "dup-pairs")
-        exact = _block_links(open_.filter(large & ~crowd).select("key", "node", "class"), sets)
-        classes = _linked(classes, verified(pairs, sets).union(exact))
+        few, some, many = _counts(open_, ~large, large & ~crowd, large & crowd)
+        if few + some + many == 0:
+            discard(open_)
+            break
+        # Steps that no bucket needs are left out: each of their stages would cost the driver memory.
+        pairs = [_all_pairs(open_.filter(~large))] if few else []
+        pairs += [_stars(open_.filter(large & crowd))] if many else []
+        pairs = [staged(reduce(DataFrame.union, pairs).distinct(), "dup-pairs")] if pairs else []
+        links = [verified(p, sets) for p in pairs]
+        links += [_block_links(open_.filter(large & ~crowd).select("key", "node", "class"), sets)] if some else []
+        classes = _linked(classes, reduce(DataFrame.union, links))
+        if not many:
+            discard(*pairs, open_)
+            break
         # The stars may have left few outside the largest class of a bucket.
         hot = open_.filter(large & crowd).drop("class", "n", "m", "leader", "last")
         hot = staged(_open_buckets(_with_class(hot, classes)), "dup-buckets")
-        discard(pairs, open_)
+        discard(*pairs, open_)
         if hot.isEmpty():
             break
         classes = _linked(classes, _block_links(hot.filter(~crowd).select("key", "node", "class"), sets))

@@ -212,6 +212,20 @@ def test_common_shingles_of_a_block(monkeypatch):
                 assert found[a, b] == len(np.intersect1d(own[a], own[b + 1]))
 
 
+def test_steps_that_no_bucket_needs_are_left_out(spark, monkeypatch):
+    """Each of their stages would cost the driver memory; there are no large buckets here."""
+
+    def needless(*_):
+        raise AssertionError("planned without need")
+
+    monkeypatch.setattr(neardup, "_block_links", needless)
+    monkeypatch.setattr(neardup, "_stars", needless)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(1, " ".join(words)), (2, " ".join([*words, "x"])), (3, "a b c d e f g"), (4, None)]
+    found = neardup.members(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(found.collect()) == [(1, 1, 2), (2, 1, 2), (3, 3, 1), (4, 4, 1)]
+
+
 @pytest.mark.parametrize("small, block", [(16, 512), (4, 8)])
 def test_classes_of_a_skewed_table(spark, monkeypatch, small, block):
     """A family of near copies, a passage in a third of all texts, copies: as by all pairs."""
