@@ -205,30 +205,39 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> Da
     return map_batches(pairs.join(left, "a").join(right, "b"), run, "a long, b long")
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether no larger end of the links has two smaller ones, or is a smaller one itself."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("b", F.lit(0), F.lit(1))
+    )
+    met = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return _counts(met, (F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))) == [0]
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``class``, the smallest node it is connected with, of all linked nodes.
 
-    Large stars and small stars by turns until the links stay as they are: each node is
+    Large stars and small stars by turns until the links are stars: each node is
     linked to the smallest of its neighbours, first from above, then from below.
     """
 
     def least(edges: DataFrame) -> DataFrame:
-        return edges.groupBy("a").agg(F.min("b").alias("m"))
+        # Merged: to broadcast what is shuffled already would take the driver a job and a copy more.
+        return edges.groupBy("a").agg(F.min("b").alias("m")).hint("merge")
 
-    def state(edges: DataFrame):
-        return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20)"))).first()
-
-    edges = staged(links.select("a", "b").filter("a <> b").distinct(), "dup-edges")
-    before = None
-    while (now := state(edges)) != before:
-        before = now
+    # Every link goes from the larger node down, here and after each round.
+    down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = staged(down.filter("a <> b").distinct(), "dup-edges")
+    while not _all_stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         stars = both.join(least(both), "a").filter("b > a")
-        large = stars.select(F.col("b").alias("a"), F.least("m", "a").alias("b")).distinct()
-        # Every link now goes from the larger node down; small stars join what hangs below one.
+        # At most one row of each link, so that equal ones may stay until the end of the round.
+        large = stars.select(F.col("b").alias("a"), F.least("m", "a").alias("b"))
+        # Small stars join what hangs below one node.
         down = least(large)
         small = large.join(down, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = staged(small.union(down.select("a", F.col("m").alias("b"))).distinct(), "dup-edges")
+        last, edges = edges, staged(small.union(down.select("a", F.col("m").alias("b"))).distinct(), "dup-edges")
+        discard(last)
     own = edges.select(F.col("b").alias("node"), F.col("b").alias("class")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("class")).union(own)
 
@@ -252,7 +261,7 @@ def _open_buckets(rows: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("first").alias("node"), "class")).alias("leader"),
         F.max(F.struct(F.col("final").alias("node"), "class")).alias("last"),
     )
-    return rows.join(counted.filter("m > 0"), "key")
+    return rows.join(counted.filter("m > 0").hint("merge"), "key")
 
 
 def _all_pairs(rows: DataFrame) -> DataFrame:
@@ -338,7 +347,7 @@ def _block_links(rows: DataFrame, sets: DataFrame, least: float = SIMILARITY) ->
         blocks(F.col("n") - F.col("top.n"), F.col("bytes") - F.col("top.bytes")).alias("lefts"),
         blocks(F.col("n"), F.col("bytes")).alias("rights"),
     )
-    met = rows.join(counted, "key")
+    met = rows.join(counted.hint("merge"), "key")
 
     def own(n: str) -> Column:
         return F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
@@ -421,13 +430,15 @@ def _by_buckets(
         hot = open_.filter(large & crowd).drop("class", "n", "m", "leader", "last")
         hot = staged(_open_buckets(_with_class(hot, classes)), "dup-buckets")
         discard(*pairs, open_)
-        if hot.isEmpty():
+        some, many = _counts(hot, ~crowd, crowd)
+        if some:
+            classes = _linked(classes, _block_links(hot.filter(~crowd).select("key", "node", "class"), sets))
+        if not many:
             break
-        classes = _linked(classes, _block_links(hot.filter(~crowd).select("key", "node", "class"), sets))
         hot = hot.filter(crowd).drop("class", "n", "m", "leader", "last")
         if crowded is None:
             crowded = hot.select("key", "node")
-        if level + 1 == LEVELS or hot.isEmpty():
+        if level + 1 == LEVELS:
             break
         rows = _finer(hot, sketches)
     if crowded is not None:

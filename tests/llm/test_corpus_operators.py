@@ -287,6 +287,44 @@ def test_components_of_a_long_chain(spark):
     assert found == {**dict.fromkeys(range(60), 0), 100: 100, 101: 100}
 
 
+def test_components_collect_nothing_and_stop_at_stars(spark, monkeypatch):
+    """Broadcasts and rounds that change nothing would cost the driver memory."""
+    plans, was = [], neardup.staged
+
+    def staged(df, label):
+        plans.append(df)
+        return was(df, label)
+
+    def plan(df):
+        df.foreach(lambda _: None)
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(neardup, "staged", staged)
+    monkeypatch.setattr(neardup, "discard", lambda *_: None)
+    stars = spark.createDataFrame([(5, 1), (1, 7), (5, 1), (9, 8), (4, 4)], "a long, b long")
+    found = sorted(map(tuple, neardup.components(stars).collect()))
+    assert found == [(1, 1), (5, 1), (7, 1), (8, 8), (9, 8)] and len(plans) == 1
+    chain = spark.createDataFrame([(1, 2), (2, 3), (4, 3), (6, 5)], "a long, b long")
+    found = sorted(map(tuple, neardup.components(chain).collect()))
+    assert found == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 5), (6, 5)] and len(plans) > 2
+    assert not any("Broadcast" in plan(df) for df in plans[2:])
+
+
+def test_what_finer_buckets_leave_is_asked_for_only_if_some_were_dealt(spark, monkeypatch):
+    """The first text and the last one of a crowded bucket link all others, so nothing is left."""
+    labels, was = [], neardup.staged
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "staged", lambda df, label: labels.append(label) or was(df, label))
+    own = np.sort(np.random.default_rng(8).integers(0, 2**63, 60).astype(np.uint64))
+    sets = spark.createDataFrame([(n, own.tobytes()) for n in range(40)], "node long, shingles binary")
+    bands = list(range(neardup.BANDS))
+    sketches = spark.createDataFrame([(n, bands) for n in range(40)], "node long, bands array<long>")
+    met = spark.createDataFrame([(n, 3, [3]) for n in range(40)], "node long, key long, used array<int>")
+    found = {r.node: r["class"] for r in neardup._classes(sketches, sets, met).collect()}
+    assert found == dict.fromkeys(range(40), 0)
+    assert "dup-left" not in labels and labels.count("dup-links") == 1
+
+
 def test_op4(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     found = QUERIES["op4_near_duplicates"](spark, "/root/testdata/sf0.001").select("doc_id", "class_id")
