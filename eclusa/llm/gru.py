@@ -31,6 +31,8 @@ RATE, TABLE_RATE = 0.01, 0.1
 PULL = 1e-4
 # Words whose inputs a task remembers, a power of two.
 REMEMBERED = 1 << 17
+# Words of the training texts that are scored at once, unless one text has more.
+SCORED = 1 << 17
 
 
 def window_starts(n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -267,8 +269,12 @@ class Adam:
 
 def vocabulary(words, most: int = VOCABULARY) -> np.ndarray:
     """Sorted hashes of the words in two texts or more (the commonest, if too many)."""
-    both = np.unique(np.stack([words.text.astype(np.uint64), words.hash], axis=1), axis=0)
-    unique, n = np.unique(both[:, 1], return_counts=True)
+    order = np.argsort(words.hash, kind="stable")
+    hashes, texts = words.hash[order], words.text[order]
+    # Words are in the order of their texts, so those of one text and hash are side by side.
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (texts[1:] != texts[:-1])
+    unique, n = np.unique(hashes[new], return_counts=True)
     kept = np.flatnonzero(n >= 2)
     return unique[np.sort(kept[np.argsort(-n[kept], kind="stable")[:most]])]
 
@@ -335,9 +341,23 @@ def calibrated(net: Net, logits: np.ndarray, y: np.ndarray) -> Net:
 
 def greatest(net: Net, words) -> tuple[np.ndarray, np.ndarray]:
     """Greatest window logit of each text, and whether it has a window."""
-    text, _, logits = Scorer(net).windows(words)
-    top = np.full(len(words.first) - 1, -np.inf)
-    np.maximum.at(top, text, logits)
+    scorer, first = Scorer(net), words.first
+    top = np.full(len(first) - 1, -np.inf)
+    a = 0
+    while a < len(top):
+        b = max(a + 1, int(np.searchsorted(first, first[a] + SCORED, side="right")) - 1)
+        at = slice(first[a], first[b])
+        part = replace(
+            words,
+            start=words.start[at],
+            end=words.end[at],
+            text=words.text[at] - a,
+            hash=words.hash[at],
+            first=first[a : b + 1] - first[a],
+        )
+        text, _, logits = scorer.windows(part)
+        np.maximum.at(top, text + a, logits)
+        a = b
     return np.where(np.isfinite(top), top, 0), np.isfinite(top)
 
 

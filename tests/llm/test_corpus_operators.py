@@ -405,6 +405,23 @@ def test_scorer_equals_the_forward_pass_of_training():
     assert has.tolist() == [False] + [True] * 7 and np.allclose(top[1:], best[1:], atol=1e-4)
 
 
+def test_training_texts_are_scored_in_parts(monkeypatch):
+    """The inputs of all words at once were the most that a training task held."""
+    r = np.random.default_rng(5)
+    texts = ["", *(" ".join(f"w{i}" for i in r.integers(0, 300, n)) for n in (0, 1, 40, 900, 3, 200, 33)), ""]
+    words = W.scan(*toxicity.joined(texts))
+    net = gru.Net.fresh(gru.vocabulary(words))
+    net.p["word"] += r.normal(0, 0.5, net.p["word"].shape)
+    whole, sizes, windows = gru.greatest(net, words), [], gru.Scorer.windows
+    monkeypatch.setattr(gru, "SCORED", 64)
+    monkeypatch.setattr(gru.Scorer, "windows", lambda self, part: sizes.append(len(part.hash)) or windows(self, part))
+    top, has = gru.greatest(net, words)
+    assert np.allclose(top, whole[0], atol=1e-5) and (has == whole[1]).all() and has.sum() == 6
+    assert sum(sizes) == len(words.hash) and len(sizes) >= 4 and max(sizes) == 900
+    empty = W.scan(*toxicity.joined([]))
+    assert len(gru.greatest(net, empty)[0]) == 0 and len(gru.vocabulary(empty)) == 0
+
+
 def test_near_copies_share_a_fold():
     r = np.random.default_rng(3)
     texts = [" ".join(f"w{k}" for k in r.integers(0, 5000, 400)) for _ in range(200)]
